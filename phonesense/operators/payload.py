@@ -41,8 +41,18 @@ def probe_suffix_match(probe_col, family: str):
 
 
 def filter_probe(pl: DataFrame, family: str) -> DataFrame:
-    """Keep the objects of one probe family and drop the ``probe`` column."""
-    return pl.filter(probe_suffix_match("probe", family)).drop("probe")
+    """Keep the objects of one probe family and drop the ``probe`` column.
+
+    On a payload table written partitioned by ``probe_family`` the implied
+    partition predicate is added too, so the scan prunes other families.
+    """
+    cond = probe_suffix_match("probe", family)
+    if "probe_family" in pl.columns:
+        cond = (F.col("probe_family") == F.lit(family)) & cond
+        pl = pl.filter(cond).drop("probe_family")
+    else:
+        pl = pl.filter(cond)
+    return pl.drop("probe")
 
 
 def probe_types(pl: DataFrame) -> DataFrame:
