@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from phonesense.functions.time import time_of_day
-from phonesense.operators.grouped import attach_group_values, null_safe_join
+from phonesense.operators.grouped import attach_group_values
 from phonesense.schemas import (
     COMM_TYPES, MAX_TIME_MARK, NULL_CATEGORY_LABEL, PHONE_DIRECTIONS, RATIO_DENOMINATOR,
     RATIO_NUMERATOR, SMS_DIRECTIONS,
@@ -121,16 +121,19 @@ def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
     time-of-day label; ordered by ``call_timestamp``.
 
     A day with any call of unknown duration has no defined maximum and gives
-    no row. Plan: ``rank() = 1`` over the non-NULL durations (Catalyst adds a
-    partial ``WindowGroupLimit`` before the shuffle, so a hot day ships only its
-    per-task maxima), then an anti-join with the days that hold a NULL
-    duration (a distinct-key aggregate).
+    no row. One pass, one shuffle: ``rank()`` over durations with NULL first,
+    where NULL rows get a unique tie-break, so a day's rank-1 rows are either a
+    single NULL row (day dropped) or all of its longest calls. Catalyst turns
+    ``rank = 1`` into a partial ``WindowGroupLimit`` before the exchange, so a
+    hot day ships only its per-task maxima (or one NULL row per task), never
+    its whole group.
     """
-    w = Window.partitionBy(*USER_DAY).orderBy(F.col("callDuration").desc())
-    known = calls.filter(F.col("callDuration").isNotNull())
-    top = known.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
-    unknown_days = calls.filter(F.col("callDuration").isNull()).select(*USER_DAY).distinct()
-    top = null_safe_join(top, unknown_days, USER_DAY, "left_anti")
+    dur = F.col("callDuration")
+    flagged = calls.withColumn(
+        "_null_order", F.when(dur.isNull(), F.monotonically_increasing_id()))
+    w = Window.partitionBy(*USER_DAY).orderBy(dur.desc_nulls_first(), F.col("_null_order").asc())
+    top = flagged.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
+    top = top.filter(dur.isNotNull())
     out = top.select("user_id", "call_timestamp", "event_date", "callDuration",
                      F.lit(MAX_TIME_MARK).alias("max_time"),
                      time_of_day("event_hour").alias("time_of_day"))

@@ -30,6 +30,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from phonesense.sources.uploads import ensure_parallelism
+
 PROBE_PREFIX = "sensing.probe.builtin."
 N_PARTICIPANTS = 20
 N_REGISTER_IDS = 30
@@ -115,7 +117,8 @@ def read_driver_table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture_uploads(spark, sf_dir: str) -> DataFrame:
-    return uploads_from_events(read_driver_table(spark, sf_dir, "events"))
+    return uploads_from_events(ensure_parallelism(
+        read_driver_table(spark, sf_dir, "events"), unique_keys=["event_id"]))
 
 
 def fixture_register(spark, sf_dir: str) -> DataFrame:

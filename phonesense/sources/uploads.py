@@ -11,8 +11,29 @@ from phonesense.schemas import UPLOAD_SCHEMA
 CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "nullValue": "NA", "mode": "FAILFAST"}
 
 
+def ensure_parallelism(df: DataFrame, target: int | None = None,
+                       unique_keys: list[str] | None = None) -> DataFrame:
+    """Spread an under-split input over ``target`` tasks (default: the
+    cluster's default parallelism) with a round-robin repartition.
+
+    Only fires when the scan yields fewer partitions than ``target``, i.e. on
+    small inputs such as a single-row-group file; a large input already has
+    more splits than cores and is left untouched (no extra shuffle).
+    Round-robin, not a hash of the participant, so one heavy participant (or a
+    mass of identical rows) cannot land in one task. ``unique_keys`` may name
+    columns that are unique per row: hashing those is as even and skips the
+    sort a round-robin repartition does to stay deterministic on retry.
+    """
+    target = target or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    if unique_keys:
+        return df.repartition(target, *unique_keys)
+    return df.repartition(target)
+
+
 def read_uploads(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
-                 schema=UPLOAD_SCHEMA, **options) -> DataFrame:
+                 schema=UPLOAD_SCHEMA, balance: bool = True, **options) -> DataFrame:
     """Read raw uploads ``(user_id, payload)``; other columns are pruned.
 
     ``multi_line=True`` is only needed when payloads contain raw line breaks;
@@ -26,8 +47,9 @@ def read_uploads(spark: SparkSession, path: str, fmt: str = "csv", multi_line: b
         df = spark.table(path)
     else:
         df = spark.read.format(fmt).options(**options).load(path)
-    return df.select(F.col("user_id").cast("string").alias("user_id"),
-                     F.col("payload").cast("string").alias("payload"))
+    df = df.select(F.col("user_id").cast("string").alias("user_id"),
+                   F.col("payload").cast("string").alias("payload"))
+    return ensure_parallelism(df) if balance else df
 
 
 def with_source_order(df: DataFrame, name: str = "_source_order") -> DataFrame:
