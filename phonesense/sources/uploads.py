@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from phonesense.schemas import UPLOAD_SCHEMA
 
 # Reader options for uploads written the CSV way: the payload is one quoted
 # field whose inner quotes are doubled (""), and R-style NA marks missing.
@@ -33,14 +32,18 @@ def ensure_parallelism(df: DataFrame, target: int | None = None,
 
 
 def read_uploads(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
-                 schema=UPLOAD_SCHEMA, balance: bool = True, **options) -> DataFrame:
+                 schema=None, balance: bool = True, **options) -> DataFrame:
     """Read raw uploads ``(user_id, payload)``; other columns are pruned.
 
     ``multi_line=True`` is only needed when payloads contain raw line breaks;
     it makes each CSV file a single split, so it is off by default.
     """
     if fmt == "csv":
-        reader = spark.read.schema(schema).options(**CSV_OPTIONS)
+        # Without a schema every header column is read as text (no inference
+        # pass); files may carry more columns than user_id and payload.
+        reader = spark.read.options(**CSV_OPTIONS)
+        if schema is not None:
+            reader = reader.schema(schema)
         reader = reader.option("multiLine", str(bool(multi_line)).lower()).options(**options)
         df = reader.csv(path)
     elif fmt == "table":
