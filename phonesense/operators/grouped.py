@@ -21,6 +21,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from phonesense.session import scratch_path
+
 BROADCAST_GROUPS = 2_000_000
 MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 1_000_000
@@ -47,9 +49,17 @@ def attach_group_values(rows: DataFrame, values: DataFrame, keys: Sequence[str],
                         min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """Join ``values`` (one row per key, with ``count_col`` = number of rows of
     that key in ``rows``) onto ``rows``. ``count_col`` is dropped from the
-    result."""
+    result.
+
+    ``values`` is computed once and written under the shared checkpoint
+    folder (``spark.checkpoint.dir``): the size check and the join both read
+    that small table, and the lineage to the raw input is cut.
+    """
     keys = list(keys)
-    values = values.persist()
+    spark = values.sparkSession
+    path = scratch_path(spark, "group-values")
+    values.write.parquet(path)
+    values = spark.read.parquet(path)
     summary = values.agg(F.count(F.lit(1)).alias("groups"),
                          F.coalesce(F.sum(count_col), F.lit(0)).alias("rows")).first()
     payload = values.drop(count_col)

@@ -28,7 +28,7 @@ availability matrix needs; no row is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from phonesense.sources.uploads import ensure_parallelism
 
@@ -37,65 +37,61 @@ N_PARTICIPANTS = 20
 N_REGISTER_IDS = 30
 
 
-def _probe(name: str) -> Column:
-    return F.lit(PROBE_PREFIX + name)
-
-
-def _derived(events: DataFrame) -> DataFrame:
-    k = F.regexp_extract("props", r"([0-9]+)", 1).cast("bigint")
-    return events.select(
-        "event_id", "event_type", "value",
-        k.alias("k"),
-        F.pmod("user_id", F.lit(N_PARTICIPANTS)).alias("ub"),
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
-    ).withColumns({
-        "uid": F.concat(F.lit("u"), F.col("ub").cast("string")),
-        "number": F.when(F.col("k") % 10 == 0, F.lit(None).cast("string"))
-                   .otherwise(F.concat(F.lit("n"), (F.col("event_id") % 7).cast("string"))),
-        "dir_phone": F.element_at(F.array(F.lit("INCOMING"), F.lit("OUTGOING"), F.lit("MISSED")),
-                                  (F.col("k") % 3 + 1).cast("int")),
-        "dir_sms": F.when(F.col("k") % 11 == 0, F.lit(None).cast("string"))
-                    .when(F.col("k") % 2 == 0, F.lit("INCOMING")).otherwise(F.lit("OUTGOING")),
-    })
+def _obj(probe: str, *fields: str) -> str:
+    """SQL text of one probe object: common head fields then ``fields``
+    (alternating key, SQL expression)."""
+    head = [f"'PROBE', '{PROBE_PREFIX}{probe}'", "'TIMESTAMP', ms / 1000", "'GUID', guid"]
+    return "to_json(named_struct(" + ", ".join(head + list(fields)) + "))"
+
+
+def _comm_event(kind: str, direction: str) -> str:
+    return _obj("CommunicationEventProbe", f"'COMMUNICATION_TYPE', '{kind}'",
+                f"'COMMUNICATION_DIRECTION', {direction}", "'NUMBER', number",
+                "'COMM_TIMESTAMP', CAST(ms AS STRING)")
+
+
+_CALLS = ("array("
+          "named_struct('CALL_DURATION', CAST(IF(k % 17 <> 0, k, NULL) AS DOUBLE), "
+          "'CALL_TIMESTAMP', ms, 'NUMBER', number), "
+          "named_struct('CALL_DURATION', CAST(k % 5 AS DOUBLE), "
+          "'CALL_TIMESTAMP', ms + 60000, 'NUMBER', number))")
+_SMS = "array(named_struct('NUMBER', number, 'MESSAGE_DIRECTION', dir_sms, 'MESSAGE_TIMESTAMP', ms))"
+_NO_CALLS = "CAST(array() AS ARRAY<STRUCT<CALL_DURATION: DOUBLE>>)"
+_BATTERY = _obj("BatteryProbe", "'LEVEL', k")
+
+_DERIVED = [
+    "event_id", "event_type", "value",
+    "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
+    f"pmod(user_id, {N_PARTICIPANTS}) AS ub",
+    "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
+]
+_KEYED = [
+    "*",
+    "concat('u', CAST(ub AS STRING)) AS uid",
+    "concat('g', CAST(event_id AS STRING)) AS guid",
+    "IF(k % 10 = 0, NULL, concat('n', CAST(event_id % 7 AS STRING))) AS number",
+    "element_at(array('INCOMING', 'OUTGOING', 'MISSED'), CAST(k % 3 + 1 AS INT)) AS dir_phone",
+    "CASE WHEN k % 11 = 0 THEN NULL WHEN k % 2 = 0 THEN 'INCOMING' ELSE 'OUTGOING' END AS dir_sms",
+]
+_MAIN = f"""CASE
+  WHEN event_type = 'click' THEN {_comm_event('PHONE', 'dir_phone')}
+  WHEN event_type = 'view' THEN {_comm_event('SMS', 'dir_sms')}
+  WHEN event_type = 'purchase' AND ub % 3 <> 0 THEN {_obj('CommunicationLogProbe', "'PHONE_CALLS'", _CALLS)}
+  WHEN event_type = 'signup' AND ub % 5 <> 0 THEN {_obj('CommunicationLogProbe', "'PHONE_CALLS'", _NO_CALLS,
+                                                        "'SMS_MESSAGES'", _SMS)}
+  WHEN event_type = 'error' AND ub % 2 = 0 THEN {_obj('LocationProbe', "'GPS_AVAILABLE'", "k % 2 = 0",
+                                                      "'LATITUDE'", "value", "'LONGITUDE'", "-value",
+                                                      "'NETWORK_AVAILABLE'", "true",
+                                                      "'ACCURACY'", "CAST(IF(k % 10 <> 0, k, NULL) AS DOUBLE)")}
+  ELSE {_BATTERY}
+END"""
 
 
 def uploads_from_events(events: DataFrame) -> DataFrame:
-    """``events`` -> uploads ``(user_id STRING, payload STRING)``."""
-    d = _derived(events)
-    head = {"TIMESTAMP": F.col("ms") / 1000, "GUID": F.concat(F.lit("g"), F.col("event_id").cast("string"))}
-
-    def obj(probe: str, **fields: Column) -> Column:
-        parts = {"PROBE": _probe(probe), **head, **fields}
-        return F.to_json(F.struct(*[v.alias(n) for n, v in parts.items()]))
-
-    def comm_event(kind: str, direction: str) -> Column:
-        return obj("CommunicationEventProbe",
-                   COMMUNICATION_TYPE=F.lit(kind), COMMUNICATION_DIRECTION=F.col(direction),
-                   NUMBER=F.col("number"), COMM_TIMESTAMP=F.col("ms").cast("string"))
-
-    call = lambda duration, at: F.struct(
-        duration.cast("double").alias("CALL_DURATION"), at.alias("CALL_TIMESTAMP"),
-        F.col("number").alias("NUMBER"))
-    calls = F.array(
-        call(F.when(F.col("k") % 17 != 0, F.col("k")), F.col("ms")),
-        call(F.col("k") % 5, F.col("ms") + 60000))
-    sms = F.array(F.struct(F.col("number").alias("NUMBER"), F.col("dir_sms").alias("MESSAGE_DIRECTION"),
-                           F.col("ms").alias("MESSAGE_TIMESTAMP")))
-    empty_calls = F.array_remove(F.array(F.lit(None).cast("struct<CALL_DURATION:double>")), None)
-
-    et, ub, k = F.col("event_type"), F.col("ub"), F.col("k")
-    main = (F.when(et == "click", comm_event("PHONE", "dir_phone"))
-             .when(et == "view", comm_event("SMS", "dir_sms"))
-             .when((et == "purchase") & (ub % 3 != 0), obj("CommunicationLogProbe", PHONE_CALLS=calls))
-             .when((et == "signup") & (ub % 5 != 0),
-                   obj("CommunicationLogProbe", PHONE_CALLS=empty_calls, SMS_MESSAGES=sms))
-             .when((et == "error") & (ub % 2 == 0),
-                   obj("LocationProbe", GPS_AVAILABLE=(k % 2 == 0), LATITUDE=F.col("value"),
-                       LONGITUDE=-F.col("value"), NETWORK_AVAILABLE=F.lit(True),
-                       ACCURACY=F.when(k % 10 != 0, k.cast("double"))))
-             .otherwise(obj("BatteryProbe", LEVEL=k)))
-    battery = obj("BatteryProbe", LEVEL=k)
-    return d.select(F.col("uid").alias("user_id"), F.concat_ws(",", main, battery).alias("payload"))
+    """``events`` -> uploads ``(user_id STRING, payload STRING)``; NULL fields
+    are left out of the JSON objects."""
+    keyed = events.selectExpr(*_DERIVED).selectExpr(*_KEYED)
+    return keyed.selectExpr("uid AS user_id", f"concat_ws(',', {_MAIN}, {_BATTERY}) AS payload")
 
 
 def register_from_customers(customer: DataFrame) -> DataFrame:
