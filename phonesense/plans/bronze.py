@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from phonesense.session import scratch_path
 
 FAMILY_COL = "probe_family"
+BRONZE_SCHEMA = ("user_id STRING, array_index INT, probe STRING, timestamp DOUBLE, guid STRING, "
+                 "json VARIANT, probe_family STRING")
 
 
 def probe_family(probe_col: str = "probe"):
@@ -28,7 +30,8 @@ def write_bronze(pl: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Read a written payload table (declared schema: no footer inference)."""
+    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
 
 def materialize_payload(spark: SparkSession, pl: DataFrame, name: str = "payload") -> DataFrame:

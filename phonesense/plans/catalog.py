@@ -1,7 +1,8 @@
 """The registered queries: every exported function of the package, applied
 to the payload and register derived from the driver tables.
 
-Each plan takes the parsed payload ``pl`` and the participant register and
+Each plan takes the parsed payload ``pl`` and a zero-argument function that
+builds the participant register (only the availability queries call it) and
 returns a DataFrame; :func:`bind` attaches the sources (raw text parsed on
 the fly, or a written payload table) and normalises the output for
 comparison (the VARIANT column is dropped, instants become TIMESTAMP_NTZ).
@@ -21,11 +22,11 @@ from phonesense.sources.fixtures import fixture_register, fixture_uploads
 
 REGISTER_ORDER = "row_no"
 
-Plan = Callable[[DataFrame, DataFrame], DataFrame]
+Plan = Callable[[DataFrame, Callable[[], DataFrame]], DataFrame]
 
 
-def _population(pl: DataFrame, register: DataFrame) -> DataFrame:
-    return sensor_population(register, probes.probe_location(pl), probes.probe_calls(pl),
+def _population(pl: DataFrame, register) -> DataFrame:
+    return sensor_population(register(), probes.probe_location(pl), probes.probe_calls(pl),
                              probes.probe_sms(pl), probes.probe_event(pl), order_col=REGISTER_ORDER)
 
 
@@ -60,7 +61,7 @@ PLANS: dict[str, Plan] = {
     "json_probesms": lambda pl, _r: export.json_probesms(pl),
     "json_probecalls": lambda pl, _r: export.json_probecalls(pl),
     "json_probeevent": lambda pl, _r: export.json_probeevent(pl),
-    "json_sensorpop": lambda pl, r: export.json_sensorpop(pl, r, order_col=REGISTER_ORDER),
+    "json_sensorpop": lambda pl, r: export.json_sensorpop(pl, r(), order_col=REGISTER_ORDER),
     "json_commtype": lambda pl, _r: export.json_commtype(pl),
     "json_statsphone": lambda pl, _r: export.json_statsphone(pl),
     "json_statssms": lambda pl, _r: export.json_statssms(pl),
@@ -92,7 +93,7 @@ def bind(name: str, payload: Callable[[SparkSession, str], DataFrame] = payload_
     plan = PLANS[name]
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return normalise(plan(payload(spark, sf_dir), fixture_register(spark, sf_dir)))
+        return normalise(plan(payload(spark, sf_dir), lambda: fixture_register(spark, sf_dir)))
 
     run.__name__ = name
     return run
