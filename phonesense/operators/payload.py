@@ -43,15 +43,18 @@ def probe_suffix_match(probe_col, family: str):
 def filter_probe(pl: DataFrame, family: str) -> DataFrame:
     """Keep the objects of one probe family and drop the ``probe`` column.
 
-    On a payload table written partitioned by ``probe_family`` the implied
-    partition predicate is added too, so the scan prunes other families.
+    On a payload table written partitioned by ``probe_family`` (the segment
+    after the last dot) the test becomes a partition predicate, so the scan
+    prunes the other families and never reads ``probe``: for a family name
+    without dots, "last segment equals it" is the same test as the suffix
+    match.
     """
-    cond = probe_suffix_match("probe", family)
-    if "probe_family" in pl.columns:
-        cond = (F.col("probe_family") == F.lit(family)) & cond
-        pl = pl.filter(cond).drop("probe_family")
+    if "probe_family" in pl.columns and "." not in family:
+        pl = pl.filter(F.col("probe_family") == F.lit(family)).drop("probe_family")
     else:
-        pl = pl.filter(cond)
+        pl = pl.filter(probe_suffix_match("probe", family))
+        if "probe_family" in pl.columns:
+            pl = pl.drop("probe_family")
     return pl.drop("probe")
 
 

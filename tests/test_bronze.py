@@ -6,7 +6,7 @@ from phonesense.plans.bronze import materialize_payload, read_bronze, write_bron
 def test_written_payload_gives_same_results_and_prunes_partitions(spark, uploads, tmp_path):
     up = uploads([("u1", '{"PROBE":"a.LocationProbe","TIMESTAMP":1.5,"LATITUDE":2},'
                          '{"PROBE":"a.CommunicationEventProbe","COMM_TIMESTAMP":"1000","NUMBER":"7"}'),
-                  ("u2", '{"PROBE":"LocationProbe"}')])
+                  ("u2", '{"PROBE":"LocationProbe"},{"GUID":"no-probe"},{"PROBE":"a.b.LocationProbe"}')])
     pl = sensor_raw(up)
     path = write_bronze(pl, str(tmp_path / "pl"))
     bronze = read_bronze(spark, path)
