@@ -63,8 +63,11 @@ _DERIVED = [
     "event_id", "event_type", "value",
     "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
     f"pmod(user_id, {N_PARTICIPANTS}) AS ub",
-    "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
 ]
+# Epoch milliseconds (floor) of ``ts``, independent of the session zone: a
+# TIMESTAMP_NTZ wall clock is read as UTC, a TIMESTAMP is already an instant.
+_MS_FROM_NTZ = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS ms"
+_MS_FROM_LTZ = "unix_millis(ts) AS ms"
 _KEYED = [
     "*",
     "concat('u', CAST(ub AS STRING)) AS uid",
@@ -90,7 +93,8 @@ END"""
 def uploads_from_events(events: DataFrame) -> DataFrame:
     """``events`` -> uploads ``(user_id STRING, payload STRING)``; NULL fields
     are left out of the JSON objects."""
-    keyed = events.selectExpr(*_DERIVED).selectExpr(*_KEYED)
+    ms = _MS_FROM_NTZ if events.schema["ts"].dataType.typeName() == "timestamp_ntz" else _MS_FROM_LTZ
+    keyed = events.selectExpr(*_DERIVED, ms).selectExpr(*_KEYED)
     return keyed.selectExpr("uid AS user_id", f"concat_ws(',', {_MAIN}, {_BATTERY}) AS payload")
 
 

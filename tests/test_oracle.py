@@ -31,3 +31,16 @@ def test_all_queries_match_oracle(spark):
     report = compare(spark, SF, verbose=False)
     bad = {k: v for k, v in report.items() if not v["ok"]}
     assert not bad, bad
+
+
+def test_results_do_not_depend_on_the_session_zone(spark):
+    from compare_oracle import compare
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        report = compare(spark, SF, ["probe_event", "probe_location", "count_commtype", "call_duration",
+                                     "json_probelocation", "json_callduration", "json_uniquecalls"], verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    bad = {k: v for k, v in report.items() if not v["ok"]}
+    assert not bad, bad
