@@ -50,12 +50,10 @@ def filter_probe(pl: DataFrame, family: str) -> DataFrame:
     match.
     """
     if "probe_family" in pl.columns and "." not in family:
-        pl = pl.filter(F.col("probe_family") == F.lit(family)).drop("probe_family")
+        kept = pl.filter(F.col("probe_family") == F.lit(family))
     else:
-        pl = pl.filter(probe_suffix_match("probe", family))
-        if "probe_family" in pl.columns:
-            pl = pl.drop("probe_family")
-    return pl.drop("probe")
+        kept = pl.filter(probe_suffix_match("probe", family))
+    return kept.select(*[c for c in pl.columns if c not in ("probe", "probe_family")])
 
 
 def probe_types(pl: DataFrame) -> DataFrame:

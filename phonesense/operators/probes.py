@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from phonesense.functions.time import epoch_millis_to_ts, epoch_seconds_to_ts, with_hour_date
-from phonesense.functions.variant import fields_select, get_array
+from phonesense.functions.variant import fields_select, get_array, get_field
 from phonesense.operators.payload import filter_probe
 from phonesense.schemas import (
     CALL_FIELDS, CALLS_ARRAY, COMM_EVENT_PROBE, COMM_LOG_PROBE, EVENT_FIELDS,
@@ -17,16 +17,22 @@ from phonesense.schemas import (
 )
 
 
+def _typed(rows: DataFrame, lead: list, doc: str, fields, ts_name: str, ts, hour_tz: str,
+           date_tz: str) -> DataFrame:
+    """One projection for the typed fields and the instant, one for the
+    derived hour and date (few plan nodes: each DataFrame step re-analyses)."""
+    typed = rows.select(*lead, *fields_select(doc, fields), ts.alias(ts_name))
+    return with_hour_date(typed, ts_name, hour_tz, date_tz)
+
+
 def probe_location(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> DataFrame:
     """Location fixes. Probe timestamps here are epoch *seconds*.
 
     Columns: user_id, timestamp, gpsAvailable, latitude, longitude,
     networkAvailable, accuracy, event_timestamp, event_hour, event_date.
     """
-    rows = filter_probe(pl, LOCATION_PROBE).select(
-        "user_id", "timestamp", *fields_select("json", LOCATION_FIELDS))
-    rows = rows.withColumn("event_timestamp", epoch_seconds_to_ts("timestamp"))
-    return with_hour_date(rows, "event_timestamp", hour_tz, date_tz)
+    return _typed(filter_probe(pl, LOCATION_PROBE), ["user_id", "timestamp"], "json", LOCATION_FIELDS,
+                  "event_timestamp", epoch_seconds_to_ts("timestamp"), hour_tz, date_tz)
 
 
 def _log_entries(pl: DataFrame, array_key: str) -> DataFrame:
@@ -40,18 +46,18 @@ def _log_entries(pl: DataFrame, array_key: str) -> DataFrame:
 def probe_sms(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> DataFrame:
     """SMS log entries. Columns: user_id, numberName, messageDirection, number,
     messageTimestamp, msg_timestamp, event_hour, event_date."""
-    rows = _log_entries(pl, SMS_ARRAY).select("user_id", *fields_select("entry", SMS_FIELDS))
-    rows = rows.withColumn("msg_timestamp", epoch_millis_to_ts("messageTimestamp"))
-    return with_hour_date(rows, "msg_timestamp", hour_tz, date_tz)
+    millis = get_field("entry", "MESSAGE_TIMESTAMP", "double")
+    return _typed(_log_entries(pl, SMS_ARRAY), ["user_id"], "entry", SMS_FIELDS,
+                  "msg_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)
 
 
 def probe_calls(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> DataFrame:
     """Call log entries. Columns: user_id, numberName, callDuration,
     numberLabel, numberType, number, callTimestamp, call_timestamp,
     event_hour, event_date."""
-    rows = _log_entries(pl, CALLS_ARRAY).select("user_id", *fields_select("entry", CALL_FIELDS))
-    rows = rows.withColumn("call_timestamp", epoch_millis_to_ts("callTimestamp"))
-    return with_hour_date(rows, "call_timestamp", hour_tz, date_tz)
+    millis = get_field("entry", "CALL_TIMESTAMP", "double")
+    return _typed(_log_entries(pl, CALLS_ARRAY), ["user_id"], "entry", CALL_FIELDS,
+                  "call_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)
 
 
 def probe_event(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> DataFrame:
@@ -61,8 +67,6 @@ def probe_event(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> Da
     Columns: user_id, comm_timestamp, comm_direction, number,
     communication_type, event_timestamp, event_hour, event_date.
     """
-    rows = filter_probe(pl, COMM_EVENT_PROBE).select(
-        "user_id", *fields_select("json", EVENT_FIELDS))
-    rows = rows.withColumn(
-        "event_timestamp", epoch_millis_to_ts(F.col("comm_timestamp").try_cast("double")))
-    return with_hour_date(rows, "event_timestamp", hour_tz, date_tz)
+    millis = get_field("json", "COMM_TIMESTAMP", "string").try_cast("double")
+    return _typed(filter_probe(pl, COMM_EVENT_PROBE), ["user_id"], "json", EVENT_FIELDS,
+                  "event_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)

@@ -6,8 +6,6 @@ and to what the original analysis expects; they are data, not tuning knobs.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # ---------------------------------------------------------------------------
 # Fixed values (must match the probe payload format and the original output)
 # ---------------------------------------------------------------------------
@@ -77,13 +75,3 @@ EVENT_FIELDS = (
     ("number", "NUMBER", "string"),
     ("communication_type", "COMMUNICATION_TYPE", "string"),
 )
-
-UPLOAD_SCHEMA = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("payload", T.StringType()),
-])
-
-REGISTER_SCHEMA = T.StructType([
-    T.StructField("user_id", T.StringType()),
-    T.StructField("email", T.StringType()),
-])
