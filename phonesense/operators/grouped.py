@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from phonesense.session import scratch_path
 
-BROADCAST_GROUPS = 2_000_000
+BROADCAST_GROUPS = 1_000_000  # ~40 MB at ~40 bytes per (user, day, value) row
 MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 1_000_000
 

@@ -46,20 +46,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; only when it is unset (local runs, tests) pick a
     fresh private folder under the system temp dir."""
     current = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context
+        sc = None
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current
-    existing = spark.sparkContext.getCheckpointDir()
+    existing = sc.getCheckpointDir() if sc is not None else None
     if existing:
         return existing
-    if not is_local(spark):
+    if sc is None or not is_local(spark):
         raise RuntimeError(
             "spark.checkpoint.dir is not set: on a cluster it must name a shared "
             "folder (HDFS/S3/ABFS) that every executor can reach")
     local = tempfile.mkdtemp(prefix="phonesense-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
+    sc.setCheckpointDir(local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # a session may refuse runtime changes of core settings
+        pass
     return local
 
 

@@ -23,8 +23,11 @@ def ensure_parallelism(df: DataFrame, target: int | None = None,
     columns that are unique per row: hashing those is as even and skips the
     sort a round-robin repartition does to stay deterministic on retry.
     """
-    target = target or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = target or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as it is
         return df
     if unique_keys:
         return df.repartition(target, *unique_keys)
