@@ -112,8 +112,18 @@ def register_from_customers(customer: DataFrame) -> DataFrame:
     )
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_driver_table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one of the driver's (read-only) tables. The schema found on the
+    first read is reused, so later reads skip the footer-inference job."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path in _SCHEMAS:
+        return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    df = spark.read.parquet(path)
+    _SCHEMAS[path] = df.schema
+    return df
 
 
 def fixture_uploads(spark, sf_dir: str) -> DataFrame:

@@ -122,3 +122,18 @@ def test_attach_group_values_splits_hot_keys(spark):
     got = sorted(((r.k or ""), r.v) for r in out.collect())
     assert got == sorted([("k1", 500)] * 50 + [("k2", 50)] * 5 + [("", 20)] * 2)
     assert "n" not in out.columns
+
+
+def test_ordered_output_and_data_derived_directions(spark):
+    ev = events(spark, [("b", D2, "PHONE", "OUTGOING", None), ("a", D2, "PHONE", "BUSY", None),
+                        ("a", D1, "PHONE", None, None), ("a", D1, "PHONE", "INCOMING", None)])
+    df = metrics.stats_phone(ev, directions=None, ordered=True)
+    assert df.columns == ["user_id", "event_date", "average_no_calls", "BUSY", "INCOMING", "OUTGOING", "<NA>"]
+    assert [(r.user_id, r.event_date) for r in df.collect()] == [("a", D1), ("a", D2), ("b", D2)]
+    first = df.first()
+    assert (first.average_no_calls, first.INCOMING, first["<NA>"], first.BUSY) == (1, 1, 1, None)
+    ratio = metrics.ratio_phone(ev, directions=None, ordered=True)
+    assert ratio.columns[-1] == "ratio" and "<NA>" in ratio.columns
+    assert [r.ratio for r in ratio.collect()] == [None, None, None]
+    ct = metrics.count_commtype(ev, ordered=True)
+    assert [(r.user_id, r.event_date, r.PHONE) for r in ct.collect()] == [("a", D1, 2), ("a", D2, 1), ("b", D2, 1)]

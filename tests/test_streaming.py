@@ -29,3 +29,19 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, tmp_path):
     days = {(r.user_id, str(r.event_date)): (r.PHONE, r.SMS) for r in count_commtype(probe_event(pl)).collect()}
     assert days == {("u1", "2017-07-12"): (1, None), ("u2", "2017-07-12"): (None, 1),
                     ("u1", "2017-07-13"): (1, None)}
+
+
+def test_stream_from_quoted_csv_files(spark, tmp_path):
+    import csv
+    land, out = tmp_path / "land", tmp_path / "pl"
+    land.mkdir()
+    with open(land / "part-0.csv", "w", newline="") as f:
+        w = csv.writer(f)
+        w.writerow(["user_id", "payload"])
+        w.writerow(["u1", EV.format(ms=1499856123456, t="SMS") + ',{"PROBE":"a.BatteryProbe"}'])
+        w.writerow(["u2", "NA"])
+    q = start_payload_ingest(read_upload_stream(spark, str(land), fmt="csv"), str(out), str(tmp_path / "ck"),
+                             trigger={"availableNow": True})
+    q.awaitTermination(120)
+    pl = read_bronze(spark, str(out))
+    assert sorted(r.probe for r in pl.collect()) == ["a.BatteryProbe", "a.CommunicationEventProbe"]
