@@ -19,7 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from phonesense.session import scratch_path
 
@@ -52,16 +52,18 @@ def attach_group_values(rows: DataFrame, values: DataFrame, keys: Sequence[str],
     result.
 
     ``values`` is computed once and written under the shared checkpoint
-    folder (``spark.checkpoint.dir``): the size check and the join both read
-    that small table, and the lineage to the raw input is cut.
+    folder (``spark.checkpoint.dir``); its group and row counts are observed
+    by that same write job. The join reads the small written table, so the
+    lineage to the raw input is cut.
     """
     keys = list(keys)
     spark = values.sparkSession
     path = scratch_path(spark, "group-values")
-    values.write.parquet(path)
-    values = spark.read.parquet(path)
-    summary = values.agg(F.count(F.lit(1)).alias("groups"),
-                         F.coalesce(F.sum(count_col), F.lit(0)).alias("rows")).first()
+    sizes = Observation("group_values")
+    values.observe(sizes, F.count(F.lit(1)).alias("groups"),
+                   F.coalesce(F.sum(count_col), F.lit(0)).alias("rows")).write.parquet(path)
+    summary = sizes.get
+    values = spark.read.schema(values.schema).parquet(path)
     payload = values.drop(count_col)
     if summary["groups"] <= broadcast_groups:
         return null_safe_join(rows, F.broadcast(payload), keys)
