@@ -22,3 +22,15 @@ def test_seconds_and_millis_agree_to_the_microsecond(spark):
 def test_out_of_range_epoch_is_null(spark):
     df = spark.createDataFrame([(1e300,)], "x double")
     assert df.select(epoch_seconds_to_ts("x").alias("t")).first().t is None
+
+
+def test_utc_arithmetic_matches_zone_conversion(spark):
+    from phonesense.functions.time import local_date, local_hour, wall_clock
+    df = spark.range(-3000, 3000).select(
+        F.timestamp_micros(F.col("id") * F.lit(1_234_567_891) + F.lit(-86_400_000_000)).alias("ts"))
+    got = df.select(
+        (local_hour("ts", "UTC") == F.hour(wall_clock("ts", "UTC"))).alias("h"),
+        (local_date("ts", "UTC") == F.to_date(wall_clock("ts", "UTC"))).alias("d"))
+    assert got.filter(~F.col("h") | ~F.col("d")).count() == 0
+    assert dict(df.select(local_hour("ts").alias("h"), local_date("ts").alias("d")).dtypes) == {
+        "h": "int", "d": "date"}
