@@ -34,10 +34,14 @@ def ensure_parallelism(df: DataFrame, target: int | None = None,
     return df.repartition(target)
 
 
-def read_uploads(spark: SparkSession, path: str, fmt: str = "csv", multi_line: bool = False,
+def read_uploads(spark: SparkSession, path: str | None, fmt: str = "csv", multi_line: bool = False,
                  schema=None, balance: bool = True, **options) -> DataFrame:
     """Read raw uploads ``(user_id, payload)``; other columns are pruned.
 
+    ``fmt`` is ``csv`` (the phone export), ``table`` (a catalog table name in
+    ``path``) or any data source format (``parquet``, ``json``, ``jdbc`` with
+    its connection options and ``path=None``...).
+
     ``multi_line=True`` is only needed when payloads contain raw line breaks;
     it makes each CSV file a single split, so it is off by default.
     """
@@ -52,7 +56,8 @@ def read_uploads(spark: SparkSession, path: str, fmt: str = "csv", multi_line: b
     elif fmt == "table":
         df = spark.table(path)
     else:
-        df = spark.read.format(fmt).options(**options).load(path)
+        reader = spark.read.format(fmt).options(**options)
+        df = reader.load(path) if path is not None else reader.load()
     df = df.select(F.col("user_id").cast("string").alias("user_id"),
                    F.col("payload").cast("string").alias("payload"))
     return ensure_parallelism(df) if balance else df

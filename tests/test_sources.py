@@ -39,3 +39,10 @@ def test_parquet_uploads(spark, tmp_path):
     up = read_uploads(spark, str(tmp_path / "up"), fmt="parquet")
     assert up.dtypes == [("user_id", "string"), ("payload", "string")]
     assert "other" not in up._jdf.queryExecution().executedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_catalog_table_uploads(spark):
+    spark.createDataFrame([("u9", '{"PROBE":"a.B"}')], "user_id string, payload string") \
+        .createOrReplaceTempView("phone_uploads")
+    up = read_uploads(spark, "phone_uploads", fmt="table")
+    assert sensor_raw(up).first().probe == "a.B"
