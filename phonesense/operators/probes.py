@@ -17,6 +17,12 @@ from phonesense.schemas import (
 )
 
 
+def _field(doc: str, fields, name: str):
+    """Getter of the field whose output column is ``name``."""
+    key, type_name = {n: (k, t) for n, k, t in fields}[name]
+    return get_field(doc, key, type_name)
+
+
 def _typed(rows: DataFrame, lead: list, doc: str, fields, ts_name: str, ts, hour_tz: str,
            date_tz: str) -> DataFrame:
     """One projection for the typed fields and the instant, one for the
@@ -46,7 +52,7 @@ def _log_entries(pl: DataFrame, array_key: str) -> DataFrame:
 def probe_sms(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> DataFrame:
     """SMS log entries. Columns: user_id, numberName, messageDirection, number,
     messageTimestamp, msg_timestamp, event_hour, event_date."""
-    millis = get_field("entry", "MESSAGE_TIMESTAMP", "double")
+    millis = _field("entry", SMS_FIELDS, "messageTimestamp")
     return _typed(_log_entries(pl, SMS_ARRAY), ["user_id"], "entry", SMS_FIELDS,
                   "msg_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)
 
@@ -55,7 +61,7 @@ def probe_calls(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> Da
     """Call log entries. Columns: user_id, numberName, callDuration,
     numberLabel, numberType, number, callTimestamp, call_timestamp,
     event_hour, event_date."""
-    millis = get_field("entry", "CALL_TIMESTAMP", "double")
+    millis = _field("entry", CALL_FIELDS, "callTimestamp")
     return _typed(_log_entries(pl, CALLS_ARRAY), ["user_id"], "entry", CALL_FIELDS,
                   "call_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)
 
@@ -67,6 +73,6 @@ def probe_event(pl: DataFrame, hour_tz: str = "UTC", date_tz: str = "UTC") -> Da
     Columns: user_id, comm_timestamp, comm_direction, number,
     communication_type, event_timestamp, event_hour, event_date.
     """
-    millis = get_field("json", "COMM_TIMESTAMP", "string").try_cast("double")
+    millis = _field("json", EVENT_FIELDS, "comm_timestamp").try_cast("double")
     return _typed(filter_probe(pl, COMM_EVENT_PROBE), ["user_id"], "json", EVENT_FIELDS,
                   "event_timestamp", epoch_millis_to_ts(millis), hour_tz, date_tz)
