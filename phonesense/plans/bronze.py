@@ -4,6 +4,11 @@ Parsing is the dominant cost of every query; writing ``pl`` once, partitioned
 by probe family, turns every later probe filter into partition pruning and
 cuts the lineage back to the raw text (a written table in shared storage
 survives executor loss, unlike a local checkpoint).
+
+Spark writes the VARIANT column shredded: within a family partition the
+objects share their keys, so each key becomes a typed Parquet column
+(``json.typed_value.<KEY>.typed_value``), and a query reads only the paths
+it uses (``ReadSchema: ... json:struct<0:string,...>``).
 """
 
 from __future__ import annotations

@@ -21,3 +21,15 @@ def test_materialize_under_checkpoint_dir(spark, uploads):
     again = materialize_payload(spark, pl)
     assert again.count() == 1
     assert spark.conf.get("spark.checkpoint.dir") in again.inputFiles()[0]
+
+
+def test_variant_is_written_shredded_per_family(spark, uploads, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    up = uploads([(f"u{i}", '{"PROBE":"a.CommunicationEventProbe","COMM_TIMESTAMP":"%d","NUMBER":"7"}' % i)
+                  for i in range(50)])
+    path = write_bronze(sensor_raw(up), str(tmp_path / "pl"))
+    files = glob.glob(f"{path}/probe_family=CommunicationEventProbe/*.parquet")
+    cols = {pq.ParquetFile(f).schema.column(i).path for f in files for i in range(len(pq.ParquetFile(f).schema))}
+    assert "json.typed_value.COMM_TIMESTAMP.typed_value" in cols
