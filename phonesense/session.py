@@ -17,6 +17,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording the Python call site of every Column function costs several
+    # driver<->JVM round trips per expression (most of plan-building time);
+    # it only adds context to error messages.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
