@@ -10,6 +10,8 @@ from pyspark.sql import Column, functions as F
 
 from phonesense.schemas import TIME_OF_DAY_BUCKETS, TIME_OF_DAY_OTHER
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -32,13 +34,20 @@ def epoch_millis_to_ts(millis) -> Column:
     return F.timestamp_micros(micros)
 
 
+def utc_wall_clock(ts) -> Column:
+    """UTC wall-clock time of an instant as TIMESTAMP_NTZ, derived from its
+    epoch microseconds (no session zone involved)."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(_col(ts)), F.lit(_EPOCH_NTZ).cast("timestamp_ntz"))
+
+
 def wall_clock(ts, tz: str = "UTC") -> Column:
     """Local wall-clock time of an instant in zone ``tz`` as TIMESTAMP_NTZ.
 
-    Independent of the session time zone: the instant is first rendered in
-    the session zone, then converted to ``tz``.
+    Independent of the session time zone and exact around daylight-saving
+    changes: the conversion starts from the UTC wall clock, which has no
+    ambiguous or missing hours.
     """
-    return F.convert_timezone(F.current_timezone(), F.lit(tz), _col(ts).cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_wall_clock(ts))
 
 
 # Zone names that always mean offset zero.

@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from phonesense.functions.time import UTC_ZONES, time_of_day
+from phonesense.functions.time import time_of_day, utc_wall_clock
 from phonesense.operators import export, metrics, probes
 from phonesense.operators.payload import probe_types, sensor_raw
 from phonesense.operators.population import sensor_population
@@ -77,14 +77,11 @@ def normalise(df: DataFrame) -> DataFrame:
     """Comparable output: instants as TIMESTAMP_NTZ (UTC wall clock)."""
     if not any(isinstance(f.dataType, T.TimestampType) for f in df.schema.fields):
         return df
-    session_utc = df.sparkSession.conf.get("spark.sql.session.timeZone") in UTC_ZONES
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.TimestampType):
-            c = c.cast("timestamp_ntz")  # wall clock in the session zone
-            if not session_utc:
-                c = F.convert_timezone(F.current_timezone(), F.lit("UTC"), c)
+            c = utc_wall_clock(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

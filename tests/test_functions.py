@@ -34,3 +34,19 @@ def test_utc_arithmetic_matches_zone_conversion(spark):
     assert got.filter(~F.col("h") | ~F.col("d")).count() == 0
     assert dict(df.select(local_hour("ts").alias("h"), local_date("ts").alias("d")).dtypes) == {
         "h": "int", "d": "date"}
+
+
+def test_zone_conversion_is_exact_in_the_repeated_hour_whatever_the_session_zone(spark):
+    from phonesense.functions.time import local_hour
+    # 01:30 EDT and 01:30 EST on 2024-11-03 in New York: one hour apart.
+    df = spark.createDataFrame([(1730611800000,), (1730615400000,)], "ms long").select(
+        F.timestamp_millis("ms").alias("ts"))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            got = [(r.t, r.p) for r in df.select(local_hour("ts", "Asia/Tokyo").alias("t"),
+                                                  local_hour("ts", "Europe/Paris").alias("p")).collect()]
+            assert got == [(14, 6), (15, 7)], session_zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
