@@ -84,3 +84,28 @@ def test_longest_call(spark, rows):
     got = [(r.user_id, r.call_timestamp, r.event_date, r.callDuration) for r in metrics.call_duration(calls).collect()]
     assert [g[1] for g in got] == sorted(g[1] for g in got)
     assert sorted(got, key=lambda t: t[1]) == sorted(want, key=lambda t: t[1])
+
+
+reg_rows = st.lists(st.tuples(st.sampled_from([1, 2, 3, None]), st.sampled_from(["p", "q", None])),
+                    min_size=0, max_size=25)
+presence = st.lists(st.sampled_from(["1", "2", "4", None]), max_size=6)
+
+
+@SETTINGS
+@given(reg_rows, presence, presence, presence, presence)
+def test_availability_matrix(spark, reg, loc, calls, sms, event):
+    from phonesense.operators.population import sensor_population
+    register = spark.createDataFrame([(u, s, f"e{i}", i) for i, (u, s) in enumerate(reg)],
+                                     "user_id int, site string, email string, ord int")
+    tables = [spark.createDataFrame([(u,) for u in t], "user_id string") for t in (loc, calls, sms, event)]
+    got = {(r.user_id, r.site, r.ord, r.location, r.calls, r.sms, r.event)
+           for r in sensor_population(register, *tables, order_col="ord").collect()}
+    want, seen = set(), set()
+    for i, (u, s) in enumerate(reg):
+        key = None if u is None else str(u)
+        if key in seen:
+            continue
+        seen.add(key)
+        flags = tuple("Available" if key in set(t) else "NotAvailable" for t in (loc, calls, sms, event))
+        want.add((key, s, i) + flags)
+    assert got == want
