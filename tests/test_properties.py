@@ -109,3 +109,41 @@ def test_availability_matrix(spark, reg, loc, calls, sms, event):
         flags = tuple("Available" if key in set(t) else "NotAvailable" for t in (loc, calls, sms, event))
         want.add((key, s, i) + flags)
     assert got == want
+
+
+_calls_value = st.one_of(
+    st.just("MISSING"), st.none(), st.just({}), st.just("text"),
+    st.lists(st.one_of(st.none(), st.fixed_dictionaries({}, optional={
+        "CALL_DURATION": st.one_of(st.none(), st.sampled_from([0, 3, 12.5])),
+        "NUMBER": st.one_of(st.none(), st.sampled_from(["a", "b"])),
+        "CALL_TIMESTAMP": st.integers(1_400_000_000_000, 1_800_000_000_000)})), max_size=3))
+_objects = st.lists(st.fixed_dictionaries({
+    "PROBE": st.sampled_from(["a.CommunicationLogProbe", "CommunicationLogProbe", "b.x.CommunicationLogProbe",
+                              "a.CommunicationLogProbeX", None]),
+    "PHONE_CALLS": _calls_value}), min_size=0, max_size=4)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["u1", "u2"]), _objects), min_size=1, max_size=6))
+def test_parse_and_explode_calls(spark, uploads_rows):
+    import json as _json
+
+    from phonesense.operators.payload import sensor_raw
+    from phonesense.operators.probes import probe_calls
+    rows, want = [], []
+    for user, objs in uploads_rows:
+        texts = []
+        for o in objs:
+            d = {k: v for k, v in o.items() if v != "MISSING"}
+            texts.append(_json.dumps(d))
+            probe, calls = d.get("PROBE"), d.get("PHONE_CALLS")
+            if probe and probe.endswith(".CommunicationLogProbe") and isinstance(calls, list):
+                for c in calls:
+                    c = c or {}
+                    dur = c.get("CALL_DURATION")
+                    want.append((user, None if dur is None else float(dur), c.get("NUMBER"),
+                                 None if c.get("CALL_TIMESTAMP") is None else float(c["CALL_TIMESTAMP"])))
+        rows.append((user, ",".join(texts)))
+    df = probe_calls(sensor_raw(spark.createDataFrame(rows, "user_id string, payload string")))
+    got = [(r.user_id, r.callDuration, r.number, r.callTimestamp) for r in df.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
