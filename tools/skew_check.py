@@ -73,7 +73,7 @@ def main():
         "call_duration": lambda: metrics.call_duration(calls),
         "unique_calls": lambda: metrics.unique_calls(ev),
         "unique_calls_hot_cold_path": lambda: metrics.unique_calls(
-            ev, broadcast_groups=0, min_hot_rows=1000, max_hot_keys=50),
+            ev, broadcast_groups=0, min_hot_rows=100, max_hot_keys=50),
         "sensor_population": lambda: sensor_population(
             register, probes.probe_location(pl), calls, probes.probe_sms(pl), ev, order_col="row_no"),
     }
