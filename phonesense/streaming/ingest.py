@@ -9,6 +9,8 @@ restart after executor or driver loss.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from phonesense.operators.payload import sensor_raw
@@ -45,14 +47,16 @@ def start_payload_ingest(uploads: DataFrame, out_path: str, checkpoint: str | No
     ``out_path``, partitioned by probe family.
 
     ``checkpoint`` defaults to a folder under ``spark.checkpoint.dir`` (the
-    shared location the cluster names). ``trigger`` is passed to
+    shared location the cluster names), keyed by ``query_name`` or the output
+    path, so restarts resume and two streams never share offsets. ``trigger`` is passed to
     ``DataStreamWriter.trigger``, e.g. ``{"availableNow": True}`` to drain
     what has landed and stop, or ``{"processingTime": "1 minute"}``.
     """
     spark = uploads.sparkSession
     if checkpoint is None:
         base = ensure_checkpoint_dir(spark).rstrip("/")
-        checkpoint = f"{base}/ingest-{query_name or 'payload'}"
+        tag = query_name or hashlib.sha1(out_path.encode()).hexdigest()[:16]
+        checkpoint = f"{base}/ingest-{tag}"  # one checkpoint per output table
     writer = (payload_stream(uploads, mode).writeStream.format("parquet")
               .option("path", out_path).option("checkpointLocation", checkpoint)
               .partitionBy(FAMILY_COL).outputMode("append"))
