@@ -34,3 +34,9 @@ def test_json_wrappers_return_one_text_column(spark, uploads):
     assert json.loads(export.json_sensorpop(pl, reg, order_col="ord").first().json) == {
         "user_id": "u1", "ord": 1, "location": "NotAvailable", "calls": "NotAvailable", "sms": "NotAvailable",
         "event": "Available"}
+
+
+def test_rounding_is_half_up(spark):
+    df = spark.createDataFrame([(0.00005,), (-0.00005,), (2.00015,)], "x double")
+    import json as _json
+    assert [_json.loads(r.json)["x"] for r in to_json_rows(df).collect()] == [0.0001, -0.0001, 2.0002]

@@ -147,3 +147,34 @@ def test_parse_and_explode_calls(spark, uploads_rows):
     df = probe_calls(sensor_raw(spark.createDataFrame(rows, "user_id string, payload string")))
     got = [(r.user_id, r.callDuration, r.number, r.callTimestamp) for r in df.collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+json_rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.text(alphabet="ab\"\\/é\n", max_size=4)),
+    st.one_of(st.none(), st.integers(-10**12, 10**12)),
+    st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False)),
+    st.one_of(st.none(), st.dates(dt.date(1990, 1, 1), dt.date(2040, 1, 1))),
+    st.one_of(st.none(), st.datetimes(dt.datetime(1990, 1, 1), dt.datetime(2040, 1, 1)))), max_size=8)
+
+
+def _half_up(x: float) -> float:
+    """Spark's round(x, 4): half-up on the shortest decimal form of x."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP)) + 0.0  # -0.0 prints as 0.0
+
+
+@SETTINGS
+@given(json_rows)
+def test_json_rows_round_trip(spark, rows):
+    import json as _json
+
+    from phonesense.sources.json_sink import to_json_rows
+    df = spark.createDataFrame(rows, "s string, n bigint, x double, d date, t timestamp_ntz")
+    got = sorted((_json.loads(r.json) for r in to_json_rows(df).collect()), key=repr)
+    want = []
+    for s, n, x, d, t in rows:
+        obj = {"s": s, "n": n, "x": None if x is None else _half_up(x),
+               "d": None if d is None else d.isoformat(),
+               "t": None if t is None else t.strftime("%Y-%m-%d %H:%M:%S")}
+        want.append({k: v for k, v in obj.items() if v is not None})
+    assert got == sorted(want, key=repr)

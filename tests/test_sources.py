@@ -46,3 +46,15 @@ def test_catalog_table_uploads(spark):
         .createOrReplaceTempView("phone_uploads")
     up = read_uploads(spark, "phone_uploads", fmt="table")
     assert sensor_raw(up).first().probe == "a.B"
+
+
+def test_register_order_follows_files_then_lines(spark, tmp_path):
+    d = tmp_path / "reg"
+    d.mkdir()
+    (d / "part-b.csv").write_text("user_id,email,site\nu1,x@x,late\nu3,y@x,only\n")
+    (d / "part-a.csv").write_text("user_id,email,site\n" + "".join(f"u9,{i}@x,filler{i}\n" for i in range(200))
+                                  + "u1,z@x,early\n")
+    reg = read_register(spark, str(d))
+    empty = spark.createDataFrame([], "user_id string")
+    got = {r.user_id: r.site for r in sensor_population(reg, empty, empty, empty, empty).collect()}
+    assert got == {"u1": "early", "u3": "only", "u9": "filler0"}
