@@ -15,6 +15,11 @@ from phonesense.schemas import (
 )
 
 
+def _c(name: str) -> Column:
+    """Column by exact name (dots and spaces are part of the name)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def first_row_per_user(register: DataFrame, order_col: str) -> DataFrame:
     """First register row of each participant in ``order_col`` order.
 
@@ -25,7 +30,7 @@ def first_row_per_user(register: DataFrame, order_col: str) -> DataFrame:
     others = [c for c in register.columns if c != "user_id"]
     keyed = register.withColumn("user_id", F.col("user_id").cast("string"))
     first = keyed.groupBy("user_id").agg(
-        F.min_by(F.struct(*others), F.col(order_col)).alias("_first"))
+        F.min_by(F.struct(*[_c(c) for c in others]), _c(order_col)).alias("_first"))
     return first.select("user_id", *[F.col("_first")[c].alias(c) for c in others])
 
 
@@ -39,7 +44,8 @@ def _matrix(register: DataFrame, presence: DataFrame, order_col: str,
     joined = null_safe_join(first, presence, ["user_id"], "left")
     out_cols = [c for c in register.columns
                 if c not in drop and (keep_order_col or c != order_col)]
-    return joined.select(*out_cols, *[_flag(F.col(f"_has_{f}")).alias(f) for f in POPULATION_FLAGS])
+    return joined.select(*[_c(c) for c in out_cols],
+                         *[_flag(F.col(f"_has_{f}")).alias(f) for f in POPULATION_FLAGS])
 
 
 def sensor_population(register: DataFrame, location: DataFrame, calls: DataFrame, sms: DataFrame,

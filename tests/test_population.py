@@ -38,3 +38,12 @@ def test_payload_form_matches_table_form(spark, uploads):
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert {r.user_id: (r.location, r.calls, r.sms, r.event) for r in b.collect()}["u1"] == (
         "NotAvailable", "NotAvailable", "Available", "NotAvailable")
+
+
+def test_register_columns_with_dots_and_spaces(spark):
+    reg = spark.createDataFrame([("u1", "a@x", "s", 1), ("u1", "b@x", "t", 0)],
+                                "user_id string, email string, `site.name` string, `row no` int")
+    empty = spark.createDataFrame([], "user_id string")
+    df = sensor_population(reg, empty, empty, empty, empty, order_col="row no")
+    assert df.columns == ["user_id", "site.name", "row no", "location", "calls", "sms", "event"]
+    assert df.first()["site.name"] == "t"
