@@ -25,7 +25,10 @@ def read_upload_stream(spark: SparkSession, path: str, fmt: str = "csv", schema:
     reader = spark.readStream.format(fmt)
     reader = reader.schema(schema or "user_id string, payload string")
     if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+        # A stream reads with a declared schema; PERMISSIVE lets files carry
+        # extra columns, and a line that cannot be read yields a NULL payload
+        # (no rows) instead of stopping ingestion.
+        reader = reader.options(**{**CSV_OPTIONS, "mode": "PERMISSIVE"})
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.options(**options).load(path)

@@ -37,9 +37,9 @@ def test_stream_from_quoted_csv_files(spark, tmp_path):
     land.mkdir()
     with open(land / "part-0.csv", "w", newline="") as f:
         w = csv.writer(f)
-        w.writerow(["user_id", "payload"])
-        w.writerow(["u1", EV.format(ms=1499856123456, t="SMS") + ',{"PROBE":"a.BatteryProbe"}'])
-        w.writerow(["u2", "NA"])
+        w.writerow(["user_id", "payload", "device"])
+        w.writerow(["u1", EV.format(ms=1499856123456, t="SMS") + ',{"PROBE":"a.BatteryProbe"}', "phone-1"])
+        w.writerow(["u2", "NA", "phone-2"])
     q = start_payload_ingest(read_upload_stream(spark, str(land), fmt="csv"), str(out), str(tmp_path / "ck"),
                              trigger={"availableNow": True})
     q.awaitTermination(120)
