@@ -41,7 +41,9 @@ def _matches(col: Column, value) -> Column:
 
 
 def _ordered(df: DataFrame, ordered: bool, *cols: str) -> DataFrame:
-    return df.orderBy(*cols) if ordered else df
+    """Optionally sort ascending with missing values last (as the original
+    analysis orders its tables)."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]) if ordered else df
 
 
 def count_commtype(event: DataFrame, types: Sequence[str] | None = COMM_TYPES,
@@ -118,7 +120,7 @@ def ratio_sms(event: DataFrame, directions: Sequence[str] | None = SMS_DIRECTION
 
 def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
     """Longest call(s) of each participant-day, ties kept, with the
-    time-of-day label; ordered by ``call_timestamp``.
+    time-of-day label; ordered by ``call_timestamp`` (unknown instants last).
 
     A day with any call of unknown duration has no defined maximum and gives
     no row. One pass, one shuffle: ``rank()`` over durations with NULL first,
@@ -137,7 +139,7 @@ def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
     out = top.select("user_id", "call_timestamp", "event_date", "callDuration",
                      F.lit(MAX_TIME_MARK).alias("max_time"),
                      time_of_day("event_hour").alias("time_of_day"))
-    return out.orderBy("call_timestamp") if ordered else out
+    return _ordered(out, ordered, "call_timestamp")
 
 
 def unique_contacts(event: DataFrame, comm_type: str, **join_options) -> DataFrame:

@@ -137,3 +137,11 @@ def test_ordered_output_and_data_derived_directions(spark):
     assert [r.ratio for r in ratio.collect()] == [None, None, None]
     ct = metrics.count_commtype(ev, ordered=True)
     assert [(r.user_id, r.event_date, r.PHONE) for r in ct.collect()] == [("a", D1, 2), ("a", D2, 1), ("b", D2, 1)]
+
+
+def test_ordered_outputs_put_missing_values_last(spark):
+    c = spark.createDataFrame([("a", D1, None, 5.0, 3), ("b", D1, dt.datetime(2024, 1, 1, 9), 2.0, 9)], CALLS)
+    assert [r.user_id for r in metrics.call_duration(c).collect()] == ["b", "a"]
+    ev = events(spark, [(None, D1, "SMS", None, None), ("a", None, "SMS", None, None), ("a", D1, "SMS", None, None)])
+    got = [(r.user_id, r.event_date) for r in metrics.count_commtype(ev, ordered=True).collect()]
+    assert got == [("a", D1), ("a", None), (None, D1)]
