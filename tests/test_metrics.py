@@ -145,3 +145,10 @@ def test_ordered_outputs_put_missing_values_last(spark):
     ev = events(spark, [(None, D1, "SMS", None, None), ("a", None, "SMS", None, None), ("a", D1, "SMS", None, None)])
     got = [(r.user_id, r.event_date) for r in metrics.count_commtype(ev, ordered=True).collect()]
     assert got == [("a", D1), ("a", None), (None, D1)]
+
+
+def test_unique_contacts_with_no_rows_of_that_type(spark):
+    ev = events(spark, [("a", D1, "PHONE", None, "x")])
+    df = metrics.unique_texts(ev)
+    assert df.columns == ["user_id", "number", "event_date", "count_unique"] and df.count() == 0
+    assert metrics.call_duration(calls(spark, [])).count() == 0
