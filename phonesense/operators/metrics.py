@@ -57,6 +57,9 @@ def count_commtype(event: DataFrame, types: Sequence[str] | None = COMM_TYPES,
         types = discover_categories(event, "communication_type")
     ctype = F.col("communication_type")
     counts = [F.nullif(F.count_if(_matches(ctype, v)), F.lit(0)).alias(_label(v)) for v in types]
+    if not counts:  # no categories at all (empty input in data-derived mode)
+        return _ordered(event.groupBy(*USER_DAY).agg(F.count(F.lit(1)).alias("_n")).drop("_n"),
+                        ordered, *USER_DAY)
     return _ordered(event.groupBy(*USER_DAY).agg(*counts), ordered, *USER_DAY)
 
 

@@ -152,3 +152,10 @@ def test_unique_contacts_with_no_rows_of_that_type(spark):
     df = metrics.unique_texts(ev)
     assert df.columns == ["user_id", "number", "event_date", "count_unique"] and df.count() == 0
     assert metrics.call_duration(calls(spark, [])).count() == 0
+
+
+def test_data_derived_columns_on_empty_input(spark):
+    ev = events(spark, [])
+    assert metrics.count_commtype(ev, types=None).columns == ["user_id", "event_date"]
+    assert metrics.stats_sms(ev, directions=None).columns == ["user_id", "event_date", "average_no_messages"]
+    assert metrics.ratio_sms(ev, directions=None).columns == ["user_id", "event_date", "ratio"]
