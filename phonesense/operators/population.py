@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from phonesense.functions.variant import get_array
 from phonesense.operators.grouped import null_safe_join
 from phonesense.operators.payload import probe_suffix_match
+from phonesense.sources.uploads import with_source_order
 from phonesense.schemas import (
     AVAILABLE, CALLS_ARRAY, COMM_EVENT_PROBE, COMM_LOG_PROBE, LOCATION_PROBE, NOT_AVAILABLE,
     POPULATION_FLAGS, SMS_ARRAY,
@@ -40,6 +41,11 @@ def _flag(hit: Column) -> Column:
 
 def _matrix(register: DataFrame, presence: DataFrame, order_col: str,
             drop: Sequence[str], keep_order_col: bool) -> DataFrame:
+    if order_col not in register.columns:
+        # No recorded position: use the order of the scan the register comes
+        # from (file split, then row), which is file order for a file source.
+        register = with_source_order(register, order_col)
+        keep_order_col = False
     first = first_row_per_user(register, order_col)
     joined = null_safe_join(first, presence, ["user_id"], "left")
     out_cols = [c for c in register.columns

@@ -47,3 +47,13 @@ def test_register_columns_with_dots_and_spaces(spark):
     df = sensor_population(reg, empty, empty, empty, empty, order_col="row no")
     assert df.columns == ["user_id", "site.name", "row no", "location", "calls", "sms", "event"]
     assert df.first()["site.name"] == "t"
+
+
+def test_register_without_order_column_uses_scan_order(spark, tmp_path):
+    path = tmp_path / "reg.csv"
+    path.write_text("user_id,email,site\nu1,a@x,first\nu1,b@x,second\n")
+    reg = spark.read.option("header", "true").csv(str(path))
+    empty = spark.createDataFrame([], "user_id string")
+    df = sensor_population(reg, empty, empty, empty, empty)
+    assert df.columns == ["user_id", "site", "location", "calls", "sms", "event"]
+    assert df.first().site == "first"
