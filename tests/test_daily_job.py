@@ -28,3 +28,16 @@ def test_daily_job_end_to_end(spark, tmp_path):
     lines = [json.loads(x) for p in (out / "json" / "call_duration").glob("part-*") for x in p.read_text().splitlines()]
     assert lines == [{"user_id": "u1", "call_timestamp": "2017-07-12 10:42:03", "event_date": "2017-07-12",
                       "callDuration": 4.0, "max_time": "max_time", "time_of_day": "Morning"}]
+
+
+def test_daily_job_parquet_uploads_without_register(spark, tmp_path):
+    from daily_job import main
+    src = tmp_path / "uploads"
+    spark.createDataFrame(
+        [(7, '{"PROBE":"a.LocationProbe","TIMESTAMP":1499856123.456,"LATITUDE":1.25,"GPS_AVAILABLE":1}', "x")],
+        "user_id bigint, payload string, device string").write.parquet(str(src))
+    out = tmp_path / "out"
+    main(["--uploads", str(src), "--format", "parquet", "--out", str(out), "--hour-tz", "Africa/Nairobi"])
+    loc = spark.read.parquet(str(out / "tables" / "probe_location")).first()
+    assert (loc.user_id, loc.latitude, loc.gpsAvailable, loc.event_hour) == ("7", 1.25, True, 13)
+    assert not (out / "tables" / "sensor_population").exists()
