@@ -46,13 +46,14 @@ def results(pl, register, hour_tz: str, date_tz: str) -> dict:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    ap.add_argument("--uploads", required=True)
-    ap.add_argument("--format", default="csv")
-    ap.add_argument("--register")
-    ap.add_argument("--out", required=True)
-    ap.add_argument("--mode", default="PERMISSIVE", choices=["FAILFAST", "PERMISSIVE"])
-    ap.add_argument("--hour-tz", default="UTC")
-    ap.add_argument("--date-tz", default="UTC")
+    ap.add_argument("--uploads", required=True, help="upload files (user_id, payload) or a table name")
+    ap.add_argument("--format", default="csv", help="csv (default), parquet, json, table, ...")
+    ap.add_argument("--register", help="participant register CSV; enables sensor_population")
+    ap.add_argument("--out", required=True, help="output folder on shared storage")
+    ap.add_argument("--mode", default="PERMISSIVE", choices=["FAILFAST", "PERMISSIVE"],
+                    help="malformed payloads: skip (PERMISSIVE, default) or stop the job (FAILFAST)")
+    ap.add_argument("--hour-tz", default="UTC", help="time zone of event_hour (default UTC)")
+    ap.add_argument("--date-tz", default="UTC", help="time zone of event_date (default UTC)")
     ap.add_argument("--json", action="store_true", help="also write every result as JSON Lines")
     ap.add_argument("--master", help="only for local runs; spark-submit sets it on a cluster")
     args = ap.parse_args(argv)
