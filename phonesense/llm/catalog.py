@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import licenses, mixing, sharding
 
 QUERIES = {
+    "op1_license_scan": licenses.op1_license_scan,
     "op3_mixing": mixing.op3_mixing,
+    "op4_sharding": sharding.op4_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
