@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-from . import licenses, mixing, sharding
+from . import ann, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
+    "op2_packing": packing.op2_packing,
     "op3_mixing": mixing.op3_mixing,
     "op4_sharding": sharding.op4_sharding,
+    "op5_topk": topk.op5_topk,
+    "op6_quality": quality.op6_quality,
+    "op7_lm_score": lm.op7_lm_score,
+    "op8_near_dedup": neardup.op8_near_dedup,
+    "op9_pii": pii.op9_pii,
+    "op10_ann": ann.op10_ann,
 }
 
 ORACLE_SQL: dict[str, str] = {}
