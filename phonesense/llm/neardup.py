@@ -246,6 +246,7 @@ def stragglers(members: DataFrame, nodes: DataFrame, take: int | None) -> DataFr
     cols = ["key", "p", "q", "node", "comp", "regs", "size"]
     lone = at.where(F.col("comp") != F.col("main")).withColumn("p", spot(few)).withColumn("q", each(many)).select(*cols)
     rest = at.withColumn("q", spot(many)).withColumn("p", each(few)).select(*cols)
+    rest = rest.toDF(*cols)  # columns of its own, as both sides come from the same rows
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []

@@ -166,6 +166,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     queries = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "vec_id", "q"), F.lit(blocks)).cast("int"))
     asked = queries.join(units, "dim")
     held = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    held = held.toDF(*held.columns)  # columns of its own, as both sides come from the same rows
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []

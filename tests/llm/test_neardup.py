@@ -1,0 +1,142 @@
+import random
+import re
+
+import numpy as np
+import pytest
+
+from phonesense.llm import neardup
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string, node string, comp int, content string"
+
+
+def brute_set(text, k):
+    words = tuple(WORD.findall((text or "").translate(LOWER)))
+    if not words:
+        return frozenset()
+    return frozenset([words]) if len(words) < k else frozenset(words[i:i + k] for i in range(len(words) - k + 1))
+
+
+def brute(rows, k):
+    """doc_id -> (set size, least id reachable), by comparing all pairs."""
+    sets = [(d, brute_set(t, k)) for d, t in rows]
+    up = list(range(len(sets)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j in range(i):
+            b = sets[j][1]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                up[root(i)] = root(j)
+    least = {}
+    for i, (d, _) in enumerate(sets):
+        if d is not None:
+            least[root(i)] = min(d, least.get(root(i), d))
+    return sorted((d is None, d or 0, len(s), least.get(root(i), -1)) for i, (d, s) in enumerate(sets))
+
+
+def edited(words, rate, rng, pool):
+    return [rng.choice(pool) if rng.random() < rate else w for w in words]
+
+
+def corpus(seed=0):
+    rng = random.Random(seed)
+    pool = [f"w{i}" for i in range(2000)]
+    rows = []
+    for _ in range(25):  # groups from two near copies to a dozen, some at the threshold
+        base = rng.choices(pool, k=rng.randint(30, 200))
+        for _ in range(rng.randint(2, 12)):
+            rows.append(" ".join(edited(base, rng.choice([0, 0.005, 0.02, 0.04]), rng, pool)))
+    # A chain: each links with the next, the ends don't.
+    base = rng.choices(pool, k=100)
+    for i in range(0, 60, 8):
+        rows.append(" ".join(base[i:] + pool[i:2 * i]))
+    passage = " ".join(rng.choices(pool, k=60))
+    rows += [passage + " " + " ".join(rng.choices(pool, k=60)) for _ in range(40)]  # a shared passage is no copy
+    rows += ["Same Words  here\tnow", "same words here now", "two words", "TWO words", "one", "", None, " \n", "é É", "É é"]
+    rng.shuffle(rows)
+    out = [(i * 3 + 1, t) for i, t in enumerate(rows)]
+    return out + [out[0], out[0], (None, "two words"), (None, "only without id")]
+
+
+def result(df):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles, -1 if r.component_id is None else r.component_id) for r in df.collect())
+
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_components(spark, k):
+    rows = corpus(k)
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    assert result(neardup.components(docs, k)) == brute(rows, k)
+
+
+def test_many_near_copies_with_few_links_each(spark, tmp_path):
+    """A group of which a third of the pairs are links: hubs alone don't join it."""
+    rng = random.Random(8)
+    pool = [f"w{i}" for i in range(3000)]
+    base = rng.choices(pool, k=120)
+    rows = [(i, " ".join(edited(base, 0.025, rng, pool))) for i in range(150)]
+    rows += [(1000 + i, " ".join(edited(base, 0.08, rng, pool))) for i in range(60)]
+    spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA).repartition(5).write.parquet(f"{tmp_path}/documents.parquet")
+    out = neardup.op8_near_dedup(spark, str(tmp_path))
+    assert result(out) == brute(rows, 4)
+    assert all(r.kept == (r.doc_id == r.component_id) for r in out.collect())
+
+
+def test_small_chunks_agree(spark, monkeypatch):
+    rows = corpus(9)
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    monkeypatch.setattr(neardup, "CHUNK", 3)
+    monkeypatch.setattr(neardup, "ROUNDS", (1, 2, None))
+    assert result(neardup.components(docs, 4)) == brute(rows, 4)
+
+
+def test_one_of_each(spark):
+    rows = corpus(3)
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    out = neardup.one_of_each(docs, 5)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in out.collect())
+    keep = {(d, r) for _, d, n, r in brute(rows, 5) if n}
+    ids = {d for d, r in keep if d == r and d}
+    worded = [(d, t) for d, t in got if brute_set(t, 5)]
+    assert sorted(d for d, _ in worded if d) == sorted(ids)
+    assert [t for d, t in worded if not d] == ["only without id"]
+    assert sum(not brute_set(t, 5) for _, t in got) == sum(not brute_set(t, 5) for _, t in rows)
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert neardup.components(docs, 5).collect() == [] and neardup.one_of_each(docs, 5).collect() == []
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8, 0.95])
+def test_likelihood_finds_the_similarity(share):
+    rng = np.random.default_rng(1)
+    found = []
+    for _ in range(30):
+        n = 800
+        both = int(n * share)
+        s = rng.integers(0, 1 << 63, 2 * n - both, dtype=np.uint64)
+        a, b = s[:n], s[n - both:]
+        j = neardup.likely(neardup.registers(a)[None], neardup.registers(b)[None], np.array([n]), np.array([n]))[0]
+        found.append(j - both / (2 * n - both))
+    assert abs(np.mean(found)) < 0.04 and max(map(abs, found)) < 0.25
+
+
+def test_registers_merge():
+    rng = np.random.default_rng(2)
+    a, b = (rng.integers(0, 1 << 63, 500, dtype=np.uint64) for _ in range(2))
+    assert (np.maximum(neardup.registers(a), neardup.registers(b)) == neardup.registers(np.union1d(a, b))).all()
+
+
+def test_long_texts_are_hashed_alike_in_pieces(monkeypatch):
+    text = " ".join(f"word{i}" for i in range(5000))
+    whole = neardup.shingles(text, 5)
+    monkeypatch.setattr(neardup, "PIECE", 100)
+    assert (neardup.shingles(text, 5) == whole).all() and len(whole) == 4996

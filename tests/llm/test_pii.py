@@ -1,0 +1,110 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from phonesense.llm import pii
+
+# The patterns as the contract states them.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (1 + i % 2)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def brute(text):
+    text = text or ""
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 14 <= len(digits(m)) <= 19 and luhn(digits(m))]
+    out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m)) <= 15]
+    return sorted(out)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b.c", "@", ".", "1", "23", "+", " ", "-", "(", "255", "4111 1111 1111 1111", "x@y.z", "é", "\n",
+                                 "+1 (555) 010-9999", "1.2.3.4", "%", "_"]), max_size=25).map("".join))
+def test_entities_are_the_patterns(text):
+    assert pii.entities(text) == brute(text)
+
+
+def test_long_runs_take_linear_time():
+    for run in ("a" * 300_000, "1" * 300_000, "a@" * 50_000, "1." * 100_000, "+1" * 50_000, "1 " * 100_000):
+        pii.entities(run)
+
+
+def saved(spark, rows, path):
+    spark.createDataFrame(rows, "doc_id long, text string, spans string, terms int").repartition(3).write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def corpus():
+    rng = random.Random(2)
+    filler = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    rows = [(i, " ".join(rng.choices(filler, k=40)), "s", i) for i in range(300)]
+    # "quasimodo" stands near one address in five texts and nowhere else; "common" everywhere.
+    rows += [(1000 + i, f"{' '.join(rng.choices(filler, k=20))} common quasimodo mail bell@tower.example.org {i}", "s", 0) for i in range(5)]
+    rows += [(2000 + i, f"common {' '.join(rng.choices(filler, k=10))}", "s", 0) for i in range(200)]
+    # Exact copies are no evidence.
+    rows += [(3000 + i, "lonely hermit 10.0.0.1 here", "s", 0) for i in range(50)]
+    return rows + [(4000, None, None, None), (4001, "", None, None), (4002, "quasimodo alone", "s", 1), (4002, "quasimodo alone", "s", 1),
+                   (None, "call +1 (555) 010-9999 or 4111-1111-1111-1111", "s", 1)]
+
+
+def test_query(spark, tmp_path):
+    rows = corpus()
+    out = pii.op9_pii(spark, saved(spark, rows, tmp_path)).collect()
+    assert sorted((r.doc_id is None, r.doc_id) for r in out) == sorted((r[0] is None, r[0]) for r in rows)
+    text = {r[0]: r[1] or "" for r in rows}
+    terms = set()
+    for r in out:
+        own = brute(text[r.doc_id])
+        base = [f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in own]
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in own) for i in range(4)]
+        spans = r.spans.split(",") if r.spans else []
+        assert set(base) <= set(spans) and len(spans) == len(base) + r.n_term
+        for kind, s, e in (x.split(":") for x in spans if x.startswith("term")):
+            terms.add(text[r.doc_id][int(s):int(e)])
+    assert "quasimodo" in terms and not terms & {"common", "lonely", "hermit", "worda"}
+    assert [r.n_term for r in out if r.doc_id == 4002] == [1, 1]
+    assert all(r.n_term == 0 for r in out if r.doc_id is not None and (r.doc_id < 300 or 2000 <= r.doc_id < 4002)) or terms > {"quasimodo", "mail"}
+
+
+def test_slices_agree(spark, tmp_path):
+    docs = spark.read.parquet(saved(spark, corpus(), tmp_path) + "/documents.parquet")
+    words = spark.createDataFrame([("quasimodo",), ("common",), ("lonely",), ("absent",)], "term string")
+    flat = lambda df: sorted((r.content, h.term, h.start, h.end) for r in df.collect() for h in r.hits)
+    assert flat(pii.place_terms(docs, words)) == flat(pii.place_terms(docs, words, size=1))
+
+
+def test_sanitise(spark, tmp_path):
+    rows = corpus()
+    docs = spark.read.parquet(saved(spark, rows, tmp_path) + "/documents.parquet")
+    out = pii.sanitise(docs)
+    assert out.columns == docs.columns
+    got = {}
+    for r in out.collect():
+        got[r.doc_id] = r
+    assert out.count() == len(rows)
+    assert got[4000].text is None and got[4001].text == ""
+    assert got[None].text == "call [PHONE] or [CARD]"
+    assert "bell@" not in got[1000].text and "[EMAIL]" in got[1000].text and "quasimodo" not in got[1000].text
+    assert got[3000].text == "lonely hermit [IP] here" and got[3000].spans == "s"
+    text = {r[0]: r[1] for r in rows}
+    assert all(got[i].text == text[i] for i in range(300))
+
+
+def test_empty_table(spark, tmp_path):
+    assert pii.op9_pii(spark, saved(spark, [], tmp_path)).collect() == []
