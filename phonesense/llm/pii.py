@@ -3,14 +3,15 @@
 Entities (e-mail and IP addresses, card and phone numbers) are found by pattern
 in every whole text. The corpus then tells how much a term discloses: an entity
 e holds log2(N / n_e) bits, and seeing term t near it leaves -log2(n_te / n_t)
-of them open, where n counts distinct texts. A term that stands near an entity
+of them open, where n counts documents. A term that stands near an entity
 in at least ``SUPPORT`` distinct texts and discloses at least ``DISCLOSES`` of
 its bits is marked wherever it occurs: generalised, or removed from
-``REMOVES`` on. Exact copies count once, so that a copied text is no evidence.
+``REMOVES`` on. For the support exact copies are one text: a copied text alone
+is no evidence.
 
-Two scans: one finds the entities and the terms near them, one counts and
-places the candidate terms; terms are candidates only with the support, and are
-sent to the tasks in slices of at most ``SLICE`` terms, one pass for each slice,
+Three scans: one finds the entities and the terms near them, one counts the
+documents of the terms that have the support, one places the few that disclose
+enough. Terms go to the tasks in slices of about ``SLICE``, one pass for each slice,
 so what is broadcast stays bounded whatever the corpus. The patterns need time
 in proportion to the text, long runs included. All counts are grouped with
 partial sums; no group of rows is held in one task.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -120,60 +122,81 @@ def find_entities(docs: DataFrame) -> DataFrame:
                                "text").mapInPandas(find, FOUND), "pii-found")
 
 
-HITS = "content string, hits array<struct<term:string,start:int,end:int>>"
+HITS = "content string, terms array<struct<term:string,start:int,end:int>>"
 
 
-def place_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFrame:
-    """``content, hits``: where the terms stand in each text, one row for each row of ``docs``
-    that has any. ``terms`` goes out in slices of ``size`` terms on average."""
-    terms = written(terms.select("term"), "pii-terms")
+def sliced(docs: DataFrame, terms: DataFrame, size: int, run, schema: str) -> DataFrame:
+    """``run(batches, terms)`` over ``docs`` with the terms sent out as a set, in as many passes as
+    it takes for none to send more than about ``size`` terms."""
     slices = max(1, -(-terms.count() // size))
-    texts = docs.select(F.md5(F.col("text").cast("binary")).alias("content"), "text")
     out = None
     for i in range(slices):
         own = terms.where(F.pmod(F.xxhash64("term"), F.lit(slices)) == i)
         sent = docs.sparkSession.sparkContext.broadcast(frozenset(r.term for r in own.collect()))
-
-        def find(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            own = sent.value
-            for batch in batches:
-                rows = []
-                for content, text in zip(batch["content"], batch["text"], strict=True):
-                    text = text.translate(ASCII_LOWER) if isinstance(text, str) else ""
-                    if own and not own.isdisjoint(TERM.findall(text)):
-                        rows.append((content, [{"term": m[0], "start": m.start(), "end": m.end()}
-                                               for m in TERM.finditer(text) if m[0] in own]))
-                yield pd.DataFrame(rows, columns=["content", "hits"])
-
-        part = texts.mapInPandas(find, HITS)
+        part = docs.mapInPandas(lambda batches, sent=sent: run(batches, sent.value), schema)
         out = part if out is None else out.unionByName(part)
-    return written(out, "pii-hits")
-
-
-def disclosures(found: DataFrame, hits: DataFrame) -> DataFrame:
-    """``term, disclosure``: the largest share of an entity's bits that a term gives away."""
-    seen = found.where(F.size("spans") > 0).select("content", "near").dropDuplicates(["content"])
-    pairs = seen.select("content", F.explode("near").alias("p")).select("content", "p.entity", "p.term")
-    joint = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    of_entity = pairs.select("content", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    each = hits.select("content", F.explode(F.array_distinct(F.transform("hits", lambda x: x["term"]))).alias("term"))
-    of_term = each.distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    n = found.agg(F.count_distinct(F.coalesce("content", F.lit("")))).scalar()
+    return out
+
+
+def count_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFrame:
+    """``term, n_t``: in how many rows of ``docs`` each of the terms stands."""
+
+    def run(batches: Iterator[pd.DataFrame], own: frozenset) -> Iterator[pd.DataFrame]:
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch["text"]:
+                if own and isinstance(text, str):
+                    held.update(own.intersection(TERM.findall(text.translate(ASCII_LOWER))))
+        yield pd.DataFrame(held.items(), columns=["term", "n"])
+
+    counted = sliced(docs.select("text"), terms, size, run, "term string, n long")
+    return counted.groupBy("term").agg(F.sum("n").alias("n_t"))
+
+
+def place_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFrame:
+    """``content, terms``: where the terms stand in each text, one row for each row of ``docs``
+    and slice that has any."""
+
+    def run(batches: Iterator[pd.DataFrame], own: frozenset) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for content, text in zip(batch["content"], batch["text"], strict=True):
+                text = text.translate(ASCII_LOWER) if isinstance(text, str) else ""
+                if own and not own.isdisjoint(TERM.findall(text)):
+                    rows.append((content, [{"term": m[0], "start": m.start(), "end": m.end()}
+                                           for m in TERM.finditer(text) if m[0] in own]))
+            yield pd.DataFrame(rows, columns=["content", "terms"])
+
+    texts = docs.select(F.md5(F.col("text").cast("binary")).alias("content"), "text")
+    return sliced(texts, terms, size, run, HITS)
+
+
+def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``term, disclosure``: the largest share of an entity's bits that a term gives away, for the
+    terms that give away enough of one; written."""
+    pairs = found.where(F.size("near") > 0).select("content", F.explode("near").alias("p")).select(
+        "content", "p.entity", "p.term")
+    # Copies are counted where they stand; for the support they are one text.
+    joint = pairs.groupBy("entity", "term", "content").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
+        F.sum("n").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
+    joint = written(joint, "pii-joint")
+    terms = written(joint.select("term").distinct(), "pii-terms")
+    entities = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform(
+        "near", lambda p: p["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    n = found.agg(F.count("*")).scalar()
     bits = F.log2(n / F.col("n_e"))
     share = F.when(bits > 0, 1 + F.log2(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.nullif(bits, F.lit(0.0)))
-    return joint.join(of_entity, "entity").join(of_term, "term").groupBy("term").agg(F.max(share).alias("disclosure")).where(
-        F.col("disclosure") >= DISCLOSES)
+    told = joint.join(entities, "entity").join(count_terms(docs, terms), "term")
+    told = told.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= DISCLOSES)
+    return written(told, "pii-disclosures")
 
 
 def find(docs: DataFrame) -> DataFrame:
     """``doc_id, content, spans, terms`` (array of start, end, removed) for each row of ``docs``."""
     found = find_entities(docs)
-    seen = found.where(F.size("spans") > 0).select("content", "near").dropDuplicates(["content"])
-    candidates = seen.select(F.explode("near").alias("p")).groupBy("p.entity", "p.term").agg(
-        F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("term").distinct()
-    hits = place_terms(docs, candidates)
-    told = written(disclosures(found, hits), "pii-disclosures")
-    placed = hits.select("content", F.explode("hits").alias("h")).select("content", "h.*").distinct().join(told, "term")
+    told = disclosures(docs, found)
+    hits = place_terms(docs, told.select("term"))
+    placed = hits.select("content", F.explode("terms").alias("h")).select("content", "h.*").distinct().join(told, "term")
     placed = placed.groupBy("content").agg(F.sort_array(F.collect_set(F.struct(
         "start", "end", (F.col("disclosure") >= REMOVES).alias("removed")))).alias("terms"))
     out = found.join(placed, "content", "left")

@@ -85,8 +85,11 @@ def test_query(spark, tmp_path):
 def test_slices_agree(spark, tmp_path):
     docs = spark.read.parquet(saved(spark, corpus(), tmp_path) + "/documents.parquet")
     words = spark.createDataFrame([("quasimodo",), ("common",), ("lonely",), ("absent",)], "term string")
-    flat = lambda df: sorted((r.content, h.term, h.start, h.end) for r in df.collect() for h in r.hits)
+    flat = lambda df: sorted((r.content, h.term, h.start, h.end) for r in df.collect() for h in r.terms)
     assert flat(pii.place_terms(docs, words)) == flat(pii.place_terms(docs, words, size=1))
+    counts = lambda df: {r.term: r.n_t for r in df.collect()}
+    assert counts(pii.count_terms(docs, words)) == counts(pii.count_terms(docs, words, size=1)) == {
+        "quasimodo": 7, "common": 205, "lonely": 50}
 
 
 def test_sanitise(spark, tmp_path):
