@@ -48,7 +48,7 @@ END = FREQUENT
 START = CLASSES  # as context only
 HEAD = 200_000
 LONGEST = 64  # bytes of a word in the head
-DIM, STEPS, BATCH, NOISE = 24, 900, 4096, 160
+DIM, STEPS, BATCH, NOISE = 24, 700, 4096, 80
 #: The end of a text in tables of words: no word holds a line break.
 END_WORD = b"\n"
 REMEMBERED = 300_000
