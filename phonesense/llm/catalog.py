@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import ann, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
+from .oracle import ORACLE_SQL
 
 QUERIES = {
     "op1_license_scan": licenses.op1_license_scan,
@@ -17,4 +18,4 @@ QUERIES = {
     "op10_ann": ann.op10_ann,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]

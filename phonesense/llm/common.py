@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from phonesense.session import scratch_path
+from phonesense.session import remove_at_exit, scratch_path
 
 #: A run of anything but the ASCII white space 0x20, 0x09-0x0D.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,8 +25,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    remove_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -52,7 +52,7 @@ THRESHOLD = (80, 100)
 SLACK = 0.25
 CHUNK = 2000
 #: How many of a straggler's likeliest partners in a chunk are confirmed in each round; the last takes all.
-ROUNDS = (4, 64, None)
+ROUNDS = (16, None)
 SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 PIECE = 1 << 20
 
