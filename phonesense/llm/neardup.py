@@ -12,10 +12,13 @@ estimated jointly by likelihood from the registers and set sizes, could reach
 the threshold are confirmed on the full sets. Confirmed links are joined to
 components. Where a bucket still holds several components, the members outside
 its largest one are held against all its members by their registers, in chunks
-of bounded size inside Python tasks, several small buckets to a task: only pairs that may link come out, the
-likeliest first, and are confirmed too, until no bucket has a pair left that
-could join two components. So no link that shares a band is lost and nothing is
-capped; with BANDS x BAND_ROWS registers a pair at 0.8 shares no band with a chance of
+of bounded size inside Python tasks, several small buckets to a task. First the
+likeliest few partners of each are confirmed and joined; then all that is left
+is settled at once: members that have any partner by their registers bring their
+texts, and a task finds the links of a chunk with an index from shingles to
+members. Only links come out, one for each member and component, so no link
+that shares a band is lost, nothing is capped, and no group's pairs are emitted.
+With BANDS x BAND_ROWS registers a pair at 0.8 shares no band with a chance of
 (1 - 0.8^4)^24 = 3e-6.
 
 Hot groups: copies collapse to nodes by a partial aggregate, buckets are joined
@@ -47,12 +50,13 @@ REGISTERS = BANDS * BAND_ROWS
 #: Base and offset of the register scale, and the largest register.
 BASE, OFFSET, TOP = 1.02, 64.0, 4095
 THRESHOLD = (80, 100)
-#: A pair is confirmed if its estimate is no more than this below the threshold: about six
+#: A pair is confirmed if its estimate is no more than 0.2 below the threshold: about five
 #: standard deviations of the estimate at 0.8.
-SLACK = 0.25
-CHUNK = 2000
-#: How many of a straggler's likeliest partners in a chunk are confirmed in each round; the last takes all.
-ROUNDS = (16, None)
+LEAST = THRESHOLD[0] / THRESHOLD[1] - 0.2
+CHUNK = 1000
+#: How many of a straggler's likeliest partners in a chunk are confirmed one by one before all are settled.
+TAKE = 16
+BIN_BYTES = 8 << 20
 SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 PIECE = 1 << 20
 
@@ -218,8 +222,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
 
 def hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that the registers do not rule out."""
-    least = THRESHOLD[0] / THRESHOLD[1] - SLACK
+    """The pairs that the set sizes and registers do not rule out."""
 
     @F.pandas_udf("double")
     def estimate(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
@@ -227,37 +230,48 @@ def hopeful(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("regs").alias(f"regs_{x}"), F.col("n").alias(f"n_{x}"))
     at = pairs.join(side("a"), "a").join(side("b"), "b")
-    return at.where(estimate("regs_a", "regs_b", "n_a", "n_b") >= least).select("a", "b")
+    fit = F.least("n_a", "n_b") * THRESHOLD[1] >= F.greatest("n_a", "n_b") * THRESHOLD[0]
+    return at.where(fit).where(estimate("regs_a", "regs_b", "n_a", "n_b") >= LEAST).select("a", "b")
 
 
-def near_pairs(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Places of rows of ``left`` and ``right`` that are of one bucket chunk and different
-    components and agree in a quarter of the registers (at 0.55 over half of them do)."""
+def segments(names: pd.DataFrame, others: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of the rows of both frames that are of one bucket chunk (``key, p, q``), chunk by chunk."""
     key = lambda x: pd.MultiIndex.from_frame(x[["key", "p", "q"]])
-    at, names = pd.factorize(key(right))
-    of = names.get_indexer(key(left))
-    grouped = lambda g: (o := np.argsort(g, kind="stable"), np.searchsorted(g[o], np.arange(len(names) + 1)))
+    at, chunks = pd.factorize(key(others))
+    of = chunks.get_indexer(key(names))
+    grouped = lambda g: (o := np.argsort(g, kind="stable"), np.searchsorted(g[o], np.arange(len(chunks) + 1)))
     (order, ends), (own, own_ends) = grouped(at), grouped(of)
+    for g in np.unique(of[of >= 0]):
+        yield own[own_ends[g]:own_ends[g + 1]], order[ends[g]:ends[g + 1]]
+
+
+def near_pairs(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of rows of ``left`` and ``right`` that are of one bucket chunk and different
+    components and that the set sizes and registers do not rule out, with the estimates."""
     comp = {x: i for i, x in enumerate(pd.unique(pd.concat([left["comp"], right["comp"]])))}
     c_left, c_right = left["comp"].map(comp).to_numpy(), right["comp"].map(comp).to_numpy()
     r_left, r_right = unpacked(left["regs"]), unpacked(right["regs"])
-    some_a, some_b = [], []
-    for g in np.unique(of[of >= 0]):
-        a, b = own[own_ends[g]:own_ends[g + 1]], order[ends[g]:ends[g + 1]]
+    n_left, n_right = left["size"].to_numpy(), right["size"].to_numpy()
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for a, b in segments(left, right):
         for i in range(0, len(a), 64):
             block = a[i:i + 64]
             alike = (r_left[block][:, None, :] == r_right[b][None, :, :]).sum(-1) >= REGISTERS // 4
             x, y = np.nonzero(alike & (c_left[block][:, None] != c_right[b][None, :]))
-            some_a.append(block[x])
-            some_b.append(b[y])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(some_a) if some_a else none), (np.concatenate(some_b) if some_b else none)
-
-
-def stragglers(members: DataFrame, nodes: DataFrame, take: int | None) -> DataFrame:
-    """``a, b, more``: pairs of a member outside its bucket's largest component and one of another
-    component that the registers do not rule out, the ``take`` likeliest of each chunk."""
-    least = THRESHOLD[0] / THRESHOLD[1] - SLACK
+            x, y = block[x], b[y]
+            fit = np.minimum(n_left[x], n_right[y]) * THRESHOLD[1] >= np.maximum(n_left[x], n_right[y]) * THRESHOLD[0]
+            found.append((x[fit], y[fit], np.zeros(fit.sum())))
+    i, k, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    for x in range(0, len(i), 20_000):
+        own, other = i[x:x + 20_000], k[x:x + 20_000]
+        j[x:x + 20_000] = likely(r_left[own], r_right[other], n_left[own], n_right[other])
+    ok = j >= LEAST
+    return i[ok], k[ok], j[ok]
+
+
+def dealt(members: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of unsettled buckets: those outside a bucket's largest component, and all; each
+    with a chunk ``key, p, q`` in which they meet, several chunks to a ``bin``."""
     sizes = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
     buckets = sizes.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps"),
                                        F.sum("n").alias("all"), F.max("n").alias("most")).where("comps > 1")
@@ -268,31 +282,78 @@ def stragglers(members: DataFrame, nodes: DataFrame, take: int | None) -> DataFr
     few, many = parts(F.col("all") - F.col("most")), parts(F.col("all"))
     spot = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    bin_of = F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)).alias("bin")
-    cols = [bin_of, "key", "p", "q", "node", "comp", "regs", "size"]
+    cols = [F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)).alias("bin"), "key", "p", "q", "node", "comp", "regs", "size"]
     lone = at.where(F.col("comp") != F.col("main")).withColumn("p", spot(few)).withColumn("q", each(many)).select(*cols)
     rest = at.withColumn("q", spot(many)).withColumn("p", each(few)).select(*cols)
-    rest = rest.toDF(*rest.columns)  # columns of its own, as both sides come from the same rows
+    return lone, rest.toDF(*rest.columns)  # columns of its own, as both sides come from the same rows
+
+
+def stragglers(members: DataFrame, nodes: DataFrame, take: int = TAKE) -> DataFrame:
+    """``a, b``: for each member outside its bucket's largest component its ``take`` likeliest
+    partners in each chunk."""
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame(columns=["a", "b", "more"])
-        i, k = near_pairs(left, right)
-        r_left, r_right = unpacked(left["regs"]), unpacked(right["regs"])
-        n_left, n_right = left["size"].to_numpy(), right["size"].to_numpy()
-        j = [likely(r_left[i[x:x + 20_000]], r_right[k[x:x + 20_000]], n_left[i[x:x + 20_000]], n_right[k[x:x + 20_000]])
-             for x in range(0, len(i), 20_000)]
-        found = pd.DataFrame({"x": left["node"].to_numpy()[i], "y": right["node"].to_numpy()[k],
-                              "j": np.concatenate(j) if j else np.zeros(0)})
-        found = found[found["j"] >= least].drop_duplicates(["x", "y"]).sort_values(["x", "j", "y"], ascending=[True, False, True])
-        place = found.groupby("x").cumcount()
-        found["more"] = False if take is None else found.groupby("x")["y"].transform("size") > take
-        found = found if take is None else found[place < take]
+            return pd.DataFrame(columns=["a", "b"])
+        i, k, j = near_pairs(left, right)
+        found = pd.DataFrame({"x": left["node"].to_numpy()[i], "y": right["node"].to_numpy()[k], "j": j})
+        found = found.drop_duplicates(["x", "y"]).sort_values(["x", "j", "y"], ascending=[True, False, True])
+        found = found[found.groupby("x").cumcount() < take]
         first = found["x"] < found["y"]
-        return pd.DataFrame({"a": found["x"].where(first, found["y"]), "b": found["y"].where(first, found["x"]), "more": found["more"]})
+        return pd.DataFrame({"a": found["x"].where(first, found["y"]), "b": found["y"].where(first, found["x"])})
+
+    lone, rest = dealt(members, nodes)
+    found = lone.groupBy("bin").cogroup(rest.groupBy("bin")).applyInPandas(run, "a binary, b binary")
+    return written(found.distinct(), "dup-stragglers")
+
 
-    found = lone.groupBy("bin").cogroup(rest.groupBy("bin")).applyInPandas(run, "a binary, b binary, more boolean")
-    return written(found.groupBy("a", "b").agg(F.max("more").alias("more")), "dup-stragglers")
+def settled(members: DataFrame, nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
+    """``a, b``: links between members of different components of a bucket, one at least for every
+    two components that have any. Members that have a partner by their registers bring
+    their texts; a task finds the links of a chunk with an index from shingles to members, so
+    no pair is emitted that is not a link, and one for each member and component."""
+    part, whole = THRESHOLD
+    kept = "key long, p int, q int, node binary, comp binary, lone boolean"
+
+    def hopeful_rows(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names = ["key", "p", "q", "node", "comp"]
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=[*names, "lone"])
+        i, k, _ = near_pairs(left, right)
+        return pd.concat([left.iloc[np.unique(i)][names].assign(lone=True), right.iloc[np.unique(k)][names].assign(lone=False)])
+
+    lone, rest = dealt(members, nodes)
+    hopes = lone.groupBy("bin").cogroup(rest.groupBy("bin")).applyInPandas(hopeful_rows, kept)
+    hopes = written(written(hopes, "dup-hopes").join(texts, "node"), "dup-hopes")
+    size = hopes.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    bins = max(1, -(-size // BIN_BYTES))
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        out: dict[tuple, tuple] = {}  # a link for each member and component
+        sets: dict[bytes, np.ndarray] = {}
+        for node, text in zip(rows["node"], rows["text"], strict=True):
+            if node not in sets:
+                sets[node] = shingles(text, k)
+        left, right = rows[rows["lone"]], rows[~rows["lone"]]
+        names, comps = right["node"].to_numpy(), right["comp"].to_numpy()
+        for a, b in segments(left, right):
+            size = np.array([len(sets[n]) for n in names[b]])
+            every = np.concatenate([sets[n] for n in names[b]])
+            order = np.argsort(every, kind="stable")
+            every, of = every[order], np.repeat(np.arange(len(b)), size)[order]
+            for node, comp in zip(left["node"].to_numpy()[a], left["comp"].to_numpy()[a], strict=True):
+                own = sets[node]
+                low, high = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+                n = high - low
+                spots = np.repeat(low - np.r_[0, n.cumsum()[:-1]], n) + np.arange(n.sum())
+                both = np.bincount(of[spots], minlength=len(b))
+                for i in np.flatnonzero(whole * both >= part * (len(own) + size - both)):
+                    if comps[b[i]] != comp:
+                        out[node, comps[b[i]]] = tuple(sorted((node, names[b[i]])))
+        return pd.DataFrame(list(out.values()), columns=["a", "b"])
+
+    at = hopes.withColumn("bin", F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)))
+    return written(at.groupBy("bin").applyInPandas(links, "a binary, b binary").distinct(), "dup-links")
 
 
 def relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -323,20 +384,15 @@ def components(docs: DataFrame, k: int = 5) -> DataFrame:
     found = connected(checked.where("linked"))
     labels = relabelled(labels, found)
     members = written(relabelled(members.select("key", "node", F.col("node").alias("comp")), found), "dup-members")
-    for take in ROUNDS:
-        pairs = stragglers(members, nodes, take)
-        new = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        more = confirmed(new, texts, k)
-        linked = more.where("linked")
-        if linked.limit(1).count():
-            comp = labels.select(F.col("node"), "comp")
-            edges = linked.join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b").where("ca != cb")
-            found = connected(edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    for links in (lambda: confirmed(stragglers(members, nodes), texts, k).where("linked"),
+                  lambda: settled(members, nodes, texts, k)):
+        comp = labels.select(F.col("node"), "comp")
+        edges = links().join(comp.toDF("a", "ca"), "a").join(comp.toDF("b", "cb"), "b").where("ca != cb")
+        edges = written(edges.select(F.col("ca").alias("a"), F.col("cb").alias("b")), "dup-edges")
+        if edges.limit(1).count():
+            found = connected(edges)
             labels = written(relabelled(labels, found), "dup-comps")
             members = written(relabelled(members, found), "dup-members")
-        elif not pairs.where("more").limit(1).count():
-            break
-        checked = checked.unionByName(more)
 
     ids = labels.join(nodes.select("node", "doc_id"), "node").select("node", "comp", "doc_id")
     names = ids.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
