@@ -73,8 +73,8 @@ def local_date(ts, tz: str = "UTC") -> Column:
     """Calendar date (DATE) of an instant in zone ``tz`` (UTC: arithmetic)."""
     if tz in UTC_ZONES:
         us = F.unix_micros(_col(ts))
-        days = ((us - F.pmod(us, F.lit(_DAY_US))) / F.lit(_DAY_US)).cast("int")
-        return F.date_from_unix_date(days)
+        days = F.call_function("div", us - F.pmod(us, F.lit(_DAY_US)), F.lit(_DAY_US))
+        return F.date_from_unix_date(days.cast("int"))
     return F.to_date(wall_clock(ts, tz))
 
 

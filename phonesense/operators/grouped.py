@@ -1,31 +1,26 @@
 """Attach per-group values back onto every row of the group, skew-safely.
 
-A window over ``(user_id, event_date)`` would sort each group inside one
-task; a participant-day holding a third of all rows would then run in a single
-task. Instead the per-group values are computed with partial aggregation
-(map-side combine) and joined back:
+A participant-day may hold a third of all rows, so its rows must not meet in
+one task. Rows that are alike are first one row with a count, which partial
+aggregation makes before the shuffle. ``HOME``, a hash of the row's other
+columns, then cuts a group into at most ``HOMES`` parts: values are computed per
+part by partial aggregation, put together over a group's few parts by a window,
+and joined to the rows by group and home, so a hot group stays spread. The
+counted rows are written out again in pieces of ``PIECE``, dealt evenly.
 
-* if the value table is small (its row count is checked), it is broadcast and
-  the rows are never shuffled;
-* otherwise the groups are split by size: groups with at least ``hot_rows``
-  rows (at most ``max_hot_keys`` of them, because ``hot_rows`` is raised to
-  ``total_rows / max_hot_keys`` when needed) are broadcast-joined, and only
-  the remaining cold rows take a shuffled join, where no key exceeds
-  ``hot_rows`` rows.
+Nothing runs while a DataFrame is built, nothing is written, and the source is
+read once: both uses of the counted rows share one exchange.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from phonesense.session import scratch_path
-
-BROADCAST_GROUPS = 1_000_000  # ~40 MB at ~40 bytes per (user, day, value) row
-MAX_HOT_KEYS = 100_000
-MIN_HOT_ROWS = 1_000_000
+HOME, TIMES = "_home", "_times"
+HOMES = 64
+PIECE = 10_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -36,7 +31,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")
     cond = None
     for k in keys:
-        c = left[k].eqNullSafe(renamed[f"__r_{k}"])
+        c = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
         cond = c if cond is None else cond & c
     out = left.join(renamed, cond, how)
     if how in ("left_anti", "left_semi", "anti", "semi", "leftanti", "leftsemi"):
@@ -44,33 +39,31 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def attach_group_values(rows: DataFrame, values: DataFrame, keys: Sequence[str], count_col: str,
-                        broadcast_groups: int = BROADCAST_GROUPS, max_hot_keys: int = MAX_HOT_KEYS,
-                        min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """Join ``values`` (one row per key, with ``count_col`` = number of rows of
-    that key in ``rows``) onto ``rows``. ``count_col`` is dropped from the
-    result.
+def counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct ``rows`` with how often each stands there (``TIMES``) and its
+    ``HOME`` within its group of ``keys``."""
+    rest = [c for c in rows.columns if c not in keys]
+    alike = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(TIMES))
+    return alike.withColumn(HOME, F.pmod(F.xxhash64(*rest), F.lit(HOMES)))
+
+
+def attach_group_values(alike: DataFrame, keys: Sequence[str], **values: tuple[Column, str]) -> DataFrame:
+    """``alike`` (as :func:`counted` gives it) with a value of its whole group in
+    each of ``values``: a pair of an aggregate over distinct rows and the name
+    of the SQL function that puts parts together (``sum``, ``max``...)."""
+    # The counts are asked for on this side too, so that Spark reuses the exchange beneath.
+    parts = alike.groupBy(*keys, HOME).agg(F.sum(TIMES).alias(TIMES), *[v.alias(c) for c, (v, _) in values.items()])
+    group = Window.partitionBy(*keys)
+    whole = parts.select(*keys, HOME, (F.col(TIMES) > 0).alias("_any"),
+                         *[F.call_function(how, F.col(c)).over(group).alias(c) for c, (_, how) in values.items()])
+    return null_safe_join(alike, whole.filter("_any").drop("_any"), [*keys, HOME])
+
 
-    ``values`` is computed once and written under the shared checkpoint
-    folder (``spark.checkpoint.dir``); its group and row counts are observed
-    by that same write job. The join reads the small written table, so the
-    lineage to the raw input is cut.
-    """
-    keys = list(keys)
-    spark = values.sparkSession
-    path = scratch_path(spark, "group-values")
-    sizes = Observation("group_values")
-    values.observe(sizes, F.count(F.lit(1)).alias("groups"),
-                   F.coalesce(F.sum(count_col), F.lit(0)).alias("rows")).write.parquet(path)
-    summary = sizes.get
-    values = spark.read.schema(values.schema).parquet(path)
-    payload = values.drop(count_col)
-    if summary["groups"] <= broadcast_groups:
-        return null_safe_join(rows, F.broadcast(payload), keys)
-    hot_rows = max(min_hot_rows, math.ceil(summary["rows"] / max_hot_keys))
-    hot = values.filter(F.col(count_col) >= hot_rows).drop(count_col)
-    cold = values.filter(F.col(count_col) < hot_rows).drop(count_col)
-    hot_part = null_safe_join(rows, F.broadcast(hot), keys)
-    cold_rows = null_safe_join(rows, F.broadcast(hot.select(*keys)), keys, "left_anti")
-    cold_part = null_safe_join(cold_rows, cold, keys)
-    return hot_part.unionByName(cold_part)
+def written_out(alike: DataFrame) -> DataFrame:
+    """Each row as often as ``TIMES`` says."""
+    n = F.col(TIMES)
+    pieces = alike.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / PIECE).cast("int"))))
+    dealt = pieces.repartition(*[c for c in alike.columns if c not in (TIMES, HOME)], "_piece")
+    size = F.least(F.lit(PIECE), n - F.col("_piece") * PIECE)
+    each = dealt.withColumn("_time", F.explode(F.sequence(F.lit(1), size.cast("int"))))
+    return each.drop("_piece", "_time", TIMES, HOME)

@@ -9,26 +9,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from phonesense.functions.time import time_of_day
-from phonesense.operators.grouped import attach_group_values
+from phonesense.operators.grouped import attach_group_values, counted, written_out
 from phonesense.schemas import (
-    COMM_TYPES, MAX_TIME_MARK, NULL_CATEGORY_LABEL, PHONE_DIRECTIONS, RATIO_DENOMINATOR,
-    RATIO_NUMERATOR, SMS_DIRECTIONS,
+    COMM_TYPES, MAX_TIME_MARK, NULL_CATEGORY_LABEL, OTHER_CATEGORY_LABEL, PHONE_DIRECTIONS,
+    RATIO_DENOMINATOR, RATIO_NUMERATOR, SMS_DIRECTIONS,
 )
 
 USER_DAY = ("user_id", "event_date")
-MAX_DYNAMIC_CATEGORIES = 1000
 
 
 def discover_categories(df: DataFrame, col: str) -> list[str | None]:
-    """Distinct values of a categorical column, sorted, NULL last (the
-    data-dependent column mode). Guarded: a column with more than
-    ``MAX_DYNAMIC_CATEGORIES`` values is not a category."""
-    found = [r[0] for r in df.select(col).distinct().limit(MAX_DYNAMIC_CATEGORIES + 1).collect()]
-    if len(found) > MAX_DYNAMIC_CATEGORIES:
-        raise ValueError(f"{col} has more than {MAX_DYNAMIC_CATEGORIES} distinct values")
+    """Distinct values of a categorical column, sorted, NULL last. Only for the
+    data-derived column mode, where they become the schema and so must come to
+    the driver; the default columns and the long forms need no such pass."""
+    found = [r[0] for r in df.select(col).distinct().collect()]
     return sorted(v for v in found if v is not None) + ([None] if None in found else [])
 
 
@@ -46,34 +43,62 @@ def _ordered(df: DataFrame, ordered: bool, *cols: str) -> DataFrame:
     return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]) if ordered else df
 
 
+def _category_columns(df: DataFrame, col: str, values: Sequence[str] | None, total) -> list[Column]:
+    """One column per category, each ``total`` of the rows that fall in it.
+
+    A declared list is completed by ``OTHER`` (any value not on it) and
+    ``<NA>`` (NULL), so every row is in exactly one column; ``values=None``
+    makes one column for each value found instead."""
+    c = F.col(col)
+    if values is None:
+        found = discover_categories(df, col)
+        return [total(_matches(c, v)).alias(_label(v)) for v in found]
+    columns = [total(_matches(c, v)).alias(_label(v)) for v in values]
+    named = [F.lit(v) for v in values if v is not None]
+    other = c.isNotNull() & ~c.isin(*named) if named else c.isNotNull()
+    columns.append(total(other).alias(OTHER_CATEGORY_LABEL))
+    return columns if None in values else [*columns, total(c.isNull()).alias(NULL_CATEGORY_LABEL)]
+
+
 def count_commtype(event: DataFrame, types: Sequence[str] | None = COMM_TYPES,
                    ordered: bool = False) -> DataFrame:
-    """Events per participant-day, one column per communication type.
+    """Events per participant-day, one column per communication type, then
+    ``OTHER`` and ``<NA>``.
 
     A type absent on that day is NULL (not 0). One aggregate, one exchange.
     ``types=None`` derives the columns from the data (NULL type -> ``<NA>``).
     """
-    if types is None:
-        types = discover_categories(event, "communication_type")
-    ctype = F.col("communication_type")
-    counts = [F.nullif(F.count_if(_matches(ctype, v)), F.lit(0)).alias(_label(v)) for v in types]
+    counts = _category_columns(event, "communication_type", types,
+                               lambda hit: F.nullif(F.count_if(hit), F.lit(0)))
     if not counts:  # no categories at all (empty input in data-derived mode)
         return _ordered(event.groupBy(*USER_DAY).agg(F.count(F.lit(1)).alias("_n")).drop("_n"),
                         ordered, *USER_DAY)
     return _ordered(event.groupBy(*USER_DAY).agg(*counts), ordered, *USER_DAY)
 
 
+def commtype_long(event: DataFrame) -> DataFrame:
+    """Events per participant-day and communication type, one row for each
+    type found (NULL included): ``user_id, event_date, category, n``."""
+    return event.groupBy(*USER_DAY, F.col("communication_type").alias("category")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def directions_long(event: DataFrame) -> DataFrame:
+    """Events per participant-day, type and direction, one row for each that is
+    found: ``user_id, event_date, communication_type, category, n``."""
+    return event.groupBy(*USER_DAY, "communication_type", F.col("comm_direction").alias("category")).agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def direction_counts(event: DataFrame, comm_type: str) -> DataFrame:
     """``(user_id, event_date, comm_direction, n)`` for one communication type."""
     return (event.filter(F.col("communication_type") == F.lit(comm_type))
             .groupBy(*USER_DAY, "comm_direction").agg(F.count(F.lit(1)).alias("n")))
 
 
-def _direction_columns(counts: DataFrame, directions) -> tuple[list, list[Column]]:
-    if directions is None:
-        directions = discover_categories(counts, "comm_direction")
-    d = F.col("comm_direction")
-    return directions, [F.max(F.when(_matches(d, v), F.col("n"))).alias(_label(v)) for v in directions]
+def _direction_columns(counts: DataFrame, directions) -> list[Column]:
+    return _category_columns(counts, "comm_direction", directions,
+                             lambda hit: F.sum(F.when(hit, F.col("n"))))
 
 
 def direction_stats(event: DataFrame, comm_type: str, mean_name: str,
@@ -81,20 +106,22 @@ def direction_stats(event: DataFrame, comm_type: str, mean_name: str,
     """Counts per direction plus ``ceil(mean)`` of those counts over the
     direction rows present that day (a NULL direction is one of them)."""
     counts = direction_counts(event, comm_type)
-    _, pivots = _direction_columns(counts, directions)
+    pivots = _direction_columns(counts, directions)
     out = counts.groupBy(*USER_DAY).agg(F.ceil(F.avg("n")).alias(mean_name), *pivots)
     return _ordered(out, ordered, *USER_DAY)
 
 
 def stats_phone(event: DataFrame, directions: Sequence[str] | None = PHONE_DIRECTIONS,
                 ordered: bool = False) -> DataFrame:
-    """PHONE events: ``average_no_calls`` and a count per direction."""
+    """PHONE events: ``average_no_calls`` and a count per direction, ``OTHER``
+    and ``<NA>`` included."""
     return direction_stats(event, "PHONE", "average_no_calls", directions, ordered)
 
 
 def stats_sms(event: DataFrame, directions: Sequence[str] | None = SMS_DIRECTIONS,
               ordered: bool = False) -> DataFrame:
-    """SMS events: ``average_no_messages`` and a count per direction."""
+    """SMS events: ``average_no_messages`` and a count per direction, ``OTHER``
+    and ``<NA>`` included."""
     return direction_stats(event, "SMS", "average_no_messages", directions, ordered)
 
 
@@ -103,7 +130,7 @@ def direction_ratio(event: DataFrame, comm_type: str, directions: Sequence[str]
     """Counts per direction and ``ratio`` = OUTGOING / INCOMING (NULL when
     either side is absent that day)."""
     counts = direction_counts(event, comm_type)
-    _, pivots = _direction_columns(counts, directions)
+    pivots = _direction_columns(counts, directions)
     d = F.col("comm_direction")
     num = F.max(F.when(d == F.lit(RATIO_NUMERATOR), F.col("n")))
     den = F.max(F.when(d == F.lit(RATIO_DENOMINATOR), F.col("n")))
@@ -126,45 +153,33 @@ def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
     time-of-day label; ordered by ``call_timestamp`` (unknown instants last).
 
     A day with any call of unknown duration has no defined maximum and gives
-    no row. One pass, one shuffle: ``rank()`` over durations with NULL first,
-    where NULL rows get a unique tie-break, so a day's rank-1 rows are either a
-    single NULL row (day dropped) or all of its longest calls. Catalyst turns
-    ``rank = 1`` into a partial ``WindowGroupLimit`` before the exchange, so a
-    hot day ships only its per-task maxima (or one NULL row per task), never
-    its whole group.
+    no row. The day's maximum is attached to its calls by
+    :func:`attach_group_values`, so a day whose calls all tie stays spread.
     """
+    rows = calls.select("user_id", "event_date", "call_timestamp", "callDuration", "event_hour")
     dur = F.col("callDuration")
-    flagged = calls.withColumn(
-        "_null_order", F.when(dur.isNull(), F.monotonically_increasing_id()))
-    w = Window.partitionBy(*USER_DAY).orderBy(dur.desc_nulls_first(), F.col("_null_order").asc())
-    top = flagged.withColumn("_rank", F.rank().over(w)).filter(F.col("_rank") == 1)
-    top = top.filter(dur.isNotNull())
+    top = attach_group_values(counted(rows, USER_DAY), USER_DAY, _longest=(F.max(dur), "max"),
+                              _unknown=(F.bool_or(dur.isNull()), "bool_or"))
+    top = written_out(top.filter(~F.col("_unknown") & dur.eqNullSafe(F.col("_longest"))).drop("_longest", "_unknown"))
     out = top.select("user_id", "call_timestamp", "event_date", "callDuration",
                      F.lit(MAX_TIME_MARK).alias("max_time"),
                      time_of_day("event_hour").alias("time_of_day"))
     return _ordered(out, ordered, "call_timestamp")
 
 
-def unique_contacts(event: DataFrame, comm_type: str, **join_options) -> DataFrame:
+def unique_contacts(event: DataFrame, comm_type: str) -> DataFrame:
     """Every event row of ``comm_type`` with ``count_unique`` = number of
-    distinct contacts that participant-day (an unknown contact counts once).
-
-    Distinct contacts come from two partial aggregates; the counts are joined
-    back with :func:`attach_group_values` (size-checked broadcast, hot/cold
-    split beyond it).
-    """
+    distinct contacts that participant-day (an unknown contact counts once)."""
     rows = event.filter(F.col("communication_type") == F.lit(comm_type)).select(
         "user_id", "number", "event_date")
-    per_contact = rows.groupBy(*USER_DAY, "number").agg(F.count(F.lit(1)).alias("m"))
-    per_day = per_contact.groupBy(*USER_DAY).agg(
-        F.count(F.lit(1)).alias("count_unique"), F.sum("m").alias("_rows"))
-    joined = attach_group_values(rows, per_day, USER_DAY, "_rows", **join_options)
-    return joined.select("user_id", "number", "event_date", "count_unique")
+    alike = counted(rows, USER_DAY)  # one row per contact of a day
+    return written_out(attach_group_values(alike, USER_DAY, count_unique=(F.count(F.lit(1)), "sum"))).select(
+        "user_id", "number", "event_date", "count_unique")
 
 
-def unique_texts(event: DataFrame, **join_options) -> DataFrame:
-    return unique_contacts(event, "SMS", **join_options)
+def unique_texts(event: DataFrame) -> DataFrame:
+    return unique_contacts(event, "SMS")
 
 
-def unique_calls(event: DataFrame, **join_options) -> DataFrame:
-    return unique_contacts(event, "PHONE", **join_options)
+def unique_calls(event: DataFrame) -> DataFrame:
+    return unique_contacts(event, "PHONE")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from phonesense.functions.variant import get_double, get_string, parse_payload
 from phonesense.schemas import KEY_GUID, KEY_PROBE, KEY_TIMESTAMP
@@ -34,6 +34,31 @@ def sensor_raw(raw: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     )
 
 
+# A VARIANT value holds at most this many bytes; a larger payload can't be parsed as one.
+VARIANT_LIMIT = 128 * 1024 * 1024
+
+
+def upload_state(payload: str = "payload") -> Column:
+    """``empty``, ``parsed``, ``oversize`` or ``malformed`` for each payload."""
+    text = F.col(payload)
+    return (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
+            .when(F.octet_length(text) > VARIANT_LIMIT - 16, F.lit("oversize"))
+            .when(parse_payload(payload, "PERMISSIVE").isNotNull(), F.lit("parsed"))
+            .otherwise(F.lit("malformed")))
+
+
+def upload_rejects(raw: DataFrame) -> DataFrame:
+    """Uploads that give no rows in ``PERMISSIVE`` mode though they hold text:
+    ``user_id, reason, payload`` with reason ``malformed`` or ``oversize``."""
+    state = raw.select(F.col("user_id").cast("string").alias("user_id"), upload_state().alias("reason"), "payload")
+    return state.filter(F.col("reason").isin("malformed", "oversize"))
+
+
+def upload_report(raw: DataFrame) -> DataFrame:
+    """How many uploads are in each state: ``state, n``; all uploads are counted."""
+    return raw.groupBy(upload_state().alias("state")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def probe_suffix_match(probe_col, family: str):
     """True when the probe name ends with ``.<family>`` (NULL never matches)."""
     col = F.col(probe_col) if isinstance(probe_col, str) else probe_col

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from phonesense.functions.variant import get_array
 from phonesense.operators.grouped import null_safe_join
 from phonesense.operators.payload import probe_suffix_match
-from phonesense.sources.uploads import with_source_order
 from phonesense.schemas import (
     AVAILABLE, CALLS_ARRAY, COMM_EVENT_PROBE, COMM_LOG_PROBE, LOCATION_PROBE, NOT_AVAILABLE,
     POPULATION_FLAGS, SMS_ARRAY,
@@ -26,12 +25,14 @@ def first_row_per_user(register: DataFrame, order_col: str) -> DataFrame:
 
     ``min_by`` is a partial aggregate: a participant repeated in a large share
     of the register is combined map-side, never sorted in one task. A NULL
-    ``user_id`` is one participant, and ids compare as text.
+    ``user_id`` is one participant, and ids compare as text. A row whose
+    position is NULL comes after all that have one.
     """
     others = [c for c in register.columns if c != "user_id"]
     keyed = register.withColumn("user_id", F.col("user_id").cast("string"))
     first = keyed.groupBy("user_id").agg(
-        F.min_by(F.struct(*[_c(c) for c in others]), _c(order_col)).alias("_first"))
+        F.min_by(F.struct(*[_c(c) for c in others]),
+                 F.struct(_c(order_col).isNull(), _c(order_col))).alias("_first"))
     return first.select("user_id", *[F.col("_first")[c].alias(c) for c in others])
 
 
@@ -42,10 +43,8 @@ def _flag(hit: Column) -> Column:
 def _matrix(register: DataFrame, presence: DataFrame, order_col: str,
             drop: Sequence[str], keep_order_col: bool) -> DataFrame:
     if order_col not in register.columns:
-        # No recorded position: use the order of the scan the register comes
-        # from (file split, then row), which is file order for a file source.
-        register = with_source_order(register, order_col)
-        keep_order_col = False
+        raise ValueError(f"the register has no column {order_col!r} to tell which row of a participant is first; "
+                         "read it with read_register, which records the file order, or name its order column")
     first = first_row_per_user(register, order_col)
     joined = null_safe_join(first, presence, ["user_id"], "left")
     out_cols = [c for c in register.columns

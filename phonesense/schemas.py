@@ -43,9 +43,9 @@ POPULATION_FLAGS = ("location", "calls", "sms", "event")
 # Marker value of the longest-call flag column.
 MAX_TIME_MARK = "max_time"
 
-# Label spark gives a NULL pivot category, and the label the output uses.
+# Column of a NULL category, and of all values that a declared list leaves out.
 NULL_CATEGORY_LABEL = "<NA>"
-# ---------------------------------------------------------------------------
+OTHER_CATEGORY_LABEL = "OTHER"
 
 # Field lists of the typed probe tables: (output column, JSON key, Spark type).
 LOCATION_FIELDS = (
@@ -75,3 +75,4 @@ EVENT_FIELDS = (
     ("number", "NUMBER", "string"),
     ("communication_type", "COMMUNICATION_TYPE", "string"),
 )
+# ---------------------------------------------------------------------------

@@ -1,9 +1,9 @@
 import datetime as dt
+from collections import Counter
 
-import pytest
+from pyspark.sql import functions as F
 
-from phonesense.operators import metrics
-from phonesense.operators.grouped import attach_group_values
+from phonesense.operators import grouped, metrics
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 EVENT = "user_id string, event_date date, communication_type string, comm_direction string, number string"
@@ -24,7 +24,7 @@ def test_count_commtype_absent_cells_are_null(spark):
     ev = events(spark, [("a", D1, "PHONE", "IN", None), ("a", D1, "PHONE", "IN", None), ("a", D2, "SMS", None, None)])
     got = {(r.user_id, r.event_date): (r.PHONE, r.SMS) for r in metrics.count_commtype(ev).collect()}
     assert got == {("a", D1): (2, None), ("a", D2): (None, 1)}
-    assert metrics.count_commtype(ev).columns == ["user_id", "event_date", "PHONE", "SMS"]
+    assert metrics.count_commtype(ev).columns == ["user_id", "event_date", "PHONE", "SMS", "OTHER", "<NA>"]
 
 
 def test_count_commtype_dynamic_columns_include_null_label(spark):
@@ -38,15 +38,16 @@ def test_stats_mean_over_directions_present(spark):
     ev = events(spark, [("a", D1, "PHONE", "INCOMING", None)] * 2 + [("a", D1, "PHONE", "OUTGOING", None)])
     r = metrics.stats_phone(ev).first()
     assert metrics.stats_phone(ev).columns == ["user_id", "event_date", "average_no_calls",
-                                               "INCOMING", "MISSED", "OUTGOING"]
+                                               "INCOMING", "MISSED", "OUTGOING", "OTHER", "<NA>"]
     assert (r.average_no_calls, r.INCOMING, r.MISSED, r.OUTGOING) == (2, 2, None, 1)
 
 
 def test_stats_null_direction_is_a_direction(spark):
     ev = events(spark, [("a", D1, "SMS", "INCOMING", None), ("a", D1, "SMS", None, None)])
     r = metrics.stats_sms(ev).first()
-    assert metrics.stats_sms(ev).columns == ["user_id", "event_date", "average_no_messages", "INCOMING", "OUTGOING"]
-    assert (r.average_no_messages, r.INCOMING, r.OUTGOING) == (1, 1, None)
+    assert metrics.stats_sms(ev).columns == ["user_id", "event_date", "average_no_messages", "INCOMING", "OUTGOING",
+                                             "OTHER", "<NA>"]
+    assert (r.average_no_messages, r.INCOMING, r.OUTGOING, r.OTHER, r["<NA>"]) == (1, 1, None, None, 1)
 
 
 def test_ratio(spark):
@@ -54,8 +55,10 @@ def test_ratio(spark):
                 + [("b", D1, "PHONE", "OUTGOING", None)])
     got = {r.user_id: r.ratio for r in metrics.ratio_phone(ev).collect()}
     assert got == {"a": 0.5, "b": None}
-    assert metrics.ratio_phone(ev).columns == ["user_id", "event_date", "INCOMING", "MISSED", "OUTGOING", "ratio"]
-    assert metrics.ratio_sms(ev.filter("false")).columns == ["user_id", "event_date", "INCOMING", "OUTGOING", "ratio"]
+    assert metrics.ratio_phone(ev).columns == ["user_id", "event_date", "INCOMING", "MISSED", "OUTGOING",
+                                               "OTHER", "<NA>", "ratio"]
+    assert metrics.ratio_sms(ev.filter("false")).columns == ["user_id", "event_date", "INCOMING", "OUTGOING",
+                                                             "OTHER", "<NA>", "ratio"]
 
 
 def test_ratio_only_outgoing_everywhere_is_null_not_an_error(spark):
@@ -84,12 +87,6 @@ def test_call_duration_poisoned_day_spread_over_many_tasks(spark):
     assert metrics.call_duration(clean).count() == 80  # 4000 / 50 calls tie at 49
 
 
-def test_call_duration_plan_limits_before_the_shuffle(spark):
-    plan = metrics.call_duration(calls(spark, [("a", D1, 1.0, 1)]))._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan and "Partial" in plan
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-
-
 def test_unique_contacts_counts_null_once(spark):
     ev = events(spark, [("a", D1, "SMS", None, "x"), ("a", D1, "SMS", None, "x"), ("a", D1, "SMS", None, None),
                         ("a", D1, "PHONE", None, "y"), ("a", D2, "SMS", None, "z")])
@@ -100,28 +97,52 @@ def test_unique_contacts_counts_null_once(spark):
     assert metrics.unique_calls(ev).first().count_unique == 1
 
 
-@pytest.mark.parametrize("broadcast_groups", [10_000, 0])
-def test_unique_contacts_hot_and_cold_paths_agree(spark, broadcast_groups):
+def test_unique_contacts_on_hot_and_null_groups(spark):
     rows = ([("hot", D1, "PHONE", None, f"n{i % 37}") for i in range(3000)]
             + [(f"c{i % 40}", D1 + dt.timedelta(days=i % 3), "PHONE", None, f"m{i % 7}") for i in range(600)]
             + [(None, None, "PHONE", None, None)] * 3)
     ev = events(spark, rows).repartition(8)
-    df = metrics.unique_calls(ev, broadcast_groups=broadcast_groups, min_hot_rows=500, max_hot_keys=10)
+    df = metrics.unique_calls(ev)
     got = {}
     for r in df.collect():
         got.setdefault((r.user_id, r.event_date), set()).add(r.count_unique)
-    assert df.count() == len(rows)
+    assert Counter((r.user_id, r.number, r.event_date) for r in df.collect()) == Counter((u, n, d) for u, d, _, _, n in rows)
     assert got[("hot", D1)] == {37} and got[(None, None)] == {1}
     assert all(v == {5} for k, v in got.items() if k[0] and k[0].startswith("c"))
 
 
-def test_attach_group_values_splits_hot_keys(spark):
-    rows = spark.createDataFrame([("k1",)] * 50 + [("k2",)] * 5 + [(None,)] * 2, "k string")
-    vals = rows.groupBy("k").count().withColumnRenamed("count", "n").selectExpr("k", "n", "n * 10 AS v")
-    out = attach_group_values(rows, vals, ["k"], "n", broadcast_groups=0, min_hot_rows=10, max_hot_keys=5)
-    got = sorted(((r.k or ""), r.v) for r in out.collect())
-    assert got == sorted([("k1", 500)] * 50 + [("k2", 50)] * 5 + [("", 20)] * 2)
-    assert "n" not in out.columns
+def test_attach_group_values_and_write_out(spark, monkeypatch):
+    monkeypatch.setattr(grouped, "PIECE", 7)
+    data = [("k1", i % 3) for i in range(50)] + [("k2", None)] * 5 + [(None, 1)] * 2
+    rows = spark.createDataFrame(data, "k string, x int").repartition(4)
+    out = grouped.attach_group_values(grouped.counted(rows, ["k"]), ["k"], kinds=(F.count(F.lit(1)), "sum"), top=(F.max("x"), "max"))
+    got = Counter(map(tuple, grouped.written_out(out).collect()))
+    kinds = {"k1": (3, 2), "k2": (1, None), None: (1, 1)}
+    assert got == Counter((k, x, *kinds[k]) for k, x in data)
+
+
+def test_every_event_is_in_one_column(spark):
+    """The counts of a day add up to its events, whatever the categories."""
+    rows = [("a", D1, "PHONE", "REJECTED", None), ("a", D1, "MMS", "INCOMING", None), ("a", D1, None, None, None),
+            ("a", D1, "SMS", "MISSED", None), ("a", D1, "SMS", None, None), ("a", D1, "SMS", "INCOMING", None)]
+    ev = events(spark, rows)
+    r = metrics.count_commtype(ev).first()
+    assert (r.PHONE, r.SMS, r.OTHER, r["<NA>"]) == (1, 3, 1, 1)
+    r = metrics.stats_sms(ev).first()
+    assert (r.average_no_messages, r.INCOMING, r.OUTGOING, r.OTHER, r["<NA>"]) == (1, 1, None, 1, 1)
+    r = metrics.stats_phone(ev).first()
+    assert (r.INCOMING, r.MISSED, r.OUTGOING, r.OTHER, r["<NA>"]) == (None, None, None, 1, None)
+    r = metrics.ratio_sms(ev, directions=["OUTGOING"]).first()
+    assert (r.OUTGOING, r.OTHER, r["<NA>"], r.ratio) == (None, 2, 1, None)
+    assert sum(r.n for r in metrics.commtype_long(ev).collect()) == len(rows)
+    long = {(r.communication_type, r.category): r.n for r in metrics.directions_long(ev).collect()}
+    assert long == {("PHONE", "REJECTED"): 1, ("MMS", "INCOMING"): 1, (None, None): 1, ("SMS", "MISSED"): 1,
+                    ("SMS", None): 1, ("SMS", "INCOMING"): 1}
+
+
+def test_data_derived_columns_have_no_limit(spark):
+    ev = events(spark, [("a", D1, f"T{i}", None, None) for i in range(1200)])
+    assert len(metrics.count_commtype(ev, types=None).columns) == 1202
 
 
 def test_ordered_output_and_data_derived_directions(spark):

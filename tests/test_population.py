@@ -1,3 +1,5 @@
+import pytest
+
 from phonesense.operators.population import sensor_population, sensor_population_from_payload
 from phonesense.operators.payload import sensor_raw
 
@@ -49,11 +51,16 @@ def test_register_columns_with_dots_and_spaces(spark):
     assert df.first()["site.name"] == "t"
 
 
-def test_register_without_order_column_uses_scan_order(spark, tmp_path):
-    path = tmp_path / "reg.csv"
-    path.write_text("user_id,email,site\nu1,a@x,first\nu1,b@x,second\n")
-    reg = spark.read.option("header", "true").csv(str(path))
+def test_register_without_order_column_is_refused(spark):
+    reg = spark.createDataFrame([("u1", "a@x", "first")], "user_id string, email string, site string")
+    empty = spark.createDataFrame([], "user_id string")
+    with pytest.raises(ValueError, match="order"):
+        sensor_population(reg, empty, empty, empty, empty)
+
+
+def test_row_without_position_is_last_but_not_lost(spark):
+    reg = spark.createDataFrame([("u1", "late", None), ("u1", "first", 3), ("u2", "only", None)],
+                                "user_id string, name string, ord int")
     empty = spark.createDataFrame([], "user_id string")
-    df = sensor_population(reg, empty, empty, empty, empty)
-    assert df.columns == ["user_id", "site", "location", "calls", "sms", "event"]
-    assert df.first().site == "first"
+    got = {r.user_id: r.name for r in sensor_population(reg, empty, empty, empty, empty, order_col="ord").collect()}
+    assert got == {"u1": "first", "u2": "only"}

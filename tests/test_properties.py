@@ -41,14 +41,18 @@ def _groups(rows, pred):
 def test_daily_counts_stats_ratio(spark, rows):
     ev = spark.createDataFrame(rows, EVENT)
     want_ct = {k: tuple((sum(1 for r in v if r[2] == t) or None) for t in ("PHONE", "SMS"))
+               + tuple((sum(1 for r in v if hit(r[2])) or None) for hit in (
+                   lambda t: t not in ("PHONE", "SMS", None), lambda t: t is None))
                for k, v in _groups(rows, lambda r: True).items()}
-    got_ct = {(r.user_id, r.event_date): (r.PHONE, r.SMS) for r in metrics.count_commtype(ev).collect()}
+    got_ct = {(r.user_id, r.event_date): tuple(r)[2:] for r in metrics.count_commtype(ev).collect()}
     assert got_ct == want_ct
 
     want_stats, want_ratio = {}, {}
     for k, v in _groups(rows, lambda r: r[2] == "PHONE").items():
         c = Counter(r[3] for r in v)
-        cells = tuple(c.get(d) for d in ("INCOMING", "MISSED", "OUTGOING"))
+        known = ("INCOMING", "MISSED", "OUTGOING")
+        other = sum(n for d, n in c.items() if d is not None and d not in known) or None
+        cells = (*[c.get(d) for d in known], other, c.get(None))
         want_stats[k] = (math.ceil(len(v) / len(c)),) + cells
         out, inc = c.get("OUTGOING"), c.get("INCOMING")
         want_ratio[k] = cells + ((out / inc) if out and inc else None,)
