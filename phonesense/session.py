@@ -81,8 +81,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> str:
+    """Have the application's JVM remove a written scratch folder when it ends;
+    nothing is removed while lazy results may still read it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "scratch_path", "is_local"]
+__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "scratch_path", "remove_at_exit", "is_local"]

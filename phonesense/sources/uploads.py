@@ -6,44 +6,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 # Reader options for uploads written the CSV way: the payload is one quoted
-# field whose inner quotes are doubled (""), and R-style NA marks missing.
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "nullValue": "NA", "mode": "FAILFAST"}
-
-
-def ensure_parallelism(df: DataFrame, target: int | None = None,
-                       unique_keys: list[str] | None = None) -> DataFrame:
-    """Spread an under-split input over ``target`` tasks (default: the
-    cluster's default parallelism) with a round-robin repartition.
-
-    Only fires when the scan yields fewer partitions than ``target``, i.e. on
-    small inputs such as a single-row-group file; a large input already has
-    more splits than cores and is left untouched (no extra shuffle).
-    Round-robin, not a hash of the participant, so one heavy participant (or a
-    mass of identical rows) cannot land in one task. ``unique_keys`` may name
-    columns that are unique per row: hashing those is as even and skips the
-    sort a round-robin repartition does to stay deterministic on retry.
-    """
-    try:
-        target = target or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as it is
-        return df
-    if unique_keys:
-        return df.repartition(target, *unique_keys)
-    return df.repartition(target)
+# field whose inner quotes are doubled (""), and R-style NA marks missing. A
+# declared schema is checked against the header, not laid over it by position.
+CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"', "nullValue": "NA", "mode": "FAILFAST",
+               "enforceSchema": "false"}
 
 
 def read_uploads(spark: SparkSession, path: str | None, fmt: str = "csv", multi_line: bool = False,
-                 schema=None, balance: bool = True, **options) -> DataFrame:
+                 schema=None, **options) -> DataFrame:
     """Read raw uploads ``(user_id, payload)``; other columns are pruned.
 
     ``fmt`` is ``csv`` (the phone export), ``table`` (a catalog table name in
     ``path``) or any data source format (``parquet``, ``json``, ``jdbc`` with
-    its connection options and ``path=None``...).
+    its connection options and ``path=None``...). CSV columns are found by the
+    names in the header; a declared ``schema`` must agree with it, else the
+    read fails.
 
-    ``multi_line=True`` is only needed when payloads contain raw line breaks;
-    it makes each CSV file a single split, so it is off by default.
+    ``multi_line=True`` is needed when payloads contain raw line breaks; it
+    makes each CSV file a single split, so it is off by default (a line break
+    then fails the read). Spreading a badly split input over more tasks is the
+    caller's choice (``.repartition(n)``): it moves all of the text.
     """
     if fmt == "csv":
         # Without a schema every header column is read as text (no inference
@@ -58,14 +40,15 @@ def read_uploads(spark: SparkSession, path: str | None, fmt: str = "csv", multi_
     else:
         reader = spark.read.format(fmt).options(**options)
         df = reader.load(path) if path is not None else reader.load()
-    df = df.select(F.col("user_id").cast("string").alias("user_id"),
-                   F.col("payload").cast("string").alias("payload"))
-    return ensure_parallelism(df) if balance else df
+    return df.select(F.col("user_id").cast("string").alias("user_id"),
+                     F.col("payload").cast("string").alias("payload"))
 
 
 def with_source_order(df: DataFrame, name: str = "_source_order") -> DataFrame:
     """Attach a sortable position = (file, split offset, row id) that follows
-    file order; must be applied directly on a file scan."""
+    file order; must be applied directly on a file scan. Files are ordered by
+    their paths as text, so ``part-10`` comes before ``part-2``; where numbers
+    are not padded, give the register an order column of its own."""
     return df.withColumn(name, F.struct(
         F.input_file_name().alias("file"),
         F.input_file_block_start().alias("offset"),

@@ -1,6 +1,8 @@
 import csv
 
-from phonesense.operators.payload import sensor_raw
+import pytest
+
+from phonesense.operators.payload import sensor_raw, upload_rejects, upload_report
 from phonesense.operators.population import sensor_population
 from phonesense.sources.uploads import read_register, read_uploads
 
@@ -58,3 +60,27 @@ def test_register_order_follows_files_then_lines(spark, tmp_path):
     empty = spark.createDataFrame([], "user_id string")
     got = {r.user_id: r.site for r in sensor_population(reg, empty, empty, empty, empty).collect()}
     assert got == {"u1": "early", "u3": "only", "u9": "filler0"}
+
+
+def test_declared_csv_schema_must_agree_with_the_header(spark, tmp_path):
+    path = tmp_path / "u.csv"
+    path.write_text('payload,user_id\n"{""PROBE"":""a.B""}",u1\n')
+    assert read_uploads(spark, str(path)).first().user_id == "u1"
+    with pytest.raises(Exception):
+        read_uploads(spark, str(path), schema="user_id string, payload string").collect()
+
+
+def test_every_upload_is_accounted_for(spark):
+    raw = spark.createDataFrame([("a", '{"PROBE":"x.B"}'), ("a", None), ("b", ""), ("b", "  "), ("c", "{bad"), (None, "}"),
+                                 ("d", '{"a":1},{"b":2}')], "user_id string, payload string")
+    report = {r.state: r.n for r in upload_report(raw).collect()}
+    assert report == {"parsed": 2, "empty": 3, "malformed": 2}
+    assert sorted((r.user_id or "", r.reason, r.payload) for r in upload_rejects(raw).collect()) == [
+        ("", "malformed", "}"), ("c", "malformed", "{bad")]
+    assert sensor_raw(raw, mode="PERMISSIVE").count() == 3
+
+
+def test_oversize_is_told_from_malformed(spark, monkeypatch):
+    monkeypatch.setattr("phonesense.operators.payload.VARIANT_LIMIT", 100)
+    raw = spark.createDataFrame([("a", '{"PROBE":"' + "x" * 200 + '"}'), ("b", "{bad")], "user_id string, payload string")
+    assert {r.user_id: r.reason for r in upload_rejects(raw).collect()} == {"a": "oversize", "b": "malformed"}
