@@ -29,8 +29,13 @@ def probe_family(probe_col: str = "probe"):
 
 def write_bronze(pl: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Write ``pl`` (VARIANT column included) as Parquet partitioned by
-    probe family."""
-    pl.withColumn(FAMILY_COL, probe_family()).write.mode(mode).partitionBy(FAMILY_COL).parquet(path)
+    probe family.
+
+    Rows of a family are gathered before they are written, so the table has
+    files of about the advisory partition size instead of one for each task
+    and family; the rebalance splits large families and their skew."""
+    pl = pl.withColumn(FAMILY_COL, probe_family()).hint("rebalance", FAMILY_COL)
+    pl.write.mode(mode).partitionBy(FAMILY_COL).parquet(path)
     return path
 
 

@@ -16,20 +16,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from phonesense.functions.time import time_of_day, utc_wall_clock
 from phonesense.operators import export, metrics, probes
-from phonesense.operators.payload import probe_types, sensor_raw
-from phonesense.operators.population import sensor_population
-from phonesense.sources.fixtures import fixture_register, fixture_uploads
+from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report
+from phonesense.operators.population import sensor_population_from_payload
+from phonesense.session import remove_at_exit, scratch_path
+from phonesense.sources.fixtures import damaged_uploads, fixture_register, fixture_uploads
+from phonesense.sources.uploads import read_register, read_uploads
 
 REGISTER_ORDER = "row_no"
+EAST = "Africa/Nairobi"
 
 Plan = Callable[[DataFrame, Callable[[], DataFrame]], DataFrame]
 
 
-def _population(pl: DataFrame, register) -> DataFrame:
-    return sensor_population(register(), probes.probe_location(pl), probes.probe_calls(pl),
-                             probes.probe_sms(pl), probes.probe_event(pl), order_col=REGISTER_ORDER)
-
-
 def _time_of_day(pl: DataFrame, _register: DataFrame) -> DataFrame:
     calls = probes.probe_calls(pl)
     return calls.select("user_id", "call_timestamp", "event_hour",
@@ -47,8 +45,10 @@ PLANS: dict[str, Plan] = {
     "probe_sms": lambda pl, _r: probes.probe_sms(pl),
     "probe_calls": lambda pl, _r: probes.probe_calls(pl),
     "probe_event": lambda pl, _r: probes.probe_event(pl),
-    "sensor_population": _population,
+    "sensor_population": lambda pl, r: sensor_population_from_payload(r(), pl, order_col=REGISTER_ORDER),
     "count_commtype": _on_events(metrics.count_commtype),
+    "commtype_long": _on_events(metrics.commtype_long),
+    "directions_long": _on_events(metrics.directions_long),
     "stats_phone": _on_events(metrics.stats_phone),
     "stats_sms": _on_events(metrics.stats_sms),
     "ratio_phone": _on_events(metrics.ratio_phone),
@@ -61,6 +61,7 @@ PLANS: dict[str, Plan] = {
     "json_probesms": lambda pl, _r: export.json_probesms(pl),
     "json_probecalls": lambda pl, _r: export.json_probecalls(pl),
     "json_probeevent": lambda pl, _r: export.json_probeevent(pl),
+    "json_probeevent_nairobi": lambda pl, _r: export.json_probeevent(pl, hour_tz=EAST, date_tz=EAST),
     "json_sensorpop": lambda pl, r: export.json_sensorpop(pl, r(), order_col=REGISTER_ORDER),
     "json_commtype": lambda pl, _r: export.json_commtype(pl),
     "json_statsphone": lambda pl, _r: export.json_statsphone(pl),
@@ -86,26 +87,12 @@ def normalise(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-_PLANS_BUILT: dict = {}
-
-
-def _reused(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
-    """Build a source plan once per session and data folder and hand out the
-    same (lazy) DataFrame afterwards: only plan construction is shared, every
-    query still reads and parses its input when it runs."""
-    key = (kind, sf_dir)
-    df = _PLANS_BUILT.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _PLANS_BUILT[key] = build()
-    return df
-
-
 def payload_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reused("payload", spark, sf_dir, lambda: sensor_raw(fixture_uploads(spark, sf_dir)))
+    return sensor_raw(fixture_uploads(spark, sf_dir))
 
 
 def register_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reused("register", spark, sf_dir, lambda: fixture_register(spark, sf_dir))
+    return fixture_register(spark, sf_dir)
 
 
 def bind(name: str, payload: Callable[[SparkSession, str], DataFrame] = payload_from_tables
@@ -119,5 +106,40 @@ def bind(name: str, payload: Callable[[SparkSession, str], DataFrame] = payload_
     return run
 
 
+def rejects_of_damaged_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected uploads of the fixture with a part of them damaged."""
+    return upload_rejects(damaged_uploads(spark, sf_dir))
+
+
+def report_of_damaged_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upload_report(damaged_uploads(spark, sf_dir))
+
+
+def events_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``probe_event`` of the uploads written and read again as CSV."""
+    path = scratch_path(spark, "uploads-csv")
+    fixture_uploads(spark, sf_dir).write.options(header=True, quote='"', escape='"', nullValue="NA").csv(path)
+    remove_at_exit(spark, path)
+    return normalise(probes.probe_event(sensor_raw(read_uploads(spark, path))))
+
+
+def population_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sensor_population`` of a register written and read again as CSV, whose
+    first rows are told by its order column."""
+    path = scratch_path(spark, "register-csv")
+    fixture_register(spark, sf_dir).write.options(header=True, quote='"', escape='"', nullValue="NA").csv(path)
+    remove_at_exit(spark, path)
+    register = read_register(spark, path).drop("_source_order")
+    return sensor_population_from_payload(register, payload_from_tables(spark, sf_dir), order_col=REGISTER_ORDER)
+
+
+SOURCES = {
+    "upload_rejects": rejects_of_damaged_uploads,
+    "upload_report": report_of_damaged_uploads,
+    "csv_uploads_event": events_by_way_of_csv,
+    "csv_register_population": population_by_way_of_csv,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: bind(name) for name in PLANS}
+    return {name: bind(name) for name in PLANS} | SOURCES

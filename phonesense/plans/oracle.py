@@ -13,14 +13,19 @@ BASE = f"""
 WITH ev AS (
   SELECT event_id, event_type, value,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
-         user_id % 20 AS ub,
+         user_id AS ub,
          epoch_us(ts) // 1000 AS ms
   FROM events
 ), d AS (
-  SELECT *, 'u' || CAST(ub AS VARCHAR) AS user_id,
+  SELECT *, CASE WHEN k <> 97 THEN 'u' || CAST(ub AS VARCHAR) END AS user_id,
          CASE WHEN k % 10 = 0 THEN NULL ELSE 'n' || CAST(event_id % 7 AS VARCHAR) END AS number,
-         CASE k % 3 WHEN 0 THEN 'INCOMING' WHEN 1 THEN 'OUTGOING' ELSE 'MISSED' END AS dir_phone,
-         CASE WHEN k % 11 = 0 THEN NULL WHEN k % 2 = 0 THEN 'INCOMING' ELSE 'OUTGOING' END AS dir_sms,
+         CASE WHEN k % 7 <> 0 THEN 'J' || chr(252) || 'rg "' || CAST(k % 5 AS VARCHAR) || '"' || chr(92) || chr(10) || '/'
+              END AS name,
+         CASE k % 2 WHEN 0 THEN 'home' ELSE 'work' END AS label, CAST(k % 4 AS VARCHAR) AS kind,
+         CASE WHEN k % 29 = 0 THEN 'REJECTED' WHEN k % 3 = 0 THEN 'INCOMING' WHEN k % 3 = 1 THEN 'OUTGOING'
+              ELSE 'MISSED' END AS dir_phone,
+         CASE WHEN k % 11 = 0 THEN NULL WHEN k % 31 = 0 THEN 'MISSED' WHEN k % 2 = 0 THEN 'INCOMING'
+              ELSE 'OUTGOING' END AS dir_sms,
          CASE WHEN event_type IN ('click', 'view') THEN 'CommunicationEventProbe'
               WHEN event_type = 'purchase' AND ub % 3 <> 0 THEN 'CommunicationLogProbe'
               WHEN event_type = 'signup' AND ub % 5 <> 0 THEN 'CommunicationLogProbe'
@@ -34,44 +39,49 @@ WITH ev AS (
   UNION ALL
   SELECT user_id, CAST(2 AS INTEGER), '{PREFIX}BatteryProbe', ms / 1000, 'g' || CAST(event_id AS VARCHAR)
   FROM d
+), event_src AS (
+  SELECT *, CASE WHEN k % 13 <> 0 THEN ms END AS at_ms FROM d WHERE event_type IN ('click', 'view')
 ), event AS (
-  SELECT user_id, CAST(ms AS VARCHAR) AS comm_timestamp,
+  SELECT user_id, CAST(at_ms AS VARCHAR) AS comm_timestamp,
          CASE WHEN event_type = 'click' THEN dir_phone ELSE dir_sms END AS comm_direction,
          number,
-         CASE WHEN event_type = 'click' THEN 'PHONE' ELSE 'SMS' END AS communication_type,
-         make_timestamp(ms * 1000) AS event_timestamp,
-         CAST(hour(make_timestamp(ms * 1000)) AS INTEGER) AS event_hour,
-         CAST(make_timestamp(ms * 1000) AS DATE) AS event_date
-  FROM d WHERE event_type IN ('click', 'view')
+         CASE WHEN event_type = 'view' THEN CASE WHEN k % 23 = 0 THEN 'MMS' ELSE 'SMS' END
+              WHEN k % 19 <> 0 THEN 'PHONE' END AS communication_type,
+         make_timestamp(at_ms * 1000) AS event_timestamp,
+         CAST(hour(make_timestamp(at_ms * 1000)) AS INTEGER) AS event_hour,
+         CAST(make_timestamp(at_ms * 1000) AS DATE) AS event_date
+  FROM event_src
 ), call_src AS (
-  SELECT user_id, number, CASE WHEN k % 17 <> 0 THEN CAST(k AS DOUBLE) END AS dur, ms AS at_ms
+  SELECT user_id, number, name, label, kind, CASE WHEN k % 17 <> 0 THEN CAST(k AS DOUBLE) END AS dur,
+         CASE WHEN k % 41 <> 0 THEN ms END AS at_ms
   FROM d WHERE main_probe = 'CommunicationLogProbe' AND event_type = 'purchase'
   UNION ALL
-  SELECT user_id, number, CAST(k % 5 AS DOUBLE), ms + 60000
+  SELECT user_id, number, name, label, kind, CAST(k % 5 AS DOUBLE), ms + 60000
   FROM d WHERE main_probe = 'CommunicationLogProbe' AND event_type = 'purchase'
 ), calls AS (
-  SELECT user_id, CAST(NULL AS VARCHAR) AS numberName, dur AS callDuration,
-         CAST(NULL AS VARCHAR) AS numberLabel, CAST(NULL AS VARCHAR) AS numberType, number,
+  SELECT user_id, name AS numberName, dur AS callDuration,
+         label AS numberLabel, kind AS numberType, number,
          CAST(at_ms AS DOUBLE) AS callTimestamp, make_timestamp(at_ms * 1000) AS call_timestamp,
          CAST(hour(make_timestamp(at_ms * 1000)) AS INTEGER) AS event_hour,
          CAST(make_timestamp(at_ms * 1000) AS DATE) AS event_date
   FROM call_src
 ), sms AS (
-  SELECT user_id, CAST(NULL AS VARCHAR) AS numberName, dir_sms AS messageDirection, number,
+  SELECT user_id, name AS numberName, dir_sms AS messageDirection, number,
          CAST(ms AS DOUBLE) AS messageTimestamp, make_timestamp(ms * 1000) AS msg_timestamp,
          CAST(hour(make_timestamp(ms * 1000)) AS INTEGER) AS event_hour,
          CAST(make_timestamp(ms * 1000) AS DATE) AS event_date
   FROM d WHERE main_probe = 'CommunicationLogProbe' AND event_type = 'signup'
 ), loc AS (
   SELECT user_id, ms / 1000 AS timestamp, (k % 2 = 0) AS gpsAvailable, value AS latitude,
-         -value AS longitude, TRUE AS networkAvailable,
+         -value AS longitude, (k % 3 <> 0) AS networkAvailable,
          CASE WHEN k % 10 <> 0 THEN CAST(k AS DOUBLE) END AS accuracy,
          make_timestamp(ms * 1000) AS event_timestamp,
          CAST(hour(make_timestamp(ms * 1000)) AS INTEGER) AS event_hour,
          CAST(make_timestamp(ms * 1000) AS DATE) AS event_date
   FROM d WHERE main_probe = 'LocationProbe'
 ), reg AS (
-  SELECT 'u' || CAST(c_custkey % 30 AS VARCHAR) AS user_id, c_custkey AS row_no, c_name AS name,
+  SELECT CASE WHEN c_custkey >= 4 THEN 'u' || CAST(c_custkey // 4 - 1 AS VARCHAR) END AS user_id,
+         CASE WHEN c_custkey % 9 <> 0 THEN c_custkey END AS row_no, c_name AS name,
          c_name || '@x' AS email
   FROM customer
 )
@@ -84,6 +94,24 @@ TOD = """CASE WHEN {h} IS NULL THEN NULL
      WHEN {h} >= 19 AND {h} < 22 THEN 'Night'
      ELSE 'Late Night' END"""
 
+
+
+def cells(col: str, values: list[str]) -> str:
+    """A count for each value, one for all others and one for NULL; none of a kind is NULL."""
+    listed = ", ".join(f"'{v}'" for v in values)
+    hits = [(f'"{v}"', f"{col} = '{v}'") for v in values]
+    hits += [('"OTHER"', f"{col} NOT IN ({listed})"), ('"<NA>"', f"{col} IS NULL")]
+    return ", ".join(f"NULLIF(count(*) FILTER (WHERE {hit}), 0) AS {name}" for name, hit in hits)
+
+
+MEAN = "CAST(ceil(count(*) * 1.0 / count(DISTINCT coalesce(comm_direction, '<NA>'))) AS BIGINT)"
+UNIQUE = """
+    SELECT e.user_id, e.number, e.event_date, u.count_unique FROM event e JOIN (
+      SELECT user_id, event_date, count(DISTINCT coalesce(number, '<NA>')) AS count_unique
+      FROM event WHERE communication_type = '{kind}' GROUP BY user_id, event_date) u
+    ON e.user_id IS NOT DISTINCT FROM u.user_id AND e.event_date IS NOT DISTINCT FROM u.event_date
+    WHERE e.communication_type = '{kind}'"""
+
 TABLES = {
     "sensor_raw": "SELECT * FROM raw",
     "probe_types": "SELECT probe, count(*) AS n FROM raw GROUP BY probe",
@@ -94,62 +122,58 @@ TABLES = {
     "time_of_day": f"SELECT user_id, call_timestamp, event_hour, {TOD.format(h='event_hour')} AS time_of_day FROM calls",
     "sensor_population": """
         SELECT f.user_id, f.row_no, f.name,
-          CASE WHEN f.user_id IN (SELECT user_id FROM loc) THEN 'Available' ELSE 'NotAvailable' END AS location,
-          CASE WHEN f.user_id IN (SELECT user_id FROM calls) THEN 'Available' ELSE 'NotAvailable' END AS calls,
-          CASE WHEN f.user_id IN (SELECT user_id FROM sms) THEN 'Available' ELSE 'NotAvailable' END AS sms,
-          CASE WHEN f.user_id IN (SELECT user_id FROM event) THEN 'Available' ELSE 'NotAvailable' END AS event
-        FROM (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY row_no) = 1) f""",
-    "count_commtype": """
-        SELECT user_id, event_date,
-          NULLIF(count(*) FILTER (WHERE communication_type = 'PHONE'), 0) AS PHONE,
-          NULLIF(count(*) FILTER (WHERE communication_type = 'SMS'), 0) AS SMS
+          CASE WHEN EXISTS (SELECT 1 FROM loc x WHERE x.user_id IS NOT DISTINCT FROM f.user_id) THEN 'Available' ELSE 'NotAvailable' END AS location,
+          CASE WHEN EXISTS (SELECT 1 FROM calls x WHERE x.user_id IS NOT DISTINCT FROM f.user_id) THEN 'Available' ELSE 'NotAvailable' END AS calls,
+          CASE WHEN EXISTS (SELECT 1 FROM sms x WHERE x.user_id IS NOT DISTINCT FROM f.user_id) THEN 'Available' ELSE 'NotAvailable' END AS sms,
+          CASE WHEN EXISTS (SELECT 1 FROM event x WHERE x.user_id IS NOT DISTINCT FROM f.user_id) THEN 'Available' ELSE 'NotAvailable' END AS event
+        FROM (SELECT * FROM reg QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY row_no NULLS LAST) = 1) f""",
+    "commtype_long": """
+        SELECT user_id, event_date, communication_type AS category, count(*) AS n FROM event GROUP BY ALL""",
+    "directions_long": """
+        SELECT user_id, event_date, communication_type, comm_direction AS category, count(*) AS n
+        FROM event GROUP BY ALL""",
+    "count_commtype": f"""
+        SELECT user_id, event_date, {cells('communication_type', ['PHONE', 'SMS'])}
         FROM event GROUP BY user_id, event_date""",
-    "stats_phone": """
-        SELECT user_id, event_date,
-          CAST(ceil(count(*) * 1.0 / count(DISTINCT coalesce(comm_direction, '<NA>'))) AS BIGINT) AS average_no_calls,
-          NULLIF(count(*) FILTER (WHERE comm_direction = 'INCOMING'), 0) AS INCOMING,
-          NULLIF(count(*) FILTER (WHERE comm_direction = 'MISSED'), 0) AS MISSED,
-          NULLIF(count(*) FILTER (WHERE comm_direction = 'OUTGOING'), 0) AS OUTGOING
+    "stats_phone": f"""
+        SELECT user_id, event_date, {MEAN} AS average_no_calls,
+          {cells('comm_direction', ['INCOMING', 'MISSED', 'OUTGOING'])}
         FROM event WHERE communication_type = 'PHONE' GROUP BY user_id, event_date""",
-    "stats_sms": """
-        SELECT user_id, event_date,
-          CAST(ceil(count(*) * 1.0 / count(DISTINCT coalesce(comm_direction, '<NA>'))) AS BIGINT) AS average_no_messages,
-          NULLIF(count(*) FILTER (WHERE comm_direction = 'INCOMING'), 0) AS INCOMING,
-          NULLIF(count(*) FILTER (WHERE comm_direction = 'OUTGOING'), 0) AS OUTGOING
+    "stats_sms": f"""
+        SELECT user_id, event_date, {MEAN} AS average_no_messages,
+          {cells('comm_direction', ['INCOMING', 'OUTGOING'])}
         FROM event WHERE communication_type = 'SMS' GROUP BY user_id, event_date""",
-    "ratio_phone": """
-        SELECT user_id, event_date, INCOMING, MISSED, OUTGOING, OUTGOING / INCOMING AS ratio FROM (
-          SELECT user_id, event_date,
-            NULLIF(count(*) FILTER (WHERE comm_direction = 'INCOMING'), 0) AS INCOMING,
-            NULLIF(count(*) FILTER (WHERE comm_direction = 'MISSED'), 0) AS MISSED,
-            NULLIF(count(*) FILTER (WHERE comm_direction = 'OUTGOING'), 0) AS OUTGOING
+    "ratio_phone": f"""
+        SELECT *, OUTGOING / INCOMING AS ratio FROM (
+          SELECT user_id, event_date, {cells('comm_direction', ['INCOMING', 'MISSED', 'OUTGOING'])}
           FROM event WHERE communication_type = 'PHONE' GROUP BY user_id, event_date)""",
-    "ratio_sms": """
-        SELECT user_id, event_date, INCOMING, OUTGOING, OUTGOING / INCOMING AS ratio FROM (
-          SELECT user_id, event_date,
-            NULLIF(count(*) FILTER (WHERE comm_direction = 'INCOMING'), 0) AS INCOMING,
-            NULLIF(count(*) FILTER (WHERE comm_direction = 'OUTGOING'), 0) AS OUTGOING
+    "ratio_sms": f"""
+        SELECT *, OUTGOING / INCOMING AS ratio FROM (
+          SELECT user_id, event_date, {cells('comm_direction', ['INCOMING', 'OUTGOING'])}
           FROM event WHERE communication_type = 'SMS' GROUP BY user_id, event_date)""",
     "call_duration": f"""
-        SELECT c.user_id, c.call_timestamp, c.event_date, c.callDuration, 'max_time' AS max_time,
-               {TOD.format(h='c.event_hour')} AS time_of_day
-        FROM calls c JOIN (
-          SELECT user_id, event_date, max(callDuration) AS longest FROM calls
-          GROUP BY user_id, event_date HAVING count(*) = count(callDuration)) g
-        ON c.user_id = g.user_id AND c.event_date = g.event_date AND c.callDuration = g.longest""",
-    "unique_texts": """
-        SELECT e.user_id, e.number, e.event_date, u.count_unique FROM event e JOIN (
-          SELECT user_id, event_date, count(DISTINCT coalesce(number, '<NA>')) AS count_unique
-          FROM event WHERE communication_type = 'SMS' GROUP BY user_id, event_date) u
-        ON e.user_id = u.user_id AND e.event_date = u.event_date
-        WHERE e.communication_type = 'SMS'""",
-    "unique_calls": """
-        SELECT e.user_id, e.number, e.event_date, u.count_unique FROM event e JOIN (
-          SELECT user_id, event_date, count(DISTINCT coalesce(number, '<NA>')) AS count_unique
-          FROM event WHERE communication_type = 'PHONE' GROUP BY user_id, event_date) u
-        ON e.user_id = u.user_id AND e.event_date = u.event_date
-        WHERE e.communication_type = 'PHONE'""",
+        SELECT user_id, call_timestamp, event_date, callDuration, 'max_time' AS max_time,
+               {TOD.format(h='event_hour')} AS time_of_day
+        FROM (SELECT *, max(callDuration) OVER day AS longest, count(*) OVER day AS n, count(callDuration) OVER day AS known
+              FROM calls WINDOW day AS (PARTITION BY user_id, event_date))
+        WHERE n = known AND callDuration = longest""",
+    "unique_texts": UNIQUE.format(kind='SMS'),
+    "unique_calls": UNIQUE.format(kind='PHONE'),
+    "upload_rejects": """
+        SELECT user_id, 'malformed' AS reason, '{"PROBE":"' || CAST(event_id AS VARCHAR) AS payload
+        FROM d WHERE event_id % 7 = 0""",
+    "upload_report": """
+        SELECT CASE WHEN event_id % 7 = 0 THEN 'malformed' WHEN event_id % 11 = 0 THEN 'empty' ELSE 'parsed' END AS state,
+               count(*) AS n
+        FROM d GROUP BY ALL""",
 }
+TABLES["csv_uploads_event"] = TABLES["probe_event"]
+TABLES["csv_register_population"] = TABLES["sensor_population"]
+EAST = """
+    SELECT * EXCLUDE (event_timestamp, event_hour, event_date), east AS event_timestamp,
+      CAST(hour(east) AS INTEGER) AS event_hour, CAST(east AS DATE) AS event_date
+    FROM (SELECT *, event_timestamp + INTERVAL 3 HOUR AS east FROM event)"""
+TABLES["json_probeevent_nairobi"] = EAST
 
 
 def java_double_text(x: str) -> str:
@@ -169,7 +193,7 @@ def java_double_text(x: str) -> str:
 def _piece(name: str, kind: str) -> str:
     col = f'"{name}"'
     if kind == "str":
-        value = "'\"' || " + col + " || '\"'"
+        value = f"CASE WHEN {col} IS NOT NULL THEN CAST(to_json({col}) AS VARCHAR) END"
     elif kind in ("int", "bool"):
         value = f"CAST({col} AS VARCHAR)"
     elif kind == "dbl":
@@ -189,6 +213,7 @@ def json_rows(source_sql: str, fields: list[tuple[str, str]]) -> str:
 
 
 S, I, B, D, DT, TS = "str", "int", "bool", "dbl", "date", "ts"
+REST = [("OTHER", I), ("<NA>", I)]
 JSON = {
     "json_probelocation": ("probe_location", [("user_id", S), ("timestamp", D), ("gpsAvailable", B),
                            ("latitude", D), ("longitude", D), ("networkAvailable", B), ("accuracy", D),
@@ -204,15 +229,15 @@ JSON = {
                         ("event_hour", I), ("event_date", DT)]),
     "json_sensorpop": ("sensor_population", [("user_id", S), ("row_no", I), ("name", S),
                        ("location", S), ("calls", S), ("sms", S), ("event", S)]),
-    "json_commtype": ("count_commtype", [("user_id", S), ("event_date", DT), ("PHONE", I), ("SMS", I)]),
+    "json_commtype": ("count_commtype", [("user_id", S), ("event_date", DT), ("PHONE", I), ("SMS", I), *REST]),
     "json_statsphone": ("stats_phone", [("user_id", S), ("event_date", DT), ("average_no_calls", I),
-                        ("INCOMING", I), ("MISSED", I), ("OUTGOING", I)]),
+                        ("INCOMING", I), ("MISSED", I), ("OUTGOING", I), *REST]),
     "json_statssms": ("stats_sms", [("user_id", S), ("event_date", DT), ("average_no_messages", I),
-                      ("INCOMING", I), ("OUTGOING", I)]),
+                      ("INCOMING", I), ("OUTGOING", I), *REST]),
     "json_ratiophone": ("ratio_phone", [("user_id", S), ("event_date", DT), ("INCOMING", I),
-                        ("MISSED", I), ("OUTGOING", I), ("ratio", D)]),
+                        ("MISSED", I), ("OUTGOING", I), *REST, ("ratio", D)]),
     "json_ratiosms": ("ratio_sms", [("user_id", S), ("event_date", DT), ("INCOMING", I),
-                      ("OUTGOING", I), ("ratio", D)]),
+                      ("OUTGOING", I), *REST, ("ratio", D)]),
     "json_callduration": ("call_duration", [("user_id", S), ("call_timestamp", TS), ("event_date", DT),
                           ("callDuration", D), ("max_time", S), ("time_of_day", S)]),
     "json_uniquetext": ("unique_texts", [("user_id", S), ("number", S), ("event_date", DT),
@@ -222,6 +247,9 @@ JSON = {
 }
 
 
+JSON["json_probeevent_nairobi"] = ("json_probeevent_nairobi", JSON["json_probeevent"][1])
+
+
 def oracle_sql() -> dict[str, str]:
     out = {name: BASE + body for name, body in TABLES.items()}
     for name, (table, fields) in JSON.items():
