@@ -3,6 +3,8 @@ import json
 import sys
 from pathlib import Path
 
+import pytest
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
 
@@ -20,7 +22,9 @@ def test_daily_job_end_to_end(spark, tmp_path):
     reg = tmp_path / "register.csv"
     reg.write_text("user_id,email\nu1,a@x\nu3,b@x\n")
     out = tmp_path / "out"
-    main(["--uploads", str(up), "--register", str(reg), "--out", str(out), "--json"])
+    main(["--uploads", str(up), "--register", str(reg), "--out", str(out), "--json", "--mode", "PERMISSIVE"])
+    assert [(r.user_id, r.reason) for r in spark.read.parquet(str(out / "rejects")).collect()] == [("u2", "malformed")]
+    assert {r.state: r.n for r in spark.read.parquet(str(out / "upload_report")).collect()} == {"parsed": 1, "malformed": 1}
     counts = spark.read.parquet(str(out / "tables" / "count_commtype")).collect()
     assert [(r.user_id, r.PHONE, r.SMS) for r in counts] == [("u1", 1, None)]
     pop = {r.user_id: (r.calls, r.event) for r in spark.read.parquet(str(out / "tables" / "sensor_population")).collect()}
@@ -41,3 +45,20 @@ def test_daily_job_parquet_uploads_without_register(spark, tmp_path):
     loc = spark.read.parquet(str(out / "tables" / "probe_location")).first()
     assert (loc.user_id, loc.latitude, loc.gpsAvailable, loc.event_hour) == ("7", 1.25, True, 13)
     assert not (out / "tables" / "sensor_population").exists()
+
+
+def test_daily_job_stops_on_malformed_uploads_and_adds_new_ones(spark, tmp_path):
+    from daily_job import main
+    up, out = tmp_path / "uploads.csv", tmp_path / "out"
+    event = '{""PROBE"":""a.CommunicationEventProbe"",""COMM_TIMESTAMP"":""%d"",""COMMUNICATION_TYPE"":""SMS"",\n""NUMBER"":""1""}'
+    up.write_text("user_id,payload\nu1,\"" + event % 1499856123456 + '"\n')
+    main(["--uploads", str(up), "--out", str(out), "--multi-line"])
+    new = tmp_path / "new.csv"
+    new.write_text("payload,user_id\n\"" + event % 1499856123456 + '",u1\n"' + event % 1499856123456 + '",u2\n')
+    main(["--uploads", str(new), "--out", str(out), "--multi-line", "--append"])
+    counts = {r.user_id: r.SMS for r in spark.read.parquet(str(out / "tables" / "count_commtype")).collect()}
+    assert counts == {"u1": 2, "u2": 1}
+    bad = tmp_path / "bad.csv"
+    bad.write_text('user_id,payload\nu1,"{broken"\n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        main(["--uploads", str(bad), "--out", str(tmp_path / "out2")])

@@ -20,6 +20,6 @@ def test_hot_participant_day_is_never_read_by_one_task(tmp_path):
     hot = report["participant_day_rows"]
     assert hot * 3 >= report["event_rows"] * 0.9
     assert set(report["queries"]) >= {"count_commtype", "stats_phone", "call_duration", "unique_calls",
-                                      "unique_calls_hot_cold_path", "sensor_population"}
+                                      "call_duration_all_tied", "sensor_population"}
     for name, q in report["queries"].items():
         assert q["max_task_shuffle_records"] < hot / 4, (name, q, hot)

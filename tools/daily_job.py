@@ -4,8 +4,8 @@
         --register s3://.../register.csv --out s3://.../phonesense [--json]
 
 The payload is parsed once into a probe-family-partitioned Parquet table
-under ``--out``; every result is then computed from that table and written
-as Parquet (and JSON Lines with ``--json``). Each output is a written table,
+under ``--out``; the event tables are then extracted from it and written, and
+every measure is computed from those (JSON Lines too with ``--json``). Each output is a written table,
 so a lost executor only recomputes the tasks of the step it was running.
 """
 
@@ -18,7 +18,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from phonesense.operators import export, metrics, probes  # noqa: E402
-from phonesense.operators.payload import probe_types, sensor_raw  # noqa: E402
+from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report  # noqa: E402
 from phonesense.operators.population import sensor_population  # noqa: E402
 from phonesense.plans.bronze import read_bronze, write_bronze  # noqa: E402
 from phonesense.session import get_session  # noqa: E402
@@ -26,18 +26,22 @@ from phonesense.sources.json_sink import write_json_rows  # noqa: E402
 from phonesense.sources.uploads import read_register, read_uploads  # noqa: E402
 
 
-def results(pl, register, hour_tz: str, date_tz: str) -> dict:
-    tz = {"hour_tz": hour_tz, "date_tz": date_tz}
-    location, sms = probes.probe_location(pl, **tz), probes.probe_sms(pl, **tz)
-    calls, event = probes.probe_calls(pl, **tz), probes.probe_event(pl, **tz)
+def typed_tables(pl, hour_tz: str, date_tz: str) -> dict:
+    """The extractors: each reads its probe family of the payload table once."""
+    return {"probe_types": probe_types(pl), "probe_location": probes.probe_location(pl, hour_tz, date_tz),
+            "probe_sms": probes.probe_sms(pl, hour_tz, date_tz), "probe_calls": probes.probe_calls(pl, hour_tz, date_tz),
+            "probe_event": probes.probe_event(pl, hour_tz, date_tz)}
+
+
+def measures(read, register) -> dict:
+    """All measures from the written event tables (``read(name)``)."""
+    location, sms, calls, event = map(read, ("probe_location", "probe_sms", "probe_calls", "probe_event"))
     out = {
-        "probe_types": probe_types(pl), "probe_location": location, "probe_sms": sms,
-        "probe_calls": calls, "probe_event": event,
-        "count_commtype": metrics.count_commtype(event), "stats_phone": metrics.stats_phone(event),
+        "count_commtype": metrics.count_commtype(event), "commtype_long": metrics.commtype_long(event),
+        "directions_long": metrics.directions_long(event), "stats_phone": metrics.stats_phone(event),
         "stats_sms": metrics.stats_sms(event), "ratio_phone": metrics.ratio_phone(event),
         "ratio_sms": metrics.ratio_sms(event), "call_duration": metrics.call_duration(calls),
-        "unique_texts": lambda: metrics.unique_texts(event),
-        "unique_calls": lambda: metrics.unique_calls(event),
+        "unique_texts": metrics.unique_texts(event), "unique_calls": metrics.unique_calls(event),
     }
     if register is not None:
         out["sensor_population"] = sensor_population(register, location, calls, sms, event)
@@ -50,8 +54,12 @@ def main(argv=None) -> None:
     ap.add_argument("--format", default="csv", help="csv (default), parquet, json, table, ...")
     ap.add_argument("--register", help="participant register CSV; enables sensor_population")
     ap.add_argument("--out", required=True, help="output folder on shared storage")
-    ap.add_argument("--mode", default="PERMISSIVE", choices=["FAILFAST", "PERMISSIVE"],
-                    help="malformed payloads: skip (PERMISSIVE, default) or stop the job (FAILFAST)")
+    ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"],
+                    help="malformed payloads: stop the job (FAILFAST, default), or leave them out of the results and "
+                         "write them to <out>/rejects (PERMISSIVE)")
+    ap.add_argument("--multi-line", action="store_true", help="CSV payloads may hold raw line breaks")
+    ap.add_argument("--append", action="store_true",
+                    help="--uploads holds new uploads only: add them to the payload table instead of replacing it")
     ap.add_argument("--hour-tz", default="UTC", help="time zone of event_hour (default UTC)")
     ap.add_argument("--date-tz", default="UTC", help="time zone of event_date (default UTC)")
     ap.add_argument("--json", action="store_true", help="also write every result as JSON Lines")
@@ -60,16 +68,28 @@ def main(argv=None) -> None:
 
     spark = get_session(args.master, app_name="phonesense-daily")
     out = args.out.rstrip("/")
-    write_bronze(sensor_raw(read_uploads(spark, args.uploads, fmt=args.format), mode=args.mode),
-                 f"{out}/payload")
+    uploads = read_uploads(spark, args.uploads, fmt=args.format, multi_line=args.multi_line)
+    write = "append" if args.append else "overwrite"
+    write_bronze(sensor_raw(uploads, mode=args.mode), f"{out}/payload", write)
+    if args.mode == "PERMISSIVE":
+        upload_rejects(uploads).write.mode(write).parquet(f"{out}/rejects")
+        upload_report(uploads).write.mode(write).parquet(f"{out}/upload_report")
+        for r in spark.read.parquet(f"{out}/upload_report").groupBy("state").sum("n").collect():  # four states
+            print(f"uploads {r[0]}: {r[1]}")
     pl = read_bronze(spark, f"{out}/payload")
     register = read_register(spark, args.register) if args.register else None
-    for name, df in results(pl, register, args.hour_tz, args.date_tz).items():
-        df = df() if callable(df) else df
-        df.write.mode("overwrite").parquet(f"{out}/tables/{name}")
-        if args.json:
-            written = spark.read.parquet(f"{out}/tables/{name}")
-            write_json_rows(written, f"{out}/json/{name}", mode="overwrite")
+
+    def read(name):
+        return spark.read.parquet(f"{out}/tables/{name}")
+
+    def save(tables):
+        for name, df in tables.items():
+            df.write.mode("overwrite").parquet(f"{out}/tables/{name}")
+            if args.json:
+                write_json_rows(read(name), f"{out}/json/{name}", mode="overwrite", tz=args.hour_tz)
+
+    save(typed_tables(pl, args.hour_tz, args.date_tz))
+    save(measures(read, register))
     if args.json and register is not None:
         export.json_sensorpop(pl, register).write.mode("overwrite").text(f"{out}/json/sensorpop_from_payload")
 

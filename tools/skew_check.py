@@ -28,7 +28,6 @@ from phonesense.operators.payload import sensor_raw  # noqa: E402
 from phonesense.operators.population import sensor_population  # noqa: E402
 from phonesense.session import get_session  # noqa: E402
 from phonesense.sources.fixtures import register_from_customers, uploads_from_events  # noqa: E402
-from phonesense.sources.uploads import ensure_parallelism  # noqa: E402
 
 
 def skewed_events(events):
@@ -56,8 +55,7 @@ def main():
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
         "spark.checkpoint.dir": f"{scratch}/ckpt"})
     spark.sparkContext.setLogLevel("ERROR")
-    events = ensure_parallelism(skewed_events(spark.read.parquet(f"{sf_dir}/events.parquet")),
-                                unique_keys=["event_id"])
+    events = skewed_events(spark.read.parquet(f"{sf_dir}/events.parquet")).repartition(8, "event_id")
     # Written once as an 8-file table, so the shuffles measured below are the
     # operators' own and not the derivation's.
     uploads_from_events(events).write.parquet(f"{scratch}/uploads")
@@ -66,14 +64,15 @@ def main():
     ev, calls = probes.probe_event(pl), probes.probe_calls(pl)
     hot_rows = ev.filter((F.col("user_id") == "u1") & (F.col("event_date") == "2024-01-05")).count()
     total_rows = ev.count()
+    hot_day = (F.col("user_id") == "u1") & (F.col("event_date") == "2024-01-05")
     jobs = {
         "count_commtype": lambda: metrics.count_commtype(ev),
         "stats_phone": lambda: metrics.stats_phone(ev),
         "ratio_sms": lambda: metrics.ratio_sms(ev),
         "call_duration": lambda: metrics.call_duration(calls),
         "unique_calls": lambda: metrics.unique_calls(ev),
-        "unique_calls_hot_cold_path": lambda: metrics.unique_calls(
-            ev, broadcast_groups=0, min_hot_rows=100, max_hot_keys=50),
+        "call_duration_all_tied": lambda: metrics.call_duration(
+            calls.withColumn("callDuration", F.when(hot_day, 9.0).otherwise(F.col("callDuration")))),
         "sensor_population": lambda: sensor_population(
             register, probes.probe_location(pl), calls, probes.probe_sms(pl), ev, order_col="row_no"),
     }
