@@ -8,9 +8,10 @@ indexed: put in its leaf of every tree.
 
 A query walks all trees through one priority queue, nearest side first, until
 the leaves it has opened hold ``OPENED`` rows by the sample's count. Its
-candidates are the rows of those leaves, by an equi-join on (tree, leaf), each
-counted once; distances to all of them are exact, in double precision, on the
-original vectors.
+candidates are the rows of those leaves. Queries and rows meet by leaf, several leaves
+to a task, and a task returns the k best of each query there, so no pair of a
+query and a candidate is ever shuffled; distances are exact, in double
+precision, on the original vectors.
 
 Of equal vectors only the k + 1 of smallest id can be among a query's k nearest,
 so only those are indexed (a limit per vector before the shuffle): copies make
@@ -38,9 +39,11 @@ from .common import table, written
 
 TREES = 16
 LEAF = 64
-OPENED = 6000
+OPENED = 28_000
 SAMPLE = 65_536
 SAMPLE_BYTES = 64 << 20
+#: Rows of the index that a task reranks at once.
+BIN = 8192
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -52,6 +55,10 @@ def usable(vectors: DataFrame) -> DataFrame:
     return fit.distinct()
 
 
+def matrix(column: pd.Series, dim: int) -> np.ndarray:
+    return np.array([np.asarray(v) for v in column], float).reshape(len(column), dim)
+
+
 @dataclass
 class Tree:
     """Inner node i sends x left if x @ normal[i] <= at[i]; children >= 0 are nodes, others leaf ~child."""
@@ -154,23 +161,46 @@ def search(queries: DataFrame, rows: DataFrame, k: int, trees: int = TREES, leaf
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest = [Tree(*t) for t in sent.value]
         for batch in batches:
-            x = np.array([np.asarray(v) for v in batch["x"]]).reshape(len(batch), dim)
+            x = matrix(batch["x"], dim)
             for t, tree in enumerate(forest):
-                yield pd.DataFrame({"tree": t, "leaf": tree.leaves(x), "vec_id": batch["vec_id"]})
+                yield pd.DataFrame({"tree": t, "leaf": tree.leaves(x), "vec_id": batch["vec_id"], "x": batch["x"]})
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest = [Tree(*t) for t in sent.value]
         for batch in batches:
             for i, q, x in zip(batch["query_id"], batch["q"], batch["x"], strict=True):
-                yield pd.DataFrame(opened(forest, np.asarray(x), want), columns=["tree", "leaf"]).assign(query_id=i, q=q)
-
-    indexed = rows.mapInPandas(index, "tree int, leaf long, vec_id long")
-    asked = written(queries.select(F.col("vec_id").alias("query_id"), F.xxhash64("x").alias("q"), "x"), "ann-queries")
-    visits = asked.mapInPandas(ask, "tree int, leaf long, query_id long, q long")
-    pairs = visits.join(indexed, ["tree", "leaf"]).where("query_id != vec_id").select("query_id", "q", "vec_id").distinct()
-    near = pairs.join(rows, "vec_id").join(asked.select("query_id", "q", F.col("x").alias("at")), ["query_id", "q"])
-    off = F.aggregate(F.zip_with("x", "at", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
-    near = near.select("query_id", "q", "vec_id", F.sqrt(off).alias("score"))
+                out = pd.DataFrame(opened(forest, np.asarray(x), want), columns=["tree", "leaf"]).assign(query_id=i, q=q)
+                yield out.assign(x=[x] * len(out))
+
+    def rerank(visits: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(visits) and len(held):
+            at, x = matrix(visits["x"], dim), matrix(held["x"], dim)
+            asker, q, ids = visits["query_id"].to_numpy(), visits["q"].to_numpy(), held["vec_id"].to_numpy()
+            leaves = held.groupby(["tree", "leaf"]).indices
+            for key, asking in visits.groupby(["tree", "leaf"]).indices.items():
+                own = leaves.get(key, ())
+                for i in asking if len(own) else ():
+                    near = own[ids[own] != asker[i]]
+                    score = np.sqrt(((x[near] - at[i]) ** 2).sum(1))
+                    best = np.lexsort((ids[near], score))[:k]
+                    found.append((np.full(len(best), i), near[best], score[best]))
+        if not found:
+            return pd.DataFrame(columns=["query_id", "q", "vec_id", "score"])
+        i, row, score = (np.concatenate(v) for v in zip(*found, strict=True))
+        every = pd.DataFrame({"query_id": asker[i], "q": q[i], "vec_id": ids[row], "score": score})
+        every = every.drop_duplicates(["query_id", "q", "vec_id"]).sort_values(["query_id", "q", "score", "vec_id"])
+        return every[every.groupby(["query_id", "q"]).cumcount() < k]
+
+    bins = max(1, -(-rows.count() * trees // BIN))
+    bin_of = F.pmod(F.xxhash64("tree", "leaf"), F.lit(bins)).alias("bin")
+    indexed = rows.mapInPandas(index, "tree int, leaf long, vec_id long, x array<double>").select(bin_of, "*")
+    asked = queries.select(F.col("vec_id").alias("query_id"), F.xxhash64("x").alias("q"), "x")
+    visits = asked.mapInPandas(ask, "tree int, leaf long, query_id long, q long, x array<double>").select(bin_of, "*")
+    near = visits.groupBy("bin").cogroup(indexed.groupBy("bin")).applyInPandas(
+        rerank, "query_id long, q long, vec_id long, score double")
+    # A row in a leaf of several trees comes from each of them.
+    near = near.groupBy("query_id", "q", "vec_id").agg(F.min("score").alias("score"))
     by = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
     ranked = near.withColumn("rank", F.row_number().over(by).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
