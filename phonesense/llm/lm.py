@@ -215,7 +215,8 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
     by_count = short.groupBy("c").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.orderBy(F.desc("c")))
     least = by_count.withColumn("upto", upto).where(F.col("upto") > head).agg(F.max("c")).first()[0] or 0
-    sent = spark.sparkContext.broadcast({bytes(r.word): r.c for r in short.where(F.col("c") > least).collect()})
+    known = short.where(F.col("c") > least).toPandas()
+    sent = spark.sparkContext.broadcast(dict(zip(map(bytes, known["word"]), map(int, known["c"]), strict=True)))
     made = spark.sparkContext.broadcast((model.arrays(), frequent, size, held_end(counts)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
