@@ -4,10 +4,10 @@ Entities (e-mail and IP addresses, card and phone numbers) are found by pattern
 in every whole text. The corpus then tells how much a term discloses: an entity
 e holds log2(N / n_e) bits, and seeing term t near it leaves -log2(n_te / n_t)
 of them open, where n counts documents. A term that stands near an entity
-in at least ``SUPPORT`` distinct texts and discloses at least ``DISCLOSES`` of
-its bits is marked wherever it occurs: generalised, or removed from
-``REMOVES`` on. For the support exact copies are one text: a copied text alone
-is no evidence.
+in at least ``SUPPORT`` distinct neighbourhoods and discloses at least
+``DISCLOSES`` of its bits is marked wherever it occurs: generalised, or removed
+from ``REMOVES`` on. Copies of a text, or of the passage around the entity, are
+one neighbourhood: copying alone is no evidence.
 
 Three scans: one finds the entities and the terms near them, one counts the
 documents of the terms that have the support, one places the few that disclose
@@ -38,8 +38,8 @@ KINDS = ["email", "ip", "card", "phone"]
 TERM_KIND = "term"
 NEAR = 8
 SUPPORT = 3
-DISCLOSES = 0.8
-REMOVES = 0.95
+DISCLOSES = 0.9
+REMOVES = 0.97
 SLICE = 200_000
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -89,20 +89,21 @@ def entities(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def near(text: str, spans: list[tuple[int, int, int]], reach: int = NEAR) -> set[tuple[int, str]]:
-    """Entity hash and term, for the terms within ``reach`` words of an entity."""
+def near(text: str, spans: list[tuple[int, int, int]], reach: int = NEAR) -> set[tuple[int, str, int]]:
+    """Entity hash, term and a hash of the neighbourhood, for the terms within ``reach`` words of an entity."""
+    number = lambda x: int.from_bytes(hashlib.blake2b(x.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
     out = set()
     for start, kind, end in spans:
-        value = KINDS[kind] + ":" + text[start:end].translate(ASCII_LOWER)
-        entity = int.from_bytes(hashlib.blake2b(value.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
+        entity = number(KINDS[kind] + ":" + text[start:end].translate(ASCII_LOWER))
         before = text[max(0, start - 40 * reach):start].translate(ASCII_LOWER).split()[-reach:]
         after = text[end:end + 40 * reach].translate(ASCII_LOWER).split()[:reach]
-        out |= {(entity, term) for word in before + after for term in TERM.findall(word)}
+        context = number(" ".join(before + after))
+        out |= {(entity, term, context) for word in before + after for term in TERM.findall(word)}
     return out
 
 
 FOUND = ("doc_id long, content string, spans array<struct<start:int,kind:int,end:int>>, "
-         "near array<struct<entity:long,term:string>>")
+         "near array<struct<entity:long,term:string,context:long>>")
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
@@ -115,7 +116,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"), "content": batch["content"],
                 "spans": [[{"start": s, "kind": k, "end": e} for s, k, e in x] for x in spans],
-                "near": [[{"entity": e, "term": t} for e, t in sorted(near(t, x))] if x else []
+                "near": [[{"entity": e, "term": w, "context": c} for e, w, c in sorted(near(t, x))] if x else []
                          for t, x in zip(texts, spans, strict=True)]})
 
     return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("content"),
@@ -174,14 +175,15 @@ def place_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFra
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``term, disclosure``: the largest share of an entity's bits that a term gives away, for the
     terms that give away enough of one; written."""
-    pairs = found.where(F.size("near") > 0).select("content", F.explode("near").alias("p")).select(
-        "content", "p.entity", "p.term")
-    # Copies are counted where they stand; for the support they are one text.
-    joint = pairs.groupBy("entity", "term", "content").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("n_te"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    joint = written(joint, "pii-joint")
+    seen = found.where(F.size("near") > 0)
+    pair = F.transform("near", lambda p: F.struct(p["entity"].alias("entity"), p["term"].alias("term")))
+    together = seen.select(F.explode(F.array_distinct(pair)).alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n_te"))
+    # Copies, and passages that many texts share, are one neighbourhood.
+    contexts = seen.select(F.explode("near").alias("p")).select("p.*").distinct().groupBy("entity", "term").agg(
+        F.count("*").alias("contexts")).where(F.col("contexts") >= SUPPORT)
+    joint = written(contexts.join(together, ["entity", "term"]), "pii-joint")
     terms = written(joint.select("term").distinct(), "pii-terms")
-    entities = found.where(F.size("near") > 0).select(F.explode(F.array_distinct(F.transform(
+    entities = seen.select(F.explode(F.array_distinct(F.transform(
         "near", lambda p: p["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
     n = found.agg(F.count("*")).scalar()
     bits = F.log2(n / F.col("n_e"))
