@@ -135,8 +135,9 @@ def forest_of(rows: DataFrame, dim: int, trees: int, leaf: int, sample: int, see
     sample = max(1, min(sample, SAMPLE_BYTES // (8 * dim)))
     share = min(1.0, sample / max(1, rows.count()))
     drawn = rows.where(F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    points = drawn.toPandas().sort_values("vec_id")["x"]
-    sent = spark.sparkContext.broadcast(np.array([np.asarray(v) for v in points]).reshape(len(points), dim))
+    got = drawn.select("vec_id", "x").toArrow()
+    points = got["x"].combine_chunks().flatten().to_numpy().reshape(-1, dim)[np.argsort(got["vec_id"].to_numpy(), kind="stable")]
+    sent = spark.sparkContext.broadcast(points)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -42,11 +42,11 @@ from pyspark.sql import functions as F
 from .common import LOWER_BYTES, table, written
 from .quality import remainder
 
-FREQUENT, RARE = 94, 64
+FREQUENT, RARE = 62, 32
 CLASSES = FREQUENT + 1 + RARE
 END = FREQUENT
 START = CLASSES  # as context only
-HEAD = 200_000
+HEAD = 100_000
 LONGEST = 64  # bytes of a word in the head
 DIM, STEPS, BATCH, NOISE = 24, 700, 4096, 80
 #: The end of a text in tables of words: no word holds a line break.
@@ -122,8 +122,10 @@ def triple_counts(docs: DataFrame, frequent: list[bytes]) -> tuple[np.ndarray, n
         yield pd.DataFrame({"code": at.astype(np.int32), "n": held[at]})
 
     counted = docs.select("text").mapInPandas(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    got = counted.toPandas().sort_values("code")
-    return got["code"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+    got = counted.toArrow()
+    codes, n = got["code"].to_numpy().astype(np.int64), got["n"].to_numpy()
+    order = np.argsort(codes)
+    return codes[order], n[order]
 
 
 @dataclass
@@ -215,8 +217,8 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
     by_count = short.groupBy("c").agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.orderBy(F.desc("c")))
     least = by_count.withColumn("upto", upto).where(F.col("upto") > head).agg(F.max("c")).first()[0] or 0
-    known = short.where(F.col("c") > least).toPandas()
-    sent = spark.sparkContext.broadcast(dict(zip(map(bytes, known["word"]), map(int, known["c"]), strict=True)))
+    known = short.where(F.col("c") > least).toArrow()
+    sent = spark.sparkContext.broadcast(dict(zip(known["word"].to_pylist(), known["c"].to_pylist(), strict=True)))
     made = spark.sparkContext.broadcast((model.arrays(), frequent, size, held_end(counts)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

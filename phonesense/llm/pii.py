@@ -133,7 +133,7 @@ def sliced(docs: DataFrame, terms: DataFrame, size: int, run, schema: str) -> Da
     out = None
     for i in range(slices):
         own = terms.where(F.pmod(F.xxhash64("term"), F.lit(slices)) == i)
-        sent = docs.sparkSession.sparkContext.broadcast(frozenset(own.toPandas()["term"]))
+        sent = docs.sparkSession.sparkContext.broadcast(frozenset(own.toArrow()["term"].to_pylist()))
         part = docs.mapInPandas(lambda batches, sent=sent: run(batches, sent.value), schema)
         out = part if out is None else out.unionByName(part)
     return out

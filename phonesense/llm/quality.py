@@ -192,7 +192,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = ROWS) -> Model:
     share = min(1.0, rows / max(1, usable.count()))
     drawn = usable.where(F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     known = with_statistics(docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id"))
-    at = known.select("doc_id", "quality", "stat.*").toPandas().sort_values(["doc_id", "quality", *STATISTICS])
+    at = known.select("doc_id", "quality", "stat.*").toArrow().to_pandas().sort_values(["doc_id", "quality", *STATISTICS])
     return fit(at[STATISTICS].to_numpy(float), at["quality"].to_numpy(float))
 
 
