@@ -10,7 +10,6 @@ nulls, empty texts and repeated rows is stated in its operator's module.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from phonesense.llm import mixing, neardup, packing, pii, quality
 from phonesense.llm.common import table, written
@@ -19,7 +18,7 @@ from phonesense.llm.common import table, written
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.scored(docs, model, "_score").where(F.col("_score") >= quality.KEEP).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

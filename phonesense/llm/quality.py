@@ -204,6 +204,17 @@ def scored(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     return out.select(*[F.col("row")[c].alias(c) for c in names if c != name], F.col("_score").alias(name))
 
 
+def accepted(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs`` that score at least ``keep``.
+
+    A row is chosen by a generator, as a filter on the score would be pushed below the
+    statistics and bring each of them in anew wherever a rule mentions it."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("_text"))
+    rows = with_statistics(rows, "_text").withColumn("_score", model.column())
+    kept = rows.select(F.explode(F.when(F.col("_score") >= keep, F.array("row"))).alias("row"))
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
