@@ -31,10 +31,10 @@ WITH docs AS (
   SELECT r, id, label, n, p, t, p - t AS diagonal
   FROM placed JOIN grams ON ws[p + 1] = gram[1] AND ws[p + 1:p + 4] = gram
 ), steps AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, id ORDER BY diagonal) <= {licenses.GAP} THEN 0 ELSE 1 END AS step
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY r, id ORDER BY diagonal, p) <= {licenses.GAP} THEN 0 ELSE 1 END AS step
   FROM votes
 ), spans AS (
-  SELECT *, sum(step) OVER (PARTITION BY r, id ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM steps
+  SELECT *, sum(step) OVER (PARTITION BY r, id ORDER BY diagonal, p ROWS UNBOUNDED PRECEDING) AS span FROM steps
 ), verified AS (
   SELECT r, label, count(DISTINCT t) / (n - 3) AS cover FROM spans GROUP BY r, id, label, n, span
   HAVING count(DISTINCT t) / (n - 3) >= CASE WHEN n < {licenses.SHORT} THEN 1.0 ELSE {licenses.COVER} END
