@@ -1,6 +1,7 @@
 import math
+import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -53,7 +54,7 @@ def test_little_to_learn_from(spark, labels, score):
 def test_quality_query(spark):
     out = quality.op6_quality(spark, SF).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    assert Counter(r.doc_id for r in out) == Counter(docs)
+    assert Counter(r.doc_id for r in out) == Counter(docs.keys())
     assert all(r.held_out == (crc_mod(r.doc_id, 4) == 2) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in out)
     got = {r.doc_id: r for r in out}
     held = [(got[r.doc_id], r.quality) for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality is not None and got[r.doc_id].held_out]
@@ -66,7 +67,7 @@ def saved(spark, rows, path):
 
 
 def brute_lm(rows):
-    words = lambda t: [w for w in __import__("re").findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))]
+    words = lambda t: [w for w in re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER))]
     count, out = Counter(), []
     for d, t in rows:
         if crc_mod(d, 7) != 2:
@@ -96,7 +97,7 @@ def test_lm_base(spark, tmp_path, monkeypatch, head):
     rows = corpus()
     out = lm.op7_lm_score(spark, saved(spark, rows, tmp_path)).collect()
     got = sorted((r.doc_id is None, r.doc_id or 0, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out)
-    assert got == pytest.approx(brute_lm(rows)) if False else [g[:-1] for g in got] == [w[:-1] for w in brute_lm(rows)]
+    assert [g[:-1] for g in got] == [w[:-1] for w in brute_lm(rows)]
     assert [g[-1] for g in got] == pytest.approx([w[-1] for w in brute_lm(rows)], abs=1e-5)
     held = [r for r in out if r.held_out and r.n_tokens > 10]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # two languages: context tells
@@ -134,4 +135,3 @@ def test_classes_of_spark_and_python_agree(spark):
     got = [r[0] for r in df.select(F.lit(lm.END + 1) + F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(lm.RARE))).collect()]
     classes = lm.Classes([])
     assert got == [classes[w.encode()] for w in words]
-    _ = defaultdict
