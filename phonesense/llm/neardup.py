@@ -55,7 +55,7 @@ THRESHOLD = (80, 100)
 LEAST = THRESHOLD[0] / THRESHOLD[1] - 0.2
 CHUNK = 1000
 #: How many of a straggler's likeliest partners in a chunk are confirmed one by one before all are settled.
-TAKE = 16
+TAKE = 4
 BIN_BYTES = 8 << 20
 SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 PIECE = 1 << 20
