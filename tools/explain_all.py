@@ -3,8 +3,7 @@
     python tools/explain_all.py [sf_dir] [out.md]
 
 Uses ``explain("formatted")`` and keeps the operator tree (the per-node
-details are omitted for length). Queries are planned, not executed, except
-for the size check the distinct-contact queries run while being built.
+details are omitted for length). Queries are planned, not executed.
 """
 
 from __future__ import annotations
