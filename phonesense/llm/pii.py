@@ -3,18 +3,20 @@
 Entities (e-mail and IP addresses, card and phone numbers) are found by pattern
 in every whole text. The corpus then tells how much a term discloses: an entity
 e holds log2(N / n_e) bits, and seeing term t near it leaves -log2(n_te / n_t)
-of them open, where n counts documents. A term that stands near an entity
-in at least ``SUPPORT`` distinct neighbourhoods and discloses at least
-``DISCLOSES`` of its bits is marked wherever it occurs: generalised, or removed
-from ``REMOVES`` on. Copies of a text, or of the passage around the entity, are
-one neighbourhood: copying alone is no evidence.
+of them open, where n counts distinct texts: exact copies are one, as copying
+alone is no evidence. For the share n_te / n_t stands the lower end of its Wilson
+interval at ``Z`` standard errors, so few texts tell less than many with the same
+share. A term that discloses at least ``DISCLOSES`` of an entity's bits is marked
+wherever it occurs: generalised, or removed from ``REMOVES`` on. In one text every
+word of its own stands near the entity, so a pair counts from its second text on.
 
 Three scans: one finds the entities and the terms near them, one counts the
-documents of the terms that have the support, one places the few that disclose
-enough. Terms go to the tasks in slices of about ``SLICE``, one pass for each slice,
+texts of the terms that could disclose enough, one places the few that do. Terms go to the tasks in slices of about ``SLICE``, one pass for each slice,
 so what is broadcast stays bounded whatever the corpus. The patterns need time
 in proportion to the text, long runs included. All counts are grouped with
-partial sums; no group of rows is held in one task.
+partial sums; no group of rows is held in one task. Contents with copies are known to
+the tasks by a bitmap of ``BUCKETS`` bits; what shares a bit goes through a shuffle of
+(content, term), all else is added up in the task.
 
 Defined results: a null text counts as empty and has no spans; rows alike are
 judged alike, each with its own result row; an empty table gives no rows; other
@@ -28,8 +30,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, table, written
@@ -37,10 +40,11 @@ from .common import LOWER, UPPER, table, written
 KINDS = ["email", "ip", "card", "phone"]
 TERM_KIND = "term"
 NEAR = 8
-SUPPORT = 3
+Z = 1.0
 DISCLOSES = 0.9
 REMOVES = 0.97
 SLICE = 200_000
+BUCKETS = 1 << 22
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
@@ -89,21 +93,20 @@ def entities(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def near(text: str, spans: list[tuple[int, int, int]], reach: int = NEAR) -> set[tuple[int, str, int]]:
-    """Entity hash, term and a hash of the neighbourhood, for the terms within ``reach`` words of an entity."""
+def near(text: str, spans: list[tuple[int, int, int]], reach: int = NEAR) -> set[tuple[int, str]]:
+    """Entity hash and term, for the terms within ``reach`` words of an entity."""
     number = lambda x: int.from_bytes(hashlib.blake2b(x.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
     out = set()
     for start, kind, end in spans:
         entity = number(KINDS[kind] + ":" + text[start:end].translate(ASCII_LOWER))
         before = text[max(0, start - 40 * reach):start].translate(ASCII_LOWER).split()[-reach:]
         after = text[end:end + 40 * reach].translate(ASCII_LOWER).split()[:reach]
-        context = number(" ".join(before + after))
-        out |= {(entity, term, context) for word in before + after for term in TERM.findall(word)}
+        out |= {(entity, term) for word in before + after for term in TERM.findall(word)}
     return out
 
 
 FOUND = ("doc_id long, content string, spans array<struct<start:int,kind:int,end:int>>, "
-         "near array<struct<entity:long,term:string,context:long>>")
+         "near array<struct<entity:long,term:string>>")
 
 
 def find_entities(docs: DataFrame) -> DataFrame:
@@ -116,7 +119,7 @@ def find_entities(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({
                 "doc_id": batch["doc_id"].astype("Int64"), "content": batch["content"],
                 "spans": [[{"start": s, "kind": k, "end": e} for s, k, e in x] for x in spans],
-                "near": [[{"entity": e, "term": w, "context": c} for e, w, c in sorted(near(t, x))] if x else []
+                "near": [[{"entity": e, "term": w} for e, w in sorted(near(t, x))] if x else []
                          for t, x in zip(texts, spans, strict=True)]})
 
     return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.col("text").cast("binary")).alias("content"),
@@ -139,19 +142,48 @@ def sliced(docs: DataFrame, terms: DataFrame, size: int, run, schema: str) -> Da
     return out
 
 
-def count_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFrame:
-    """``term, n_t``: in how many rows of ``docs`` each of the terms stands."""
+def bucket(content: Column) -> Column:
+    return F.pmod(F.xxhash64(content), F.lit(BUCKETS)).cast("int")
+
+
+def copied(found: DataFrame) -> np.ndarray:
+    """Bits of the buckets of all contents that more than one row has, packed."""
+    again = found.groupBy("content").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    bits = np.zeros(BUCKETS, bool)
+    bits[again.select(bucket(F.col("content")).alias("b")).distinct().toArrow()["b"].to_numpy()] = True
+    return np.packbits(bits)
+
+
+def count_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE, copies: np.ndarray | None = None) -> DataFrame:
+    """``term, n_t``: in how many rows of ``docs`` each of the terms stands; with the bits of
+    ``copied``, in how many distinct texts."""
+    sent = docs.sparkSession.sparkContext.broadcast(np.zeros(BUCKETS // 8, np.uint8) if copies is None else copies)
 
     def run(batches: Iterator[pd.DataFrame], own: frozenset) -> Iterator[pd.DataFrame]:
         held: Counter[str] = Counter()
+        bits, done = sent.value, set()
         for batch in batches:
-            for text in batch["text"]:
-                if own and isinstance(text, str):
-                    held.update(own.intersection(TERM.findall(text.translate(ASCII_LOWER))))
-        yield pd.DataFrame(held.items(), columns=["term", "n"])
-
-    counted = sliced(docs.select("text"), terms, size, run, "term string, n long")
-    return counted.groupBy("term").agg(F.sum("n").alias("n_t"))
+            rows = []
+            at = batch["bucket"].fillna(0).to_numpy(np.int64)
+            again = bits[at >> 3] >> (7 - (at & 7)) & 1
+            for text, content, many in zip(batch["text"], batch["content"], again, strict=True):
+                if own and isinstance(text, str) and not (many and content in done):
+                    here = own.intersection(TERM.findall(text.translate(ASCII_LOWER)))
+                    if many:
+                        if len(done) >= 100_000:
+                            done.clear()
+                        done.add(content)
+                        rows += [(content, term, 1) for term in here]
+                    else:
+                        held.update(here)
+            yield pd.DataFrame(rows, columns=["content", "term", "n"])
+        yield pd.DataFrame([(None, *x) for x in held.items()], columns=["content", "term", "n"])
+
+    content = F.md5(F.col("text").cast("binary"))
+    counted = sliced(docs.select("text", content.alias("content"), bucket(content).alias("bucket")), terms, size, run,
+                     "content string, term string, n long")
+    counted = counted.groupBy("content", "term").agg(F.sum("n").alias("n"))
+    return counted.groupBy("term").agg(F.sum(F.when(F.col("content").isNull(), F.col("n")).otherwise(1)).alias("n_t"))
 
 
 def place_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFrame:
@@ -172,24 +204,28 @@ def place_terms(docs: DataFrame, terms: DataFrame, size: int = SLICE) -> DataFra
     return sliced(texts, terms, size, run, HITS)
 
 
+def least_share(k: Column, n: Column) -> Column:
+    """Lower end of the Wilson interval of k / n."""
+    p, z = k / n, Z * Z
+    return (p + z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + z / (4 * n * n))) / (1 + z / n)
+
+
 def disclosures(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``term, disclosure``: the largest share of an entity's bits that a term gives away, for the
     terms that give away enough of one; written."""
-    seen = found.where(F.size("near") > 0)
-    pair = F.transform("near", lambda p: F.struct(p["entity"].alias("entity"), p["term"].alias("term")))
-    together = seen.select(F.explode(F.array_distinct(pair)).alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n_te"))
-    # Copies, and passages that many texts share, are one neighbourhood.
-    contexts = seen.select(F.explode("near").alias("p")).select("p.*").distinct().groupBy("entity", "term").agg(
-        F.count("*").alias("contexts")).where(F.col("contexts") >= SUPPORT)
-    joint = written(contexts.join(together, ["entity", "term"]), "pii-joint")
-    terms = written(joint.select("term").distinct(), "pii-terms")
+    seen = written(found.where(F.size("near") > 0).select("content", "near").dropDuplicates(["content"]).select("near"), "pii-seen")
+    n = found.select("content").distinct().count()
     entities = seen.select(F.explode(F.array_distinct(F.transform(
         "near", lambda p: p["entity"]))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
-    n = found.agg(F.count("*")).scalar()
+    together = seen.select(F.explode("near").alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n_te"))
     bits = F.log2(n / F.col("n_e"))
-    share = F.when(bits > 0, 1 + F.log2(F.least(F.lit(1.0), F.col("n_te") / F.col("n_t"))) / F.nullif(bits, F.lit(0.0)))
-    told = joint.join(entities, "entity").join(count_terms(docs, terms), "term")
-    told = told.groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= DISCLOSES)
+    share = lambda n_t: F.when(bits > 0, 1 + F.log2(least_share(F.col("n_te"), n_t)) / F.nullif(bits, F.lit(0.0)))
+    # No term stands in fewer texts than near the entity: what isn't enough then never is.
+    joint = together.where(F.col("n_te") > 1).join(entities, "entity").where(share(F.col("n_te")) >= DISCLOSES)
+    joint = written(joint, "pii-joint")
+    terms = written(joint.select("term").distinct(), "pii-terms")
+    told = joint.join(count_terms(docs, terms, copies=copied(found)), "term")
+    told = told.groupBy("term").agg(F.max(share(F.greatest("n_te", "n_t"))).alias("disclosure")).where(F.col("disclosure") >= DISCLOSES)
     return written(told, "pii-disclosures")
 
 

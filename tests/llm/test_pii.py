@@ -111,3 +111,31 @@ def test_sanitise(spark, tmp_path):
 
 def test_empty_table(spark, tmp_path):
     assert pii.op9_pii(spark, saved(spark, [], tmp_path)).collect() == []
+
+
+def test_names_and_signatures(spark, tmp_path):
+    rng = random.Random(5)
+    filler = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
+    some = lambda k: " ".join(rng.choices(filler, k=k))
+    rows = [(i, some(40), "s", i) for i in range(500)]
+    # A signature is one neighbourhood in however many texts.
+    block = "-- with kind regards yours ever claude frollo claude@parvis.example.org archdeacon of our lady at paris on seine"
+    rows += [(1000 + i, f"{some(30)}\n{block}", "s", 0) for i in range(40)]
+    # A name beside an address that stands in two texts; copies, also of a third text with the name, change nothing.
+    two = [f"{some(12)} esmeralda, +1 (555) 010-9999 {some(12)}" for _ in range(2)]
+    rows += [(2000 + i, two[i % 2], "s", 0) for i in range(40)]
+    other = [f"{some(12)} gringoire {x} {some(12)}" for x in ["10.9.8.7"] * 8 + [""]]
+    rows += [(3000 + i, other[min(i, 8)], "s", 0) for i in range(60)]
+    # One text, however often copied, tells nothing.
+    rows += [(4000 + i, "lonely hermit 10.0.0.1 here", "s", 0) for i in range(50)]
+    docs = spark.read.parquet(saved(spark, rows, tmp_path) + "/documents.parquet")
+    told = {r.term: r.disclosure for r in pii.disclosures(docs, pii.find_entities(docs)).collect()}
+    true = {"esmeralda", "gringoire", "claude", "frollo", "archdeacon"}
+    assert true <= set(told) and not {"lonely", "hermit", "here"} & set(told)
+    assert not [t for t in told if t in filler]
+    words = spark.createDataFrame([("gringoire",), ("esmeralda",), ("lonely",)], "term string")
+    found = pii.find_entities(docs)
+    counts = {r.term: r.n_t for r in pii.count_terms(docs, words, copies=pii.copied(found)).collect()}
+    assert counts == {"gringoire": 9, "esmeralda": 2, "lonely": 1}
+    marked = {r.doc_id for r in pii.find(docs).where("size(terms) > 0").collect()}
+    assert marked == {r[0] for r in rows if 1000 <= r[0] < 4000}
