@@ -1,19 +1,22 @@
 """Language-model scoring: a log-bilinear neural model, trained with noise-contrastive estimation.
 
 Tokens fall into classes: each of the most frequent words is one, the end of a
-text is one, and all other words, known or not, are spread over ``RARE`` classes
-by their last two bytes. The model predicts a token's class from the two before
-it: the context's vectors, each times its place's weights, add up to a predicted
-vector whose products with all class vectors, plus their biases, are normalised.
-Inside a rare class a word has its share of the class's training tokens, each
-word and one unseen word counted once more, so token probabilities sum to 1.
-
-What the corpus gives is counted over all training tokens: word counts, and
-class triples (at most CLASSES^3 numbers, which is all that noise-contrastive
-estimation needs of the data, as each triple weighs by its count). Training is
-a fixed number of numpy steps on the driver over that bounded table; scoring is
-one table of normalised log-probabilities, made by batched matrix products in
-each task, and a lookup for each token.
+text is one, and all other words, known or not, are spread over rare classes by
+their last two bytes. The numbers of both grow with the cube root of the training
+tokens, from ``FREQUENT`` and ``RARE`` at ``LEAST`` of them. The model predicts a
+token's class from the two before it: the context's vectors, each times its place's
+weights, add up to a predicted vector whose products with all class vectors, plus
+their biases, are normalised. Inside a rare class a word has its share of the
+class's training tokens, each word and one unseen word counted once more, so token
+probabilities sum to 1.
+
+What the corpus gives is counted or trained over all training tokens. Training goes
+in ``ROUNDS``: in each, tasks make noise-contrastive steps over their part of that
+round's texts, starting from the same parameters, and the results are averaged by
+tokens. Each token is stepped over once at least, more often where that would leave
+a task fewer than ``STEPS`` steps; so the steps grow with the corpus. The driver
+holds one sum of parameters for each of ``GROUPS``. Scoring works out the normaliser
+of a context when it first meets it, at most (classes + 1)^2 numbers in a task.
 
 A word's count is looked up in a broadcast of the at most ``HEAD`` most frequent
 (short) words; the occurrences of all others are joined to the table of counts,
@@ -42,13 +45,15 @@ from pyspark.sql import functions as F
 from .common import LOWER_BYTES, table, written
 from .quality import remainder
 
-FREQUENT, RARE = 62, 32
+FREQUENT, RARE = 62, 32  # at least
+LEAST = 3_000_000
 CLASSES = FREQUENT + 1 + RARE
 END = FREQUENT
 START = CLASSES  # as context only
 HEAD = 100_000
 LONGEST = 64  # bytes of a word in the head
 DIM, STEPS, BATCH, NOISE = 24, 700, 4096, 80
+ROUNDS, GROUPS, TASK, HELD = 4, 16, 1_000_000, 2_000_000
 #: The end of a text in tables of words: no word holds a line break.
 END_WORD = b"\n"
 REMEMBERED = 300_000
@@ -59,28 +64,35 @@ def tokens(text) -> list[bytes]:
     return text.encode(errors="surrogatepass").translate(LOWER_BYTES).split() if isinstance(text, str) else []
 
 
+def sizes(n_tokens: int) -> tuple[int, int]:
+    """Frequent and rare classes for so many training tokens."""
+    grown = max(1.0, (n_tokens / LEAST) ** (1 / 3))
+    return int(FREQUENT * grown), int(RARE * grown)
+
+
 class Classes(dict):
     """Class of a word; remembers some."""
 
-    def __init__(self, frequent: list[bytes]):
+    def __init__(self, frequent: list[bytes], n_frequent: int = FREQUENT, n_rare: int = RARE):
         self.frequent = {w: i for i, w in enumerate(frequent)}
+        self.end, self.n_rare, self.n = n_frequent, n_rare, n_frequent + 1 + n_rare
         super().__init__(self.frequent)
 
     def __missing__(self, word: bytes) -> int:
         if len(self) > REMEMBERED:
             self.clear()
             self.update(self.frequent)
-        c = self[word] = self.frequent.get(word, END + 1 + zlib.crc32(word[-2:]) % RARE)
+        c = self[word] = self.frequent.get(word, self.end + 1 + zlib.crc32(word[-2:]) % self.n_rare)
         return c
 
     def of(self, words: list[bytes]) -> np.ndarray:
         """Classes of the tokens, after two starts."""
-        return np.array([START, START, *map(self.__getitem__, words), END], np.int64)
+        return np.array([self.n, self.n, *map(self.__getitem__, words), self.end], np.int64)
 
 
-def triples(c: np.ndarray) -> np.ndarray:
-    """Codes of (two before, one before, token)."""
-    return (c[:-2] * (CLASSES + 1) + c[1:-1]) * CLASSES + c[2:]
+def triples(c: np.ndarray, n: int) -> np.ndarray:
+    """Codes of (two before, one before, token), of ``n`` classes."""
+    return (c[:-2] * (n + 1) + c[1:-1]) * n + c[2:]
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -101,33 +113,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return written(counted.groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
 
 
-def triple_counts(docs: DataFrame, frequent: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and counts of the class triples of all ``docs``, at most CLASSES^2 (CLASSES + 1) of them."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        classes, held = Classes(frequent), np.zeros((CLASSES + 1) ** 2 * CLASSES, np.int64)
-        for batch in batches:
-            codes, n = [], 0
-            for text in batch["text"]:
-                codes.append(triples(classes.of(tokens(text))))
-                n += len(codes[-1])
-                if n > 1_000_000:
-                    at, times = np.unique(np.concatenate(codes), return_counts=True)
-                    held[at] += times
-                    codes, n = [], 0
-            if codes:
-                at, times = np.unique(np.concatenate(codes), return_counts=True)
-                held[at] += times
-        at = np.flatnonzero(held)
-        yield pd.DataFrame({"code": at.astype(np.int32), "n": held[at]})
-
-    counted = docs.select("text").mapInPandas(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    got = counted.toArrow()
-    codes, n = got["code"].to_numpy().astype(np.int64), got["n"].to_numpy()
-    order = np.argsort(codes)
-    return codes[order], n[order]
-
-
 @dataclass
 class LogBilinear:
     context: np.ndarray  # a vector for each class and the start
@@ -141,55 +126,130 @@ class LogBilinear:
     def predicted(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
         return self.context[last] @ self.place[0] + self.context[before] @ self.place[1]
 
+    def normaliser(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """Logs of the sums over all classes, for each context."""
+        out = np.empty(len(last))
+        for i in range(0, len(last), 4096):
+            s = self.predicted(before[i:i + 4096], last[i:i + 4096]) @ self.target.T + self.bias
+            most = s.max(1)
+            out[i:i + 4096] = most + np.log(np.exp(s - most[:, None]).sum(1))
+        return out
+
     def table(self) -> np.ndarray:
         """Normalised log10 probabilities: a row for each (two before, one before)."""
-        out = np.empty(((CLASSES + 1) ** 2, CLASSES), np.float32)
-        last = np.arange(CLASSES + 1)
-        for before in range(CLASSES + 1):
-            s = self.predicted(np.full(len(last), before), last) @ self.target.T + self.bias
-            s -= s.max(1, keepdims=True)
-            out[before * (CLASSES + 1):(before + 1) * (CLASSES + 1)] = (s - np.log(np.exp(s).sum(1, keepdims=True))) / np.log(10)
-        return out
+        n = len(self.bias)
+        before, last = np.divmod(np.arange((n + 1) ** 2), n + 1)
+        s = self.predicted(before, last) @ self.target.T + self.bias
+        return ((s - self.normaliser(before, last)[:, None]) / np.log(10)).astype(np.float32)
 
 
-def fit(codes: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 3) -> LogBilinear:
-    """Noise-contrastive estimation: each drawn triple's token against ``NOISE`` shared draws of the
-    classes' own shares; Adam steps."""
+def initial(share: np.ndarray, seed: int) -> LogBilinear:
     rng = np.random.default_rng(seed)
-    word = codes % CLASSES
-    share = np.bincount(word, counts, CLASSES) + 1.0
-    share /= share.sum()
-    p = {"context": rng.normal(0, 0.1, (CLASSES + 1, DIM)), "target": rng.normal(0, 0.1, (CLASSES, DIM)),
-         "place": np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]), "bias": np.log(share)}
-    if not len(codes):
-        return LogBilinear(**p)
-    upto = counts.cumsum()
-    first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    log_noise = np.log(NOISE * share)
-    for step in range(1, steps + 1):
-        code = codes[np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), "right")]
-        w, last, before = code % CLASSES, code // CLASSES % (CLASSES + 1), code // CLASSES // (CLASSES + 1)
-        noise = rng.choice(CLASSES, NOISE, p=share)
-        model = LogBilinear(**p)
-        q = model.predicted(before, last)
+    n = len(share)
+    return LogBilinear(rng.normal(0, 0.1, (n + 1, DIM)), np.stack([np.eye(DIM), 0.5 * np.eye(DIM)]),
+                       rng.normal(0, 0.1, (n, DIM)), np.log(share))
+
+
+def added(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows for each index under ``n``."""
+    out = np.empty((n, rows.shape[1]))
+    for i in range(rows.shape[1]):
+        out[:, i] = np.bincount(at, rows[:, i], n)
+    return out
+
+
+class Adam:
+    """Noise-contrastive steps: each triple's token against ``NOISE`` shared draws of the classes' own shares."""
+
+    def __init__(self, model: LogBilinear, share: np.ndarray, seed: int):
+        self.p = {k: np.array(v, float) for k, v in zip(("context", "place", "target", "bias"), model.arrays(), strict=True)}
+        self.share, self.rng, self.step = share, np.random.default_rng(seed), 0
+        self.first, self.second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
+
+    def take(self, code: np.ndarray, rate: float) -> None:
+        p, n, share = self.p, len(self.share), self.share
+        self.step += 1
+        w, last, before = code % n, code // n % (n + 1), code // n // (n + 1)
+        noise = self.rng.choice(n, NOISE, p=share)
+        log_noise = np.log(NOISE * share)
+        q = LogBilinear(**p).predicted(before, last)
         true = np.einsum("ij,ij->i", q, p["target"][w]) + p["bias"][w] - log_noise[w]
         false = q @ p["target"][noise].T + p["bias"][noise] - log_noise[noise]
-        d_true = (1 / (1 + np.exp(-true)) - 1) / BATCH
-        d_false = 1 / (1 + np.exp(-false)) / BATCH
+        d_true = (1 / (1 + np.exp(-true)) - 1) / len(code)
+        d_false = 1 / (1 + np.exp(-false)) / len(code)
         d_q = d_true[:, None] * p["target"][w] + d_false @ p["target"][noise]
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(g["target"], w, d_true[:, None] * q)
-        np.add.at(g["target"], noise, d_false.T @ q)
-        g["bias"] = np.bincount(w, d_true, CLASSES) + np.bincount(noise, d_false.sum(0), CLASSES)
-        for i, c in enumerate((last, before)):
-            g["place"][i] = p["context"][c].T @ d_q
-            np.add.at(g["context"], c, d_q @ p["place"][i].T)
-        rate = 0.02 * min(1, 2 * (1 - step / (steps + 1)))
+        g = {"target": added(w, d_true[:, None] * q, n) + added(noise, d_false.T @ q, n),
+             "bias": np.bincount(w, d_true, n) + np.bincount(noise, d_false.sum(0), n),
+             "place": np.stack([p["context"][c].T @ d_q for c in (last, before)]),
+             "context": sum(added(c, d_q @ p["place"][i].T, n + 1) for i, c in enumerate((last, before)))}
         for k in p:
-            first[k] = 0.9 * first[k] + 0.1 * g[k]
-            second[k] = 0.999 * second[k] + 0.001 * g[k] ** 2
-            p[k] = p[k] - rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
-    return LogBilinear(**p)
+            self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
+            self.second[k] = 0.999 * self.second[k] + 0.001 * g[k] ** 2
+            p[k] = p[k] - rate * (self.first[k] / (1 - 0.9 ** self.step)) / (np.sqrt(self.second[k] / (1 - 0.999 ** self.step)) + 1e-8)
+
+
+def fit(codes: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 3) -> LogBilinear:
+    """``steps`` over draws from counted triples of ``CLASSES`` classes."""
+    share = np.bincount(codes % CLASSES, counts, CLASSES) + 1.0
+    share /= share.sum()
+    adam, upto = Adam(initial(share, seed), share, seed), counts.cumsum()
+    for step in range(1, steps + 1) if len(codes) else ():
+        drawn = codes[np.searchsorted(upto, adam.rng.integers(0, upto[-1], BATCH), "right")]
+        adam.take(drawn, 0.02 * min(1, 2 * (1 - step / (steps + 1))))
+    return LogBilinear(**adam.p)
+
+
+def train(docs: DataFrame, frequent: list[bytes], sizes: tuple[int, int], share: np.ndarray, n_tokens: int, seed: int = 3) -> LogBilinear:
+    """A model of all texts of ``docs``, by rounds of steps in tasks."""
+    model = initial(share, seed)
+    if not n_tokens:
+        return model
+    shapes = [x.shape for x in model.arrays()]
+    tasks = max(1, min(docs.rdd.getNumPartitions(), n_tokens // TASK))
+    passes = max(1, -(-STEPS * BATCH * tasks // n_tokens))
+    docs = docs.select("text").coalesce(tasks)
+    for turn in range(ROUNDS):
+        sent = docs.sparkSession.sparkContext.broadcast([x.astype(np.float32) for x in model.arrays()])
+        rate = 0.02 * (1 - turn / ROUNDS)
+
+        def run(batches: Iterator[pd.DataFrame], sent=sent, rate=rate, turn=turn) -> Iterator[pd.DataFrame]:
+            part = TaskContext.get().partitionId()
+            classes, adam, held, n, all_n = Classes(frequent, *sizes), Adam(LogBilinear(*sent.value), share, seed + 7919 * part + turn), [], 0, 0
+
+            def steps() -> None:
+                codes = np.concatenate(held)
+                for _ in range(passes):
+                    adam.rng.shuffle(codes)
+                    for i in range(0, len(codes), BATCH):
+                        adam.take(codes[i:i + BATCH], rate)
+
+            for batch in batches:
+                for text in batch["text"]:
+                    held.append(triples(classes.of(tokens(text)), classes.n))
+                    n += len(held[-1])
+                    if n > HELD:
+                        steps()
+                        held, all_n, n = [], all_n + n, 0
+            if n:
+                steps()
+            total = np.concatenate([x.ravel() for x in adam.p.values()]) * (all_n + n)
+            yield pd.DataFrame({"g": [part % GROUPS], "n": [all_n + n], "p": [total.tobytes()]})
+
+        def add(rows: pd.DataFrame) -> pd.DataFrame:
+            total = 0.0
+            for x in rows["p"]:
+                total = total + np.frombuffer(x)
+            return pd.DataFrame({"n": [rows["n"].sum()], "p": [total.tobytes()]})
+
+        own = docs.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn)
+        got = own.mapInPandas(run, "g int, n long, p binary").groupBy("g").applyInPandas(add, "n long, p binary").collect()
+        if n := sum(r.n for r in got):
+            flat, arrays = sum(np.frombuffer(r.p) for r in got) / n, []
+            for shape in shapes:
+                arrays.append(flat[:np.prod(shape)].reshape(shape))
+                flat = flat[np.prod(shape):]
+            model = LogBilinear(*arrays)
+    return model
 
 
 SCORED = ("row long, doc_id long, n_tokens long, head_known long, head_log double, rare_log double, "
@@ -203,14 +263,19 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
     counts = word_counts(training)
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     words = counts.where(F.col("word") != F.lit(bytearray(END_WORD)))
-    frequent = [bytes(r.word) for r in words.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(FREQUENT).collect()]
-    model = fit(*triple_counts(training, frequent))
+    n_frequent, n_rare = sizes(total.n)
+    end = n_frequent
+    frequent = [bytes(r.word) for r in words.where(F.length("word") <= LONGEST).orderBy(F.desc("c"), "word").limit(n_frequent).collect()]
 
     # Sizes of the rare classes: tokens, and words with one unseen.
     rare = words.where(~F.col("word").isin([bytearray(w) for w in frequent])) if frequent else words
-    cls = (F.lit(END + 1) + F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(RARE))).cast("int")
-    held = {r.cls: r.size for r in rare.groupBy(cls.alias("cls")).agg((F.sum("c") + F.count("*")).alias("size")).collect()}
-    size = np.array([0.0 if c <= END else np.log10(held.get(c, 0) + 1) for c in range(CLASSES)])
+    cls = (F.lit(end + 1) + F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(n_rare))).cast("int")
+    held = {r.cls: r for r in rare.groupBy(cls.alias("cls")).agg(F.sum("c").alias("c"), F.count("*").alias("v")).collect()}
+    size = np.zeros(end + 1 + n_rare)
+    share = np.ones(end + 1 + n_rare)
+    for c, r in held.items():
+        size[c] = np.log10(r.c + r.v + 1)
+        share[c] += r.c
 
     # The head: all words above the smallest count that leaves no more than ``head`` of them.
     short = words.where(F.length("word") <= LONGEST)
@@ -218,12 +283,27 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
     upto = F.sum("n").over(Window.orderBy(F.desc("c")))
     least = by_count.withColumn("upto", upto).where(F.col("upto") > head).agg(F.max("c")).first()[0] or 0
     known = short.where(F.col("c") > least).toArrow()
-    sent = spark.sparkContext.broadcast(dict(zip(known["word"].to_pylist(), known["c"].to_pylist(), strict=True)))
-    made = spark.sparkContext.broadcast((model.arrays(), frequent, size, held_end(counts)))
+    own = dict(zip(known["word"].to_pylist(), known["c"].to_pylist(), strict=True))
+    sent = spark.sparkContext.broadcast(own)
+    ends = held_end(counts)
+    share[:len(frequent)] += [own.get(w, least) for w in frequent]
+    share[end] += ends
+    model = train(training, frequent, (n_frequent, n_rare), share / share.sum(), total.n)
+    made = spark.sparkContext.broadcast((model.arrays(), frequent, size, ends))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, frequent, size, ends = made.value
-        log_p, known, classes = LogBilinear(*model).table().reshape(-1), sent.value, Classes(frequent)
+        model, known, classes = LogBilinear(*model), sent.value, Classes(frequent, n_frequent, n_rare)
+        norms = np.full((classes.n + 1) ** 2, np.nan)
+
+        def log_p(c: np.ndarray) -> float:
+            at = c[:-2] * (classes.n + 1) + c[1:-1]
+            new = np.unique(at[np.isnan(norms[at])])
+            if len(new):
+                norms[new] = model.normaliser(*np.divmod(new, classes.n + 1))
+            s = np.einsum("ij,ij->i", model.predicted(c[:-2], c[1:-1]), model.target[c[2:]]) + model.bias[c[2:]]
+            return float((s - norms[at]).sum() / np.log(10))
+
         logs = {w: float(np.log10(c + 1)) for w, c in known.items()}
         end_log = float(np.log10(ends + 1))
         row = TaskContext.get().partitionId() << 33
@@ -236,7 +316,7 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
                 tail = [w for w, x in zip(own, found, strict=True) if x is None]
                 in_head = np.array([x if x is not None else 0.0 for x in found])
                 out.append((row, doc, len(own) + 1, len(own) - len(tail) + (ends > 0), in_head.sum() + end_log,
-                            in_head[c[2:-1] > END].sum(), log_p[triples(c)].sum(dtype=float) - size[c[2:]].sum(), tail))
+                            in_head[c[2:-1] > end].sum(), log_p(c) - size[c[2:]].sum(), tail))
                 row += 1
             made_rows = pd.DataFrame(out, columns=[x.split()[0] for x in SCORED.split(", ")])
             made_rows["doc_id"] = made_rows["doc_id"].astype("Int64")

@@ -135,3 +135,19 @@ def test_classes_of_spark_and_python_agree(spark):
     got = [r[0] for r in df.select(F.lit(lm.END + 1) + F.pmod(F.crc32(F.expr("substring(word, -2, 2)")), F.lit(lm.RARE))).collect()]
     classes = lm.Classes([])
     assert got == [classes[w.encode()] for w in words]
+
+
+def test_model_grows_with_the_corpus(spark, tmp_path, monkeypatch):
+    """More classes and steps with more training tokens, and every token stepped over."""
+    assert lm.sizes(1000) == (lm.FREQUENT, lm.RARE) and lm.sizes(8 * lm.LEAST) == (2 * lm.FREQUENT, 2 * lm.RARE)
+    monkeypatch.setattr(lm, "LEAST", 1000)
+    rows = corpus()
+    made = []
+    monkeypatch.setattr(lm, "train", lambda *a, f=lm.train: made.append((a, f(*a))) or made[-1][1])
+    out = lm.op7_lm_score(spark, saved(spark, rows, tmp_path)).collect()
+    ((_, frequent, sizes, share, n), model), = made
+    assert sizes == lm.sizes(n) and sizes[0] > lm.FREQUENT and len(frequent) == sizes[0]
+    assert len(model.bias) == len(share) == sum(sizes) + 1
+    assert np.allclose((10.0 ** model.table().astype(float)).sum(1), 1, atol=1e-4)
+    held = [r for r in out if r.held_out and r.n_tokens > 10]
+    assert sum(r.score for r in held) > sum(r.base_score for r in held)
