@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
+from . import ann, conversations, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
 from .oracle import ORACLE_SQL
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_near_dedup": neardup.op8_near_dedup,
     "op9_pii": pii.op9_pii,
     "op10_ann": ann.op10_ann,
+    "op11_conversation_repair": conversations.op11_conversation_repair,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

@@ -89,4 +89,80 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id)
 FROM docs d LEFT JOIN nodes USING (ws) LEFT JOIN sizes USING (id) LEFT JOIN named USING (id)
 """
 
-ORACLE_SQL = {"op1_license_scan": LICENSE_SCAN, "op5_topk": TOPK, "op8_near_dedup": NEAR_DEDUP}
+
+def _state(cost: int, letter: str, line: str | None, of: str) -> str:
+    """A path's state {cost, audit, lines} after one more edit."""
+    lines = f"{of}.r" if line is None else f"CASE WHEN {of}.a LIKE '%K%' OR {of}.a LIKE '%R%' OR {of}.a LIKE '%I%' THEN {of}.r || chr(10) ELSE '' END || {line}"
+    return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{letter}', 'r': {lines}}}"
+
+
+# The states: nothing yet (s0), after s (s1), after u (s2), after a (s3). A row is deleted, kept or reroled; then
+# texts may be inserted, two in a row at most, as more lead back to the same state.
+_NONE = "{'c': 1000000000, 'a': '', 'r': ''}"
+_LINE = "role || ':' || text"
+
+
+def _into(state: int, initial: str, sources: tuple[int, ...]) -> str:
+    """The least way into ``state``, which ``initial`` leads to from ``sources``."""
+    ways = [_state(2, "D", None, f"s{state}")]
+    for s in sources:
+        ways.append(f"CASE WHEN keeps AND h = '{initial}' THEN {_state(0, 'K', _LINE, f's{s}')} ELSE {_NONE} END".replace(
+            f"s{s}.c + 0", f"s{s}.c + more"))
+        if initial != "s":
+            line = "'user:' || text" if initial == "u" else "'assistant:' || text"
+            ways.append(f"CASE WHEN keeps AND h <> '{initial}' THEN {_state(1, 'R', line, f's{s}')} ELSE {_NONE} END".replace(
+                f"s{s}.c + 1", f"s{s}.c + 1 + more"))
+    return f"least({', '.join(ways)})" if len(ways) > 1 else ways[0]
+
+
+_USER_IN = "least(s2, " + ", ".join(_state(5, "I", "'user:'", s) for s in ("s0", "s1", "s3")) + ")"
+_ASSISTANT_IN = f"least(s3, {_state(5, 'I', chr(39) + 'assistant:' + chr(39), 's2')})"
+_CRC_BIT = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations
+), hashed AS (
+  SELECT *, xor(list_reduce(list_transform(string_split(name, ''), lambda c: CAST(ord(c) AS BIGINT)),
+                lambda crc, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: {_CRC_BIT}, xor(crc, b)),
+                CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS d FROM named
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(CASE d WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed)
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i,
+         left(role, 1) AS h, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS ending FROM damaged
+), faulty AS (
+  SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1
+                 THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated'
+                 ELSE '' END AS fault,
+         lag(h) OVER (PARTITION BY conv_id ORDER BY i) || h AS pair FROM placed
+), lattice AS (
+  SELECT *, fault NOT IN ('blank', 'duplicate') AS keeps, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS more FROM faulty
+), starts AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, {{'c': 0, 'a': '', 'r': ''}} AS s0, {_NONE} AS s1, {_NONE} AS s2, {_NONE} AS s3 FROM faulty
+), paths AS (
+  SELECT conv_id, i, s0, s1, s2, {_ASSISTANT_IN} AS s3 FROM (SELECT * REPLACE ({_USER_IN} AS s2) FROM starts)
+  UNION ALL
+  SELECT conv_id, i, s0, s1, s2, {_ASSISTANT_IN} AS s3 FROM (SELECT * REPLACE ({_USER_IN} AS s2) FROM (
+    SELECT p.conv_id, l.i, {_into(0, '', ())} AS s0, {_into(1, 's', (0,))} AS s1, {_into(2, 'u', (0, 1, 3))} AS s2,
+           {_into(3, 'a', (2,))} AS s3
+    FROM paths p JOIN lattice l ON p.conv_id IS NOT DISTINCT FROM l.conv_id AND l.i = p.i + 1))
+), ended AS (
+  SELECT conv_id, least(s0, s3) AS s FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+         count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY conv_id
+)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s.c, 0) AS BIGINT) AS cost,
+       coalesce(s.a, '') AS audit, sha256(coalesce(s.r, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+ORACLE_SQL = {"op1_license_scan": LICENSE_SCAN, "op5_topk": TOPK, "op8_near_dedup": NEAR_DEDUP,
+              "op11_conversation_repair": CONVERSATION_REPAIR}
