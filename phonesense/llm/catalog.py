@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, conversations, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
+from . import ann, centroids, conversations, embdedup, licenses, lm, mixing, neardup, packing, pii, quality, sharding, topk
 from .oracle import ORACLE_SQL
 
 QUERIES = {
@@ -17,6 +17,8 @@ QUERIES = {
     "op9_pii": pii.op9_pii,
     "op10_ann": ann.op10_ann,
     "op11_conversation_repair": conversations.op11_conversation_repair,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_embedding_dedup": embdedup.op13_embedding_dedup,
 }
 
 __all__ = ["QUERIES", "ORACLE_SQL"]

@@ -164,5 +164,55 @@ FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+
+def _round(n: int) -> str:
+    """Assignment to the centroids of round n and the centroids after it."""
+    return f"""a{n} AS MATERIALIZED (
+  SELECT * FROM (SELECT r, vec_id, k.q, c, square - 2 * list_inner_product(k.q, m.q) + list_inner_product(m.q, m.q) AS d FROM kept k, c{n} m)
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+), c{n + 1} AS MATERIALIZED (
+  SELECT c, list(x ORDER BY i) AS q FROM (
+    SELECT c, i, floor(sum(x) / count(*)) AS x FROM (SELECT c, unnest(q) AS x, unnest(range(64)) AS i FROM a{n}) GROUP BY c, i) GROUP BY c
+  UNION ALL SELECT c, q FROM c{n} WHERE c NOT IN (SELECT c FROM a{n})
+)"""
+
+
+# Sums and products of these whole numbers are exact in doubles.
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, q, list_inner_product(q, q) AS square FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, vec_id, q) - 1 AS c, q
+  FROM (SELECT *, sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM kept) QUALIFY c < 40
+), {", ".join(_round(n) for n in range(6))}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+       CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m.q, lambda x: CAST(x AS BIGINT)), ',')) AS centroid_sha256
+FROM a5 JOIN c5 m USING (c)
+"""
+
+
+EMBEDDING_DEDUP = """
+WITH RECURSIVE kept_rows AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+         label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+           AND len(list_filter(embedding, lambda c: c <> 0)) > 0 AS fit
+  FROM embeddings
+), fit_rows AS MATERIALIZED (
+  SELECT * FROM kept_rows WHERE fit
+), links AS MATERIALIZED (
+  SELECT a.r AS a, b.r AS b FROM fit_rows a JOIN fit_rows b ON a.label = b.label AND a.r <> b.r
+  WHERE CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) >= 0.93 END
+), reach AS (
+  SELECT r AS a, r AS b FROM kept_rows UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), named AS (
+  SELECT reach.a AS r, min(o.vec_id) AS component_id FROM reach JOIN kept_rows o ON o.r = reach.b GROUP BY reach.a
+)
+SELECT k.vec_id, (SELECT count(*) FROM links WHERE links.a = k.r) AS n_links, component_id, k.vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM kept_rows k JOIN named USING (r)
+"""
+
 ORACLE_SQL = {"op1_license_scan": LICENSE_SCAN, "op5_topk": TOPK, "op8_near_dedup": NEAR_DEDUP,
-              "op11_conversation_repair": CONVERSATION_REPAIR}
+              "op11_conversation_repair": CONVERSATION_REPAIR, "op12_centroids": CENTROIDS, "op13_embedding_dedup": EMBEDDING_DEDUP}
