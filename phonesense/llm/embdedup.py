@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -210,21 +210,36 @@ def compared(units: DataFrame, wide: bool, threshold: float) -> DataFrame:
     return units.groupBy("unit").applyInPandas(run, "node binary, links long, other binary")
 
 
+FIRST = -(1 << 63)
+
+
+def named(vec_id: Column, node: Column) -> Column:
+    """A vertex name whose byte order is the order of ids (null last), so that the least name of a component holds its id."""
+    number = F.unhex(F.lpad(F.hex(vec_id.bitwiseXOR(F.lit(FIRST))), 16, "0"))
+    return F.concat(F.when(vec_id.isNull(), F.lit(b"\1" + bytes(8))).otherwise(F.concat(F.lit(b"\0"), number)), node)
+
+
+def id_of(name: Column) -> Column:
+    """The id in a vertex name."""
+    number = F.conv(F.hex(F.substring(name, 2, 8)), 16, 10).cast("decimal(20,0)") + F.lit(FIRST).cast("decimal(20,0)")
+    return F.when(F.substring(name, 1, 1) == F.lit(b"\0"), number.cast("long"))
+
+
 def components(vectors: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for each row of ``vectors`` (``vec_id, embedding, label``)."""
     wide = dict(vectors.dtypes)["embedding"] != "array<float>"
     rows = written(nodes(vectors), "vec-rows")
     distinct = rows.where("node is not null").groupBy("node").agg(
         F.min("vec_id").alias("least"), F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("label", "dim", "x", "packed", "scale", "error", "length")])
-    distinct = written(distinct, "vec-nodes")
-    found = written(compared(tiled(distinct.drop("least"), tile), wide, threshold), "vec-links")
+    distinct = written(distinct.withColumn("named", named(F.col("least"), F.col("node"))), "vec-nodes")
+    units = tiled(distinct.drop("least", "node").withColumnRenamed("named", "node"), tile)
+    found = written(compared(units, wide, threshold), "vec-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = connected(found.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")))
-    named = distinct.select("node", "least", "n").join(labels.withColumnRenamed("vertex", "node"), "node", "left")
-    named = named.withColumn("comp", F.coalesce("label", "node")).drop("label")
-    names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    own = named.join(names, "comp").join(links, "node", "left").select(
-        "node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
+    at = distinct.select("node", "named", "n").join(links.withColumnRenamed("node", "named"), "named", "left")
+    at = at.join(labels.withColumnRenamed("vertex", "named"), "named", "left")
+    own = at.select("node", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+                    id_of(F.coalesce("label", "named")).alias("component_id"))
     out = rows.select("vec_id", "node").join(own, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

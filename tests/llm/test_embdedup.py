@@ -70,6 +70,13 @@ def test_against_brute_force(spark, tmp_path, monkeypatch, tile, stripe):
     assert sum(r[1] for r in want) > 1000 and 0 < sum(r[3] for r in want) < len(want)
 
 
+def test_names_keep_the_order_of_ids(spark):
+    ids = [None, 0, 1, -1, 2 ** 63 - 1, -2 ** 63, 256, 255, 10 ** 15]
+    df = spark.createDataFrame([(i, bytearray(b"n")) for i in ids], "i long, node binary")
+    got = df.select("i", ed.named(df.i, df.node).alias("name"), ed.id_of(ed.named(df.i, df.node)).alias("back")).orderBy("name").collect()
+    assert [r.i for r in got] == [r.back for r in got] == sorted(x for x in ids if x is not None) + [None]
+
+
 def test_double_components(spark, tmp_path):
     rows = [(0, [1e300, 0.0], 1), (1, [1e-300, 1e-301], 1), (2, [0.0, 1.0], 1), (3, [1e300, 4e299], 1)]
     assert op(spark, rows, tmp_path, kind="double") == brute(rows, float)
