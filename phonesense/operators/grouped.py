@@ -10,6 +10,13 @@ counted rows are written out again in pieces of ``PIECE``, dealt evenly.
 
 Nothing runs while a DataFrame is built, nothing is written, and the source is
 read once: both uses of the counted rows share one exchange.
+
+:func:`with_group_values` is the form for rows that hardly ever are alike (calls have an
+instant each), where counting would gather nothing. Values come from one partial
+aggregate, a row a group. Groups that hold over a ``HOT_SHARE``-th of all rows, of which there can be
+fewer than ``HOT_SHARE``, are broadcast, so their rows find their values where they are; all other
+rows meet theirs in one shuffle, on the partitioning that the aggregate left. Rows move once, no task
+gets more than such a share of them, ties and copies or not, and the source is read twice.
 """
 
 from __future__ import annotations
@@ -21,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOME, TIMES = "_home", "_times"
 HOMES = 64
 PIECE = 10_000
+# A group is hot if it holds more than this part of all rows; so fewer than that many are.
+HOT_SHARE = 1024
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -39,11 +48,12 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"__r_{k}" for k in keys])
 
 
-def counted(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct ``rows`` with how often each stands there (``TIMES``) and its
-    ``HOME`` within its group of ``keys``."""
-    rest = [c for c in rows.columns if c not in keys]
-    alike = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(TIMES))
+def counted(rows: DataFrame, keys: Sequence[str], weight: str | None = None) -> DataFrame:
+    """Distinct ``rows`` with how often each stands there (``TIMES``; the sum of the column ``weight`` where
+    rows are counted already) and its ``HOME`` within its group of ``keys``."""
+    columns = [c for c in rows.columns if c != weight]
+    rest = [c for c in columns if c not in keys]
+    alike = rows.groupBy(*columns).agg((F.count(F.lit(1)) if weight is None else F.sum(weight)).alias(TIMES))
     return alike.withColumn(HOME, F.pmod(F.xxhash64(*rest), F.lit(HOMES)))
 
 
@@ -59,6 +69,38 @@ def attach_group_values(alike: DataFrame, keys: Sequence[str], **values: tuple[C
     return null_safe_join(alike, whole.filter("_any").drop("_any"), [*keys, HOME])
 
 
+def _plain_keys(rows: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """Columns without NULLs that are equal where ``keys`` are equal or both NULL, so that plain equality joins
+    them on the partitioning that is there."""
+    blank = {"string": "", "date": "1970-01-01"}
+    out = {}
+    for k in keys:
+        kind = rows.schema[k].dataType
+        out[f"_key_{k}"] = F.coalesce(F.col(k), F.lit(blank.get(kind.typeName(), 0)).cast(kind))
+        out[f"_none_{k}"] = F.col(k).isNull()
+    return out
+
+
+def with_group_values(rows: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
+    """``rows`` with the aggregate of its group of ``keys`` in each of ``values``."""
+    plain = _plain_keys(rows, keys)
+    at = rows.withColumns(plain)
+    # Always 0, which the optimizer can't tell: groups are partitioned by it too, as the join below needs them.
+    zero = F.pmod(F.xxhash64(*plain), F.lit(1))
+    groups = at.groupBy(*plain, zero.alias(HOME)).agg(F.count(F.lit(1)).alias(TIMES), *[v.alias(c) for c, v in values.items()])
+    total = groups.agg(F.sum(TIMES)).scalar()
+    names = [*plain, HOME, *values]
+    hot = groups.where(F.col(TIMES) * HOT_SHARE > total).select(*[F.col(c).alias(f"_hot{c}") for c in names])
+    at = at.join(F.broadcast(hot), [F.col(c) == F.col(f"_hot{c}") for c in plain], "left")
+    # Rows of a hot group need no partner: their home is any but 0.
+    away = F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SHARE)) + 1
+    at = at.withColumn(HOME, F.when(F.col(f"_hot{HOME}").isNull(), 0).otherwise(away))
+    cold = groups.select(*[F.col(c).alias(f"_cold{c}") for c in names])
+    at = at.join(cold, [F.col(c) == F.col(f"_cold{c}") for c in [*plain, HOME]], "left")
+    own = [F.when(F.col(HOME) == 0, F.col(f"_cold{c}")).otherwise(F.col(f"_hot{c}")).alias(c) for c in values]
+    return at.select(*rows.columns, *own)
+
+
 def written_out(alike: DataFrame) -> DataFrame:
     """Each row as often as ``TIMES`` says."""
     n = F.col(TIMES)

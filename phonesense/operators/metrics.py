@@ -3,6 +3,10 @@
 All grouping is by ``(user_id, event_date)``. Counts use partial + final
 hash aggregation, so a participant-day holding most of the rows is combined
 map-side before any shuffle; nothing collects a group into one task.
+
+``weight`` names a column that tells how many rows each row stands for, so the
+measures also take counted rows, such as those of the daily state
+(:mod:`phonesense.plans.state`).
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phonesense.functions.time import time_of_day
-from phonesense.operators.grouped import attach_group_values, counted, written_out
+from phonesense.operators.grouped import attach_group_values, counted, with_group_values, written_out
 from phonesense.schemas import (
     COMM_TYPES, MAX_TIME_MARK, NULL_CATEGORY_LABEL, OTHER_CATEGORY_LABEL, PHONE_DIRECTIONS,
     RATIO_DENOMINATOR, RATIO_NUMERATOR, SMS_DIRECTIONS,
@@ -37,10 +41,15 @@ def _matches(col: Column, value) -> Column:
     return col.isNull() if value is None else (col == F.lit(value))
 
 
+def in_order(df: DataFrame, *cols: str) -> DataFrame:
+    """Sorted ascending, missing values last."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols])
+
+
 def _ordered(df: DataFrame, ordered: bool, *cols: str) -> DataFrame:
     """Optionally sort ascending with missing values last (as the original
     analysis orders its tables)."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in cols]) if ordered else df
+    return in_order(df, *cols) if ordered else df
 
 
 def _category_columns(df: DataFrame, col: str, values: Sequence[str] | None, total) -> list[Column]:
@@ -60,40 +69,45 @@ def _category_columns(df: DataFrame, col: str, values: Sequence[str] | None, tot
     return columns if None in values else [*columns, total(c.isNull()).alias(NULL_CATEGORY_LABEL)]
 
 
+def _number(weight: str | None) -> Column:
+    return F.count(F.lit(1)) if weight is None else F.sum(weight)
+
+
 def count_commtype(event: DataFrame, types: Sequence[str] | None = COMM_TYPES,
-                   ordered: bool = False) -> DataFrame:
+                   ordered: bool = False, weight: str | None = None) -> DataFrame:
     """Events per participant-day, one column per communication type, then
     ``OTHER`` and ``<NA>``.
 
     A type absent on that day is NULL (not 0). One aggregate, one exchange.
     ``types=None`` derives the columns from the data (NULL type -> ``<NA>``).
     """
-    counts = _category_columns(event, "communication_type", types,
-                               lambda hit: F.nullif(F.count_if(hit), F.lit(0)))
+    total = ((lambda hit: F.nullif(F.count_if(hit), F.lit(0))) if weight is None
+             else (lambda hit: F.sum(F.when(hit, F.col(weight)))))
+    counts = _category_columns(event, "communication_type", types, total)
     if not counts:  # no categories at all (empty input in data-derived mode)
         return _ordered(event.groupBy(*USER_DAY).agg(F.count(F.lit(1)).alias("_n")).drop("_n"),
                         ordered, *USER_DAY)
     return _ordered(event.groupBy(*USER_DAY).agg(*counts), ordered, *USER_DAY)
 
 
-def commtype_long(event: DataFrame) -> DataFrame:
+def commtype_long(event: DataFrame, weight: str | None = None) -> DataFrame:
     """Events per participant-day and communication type, one row for each
     type found (NULL included): ``user_id, event_date, category, n``."""
     return event.groupBy(*USER_DAY, F.col("communication_type").alias("category")).agg(
-        F.count(F.lit(1)).alias("n"))
+        _number(weight).alias("n"))
 
 
-def directions_long(event: DataFrame) -> DataFrame:
+def directions_long(event: DataFrame, weight: str | None = None) -> DataFrame:
     """Events per participant-day, type and direction, one row for each that is
     found: ``user_id, event_date, communication_type, category, n``."""
     return event.groupBy(*USER_DAY, "communication_type", F.col("comm_direction").alias("category")).agg(
-        F.count(F.lit(1)).alias("n"))
+        _number(weight).alias("n"))
 
 
-def direction_counts(event: DataFrame, comm_type: str) -> DataFrame:
+def direction_counts(event: DataFrame, comm_type: str, weight: str | None = None) -> DataFrame:
     """``(user_id, event_date, comm_direction, n)`` for one communication type."""
     return (event.filter(F.col("communication_type") == F.lit(comm_type))
-            .groupBy(*USER_DAY, "comm_direction").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy(*USER_DAY, "comm_direction").agg(_number(weight).alias("n")))
 
 
 def _direction_columns(counts: DataFrame, directions) -> list[Column]:
@@ -102,34 +116,34 @@ def _direction_columns(counts: DataFrame, directions) -> list[Column]:
 
 
 def direction_stats(event: DataFrame, comm_type: str, mean_name: str,
-                    directions: Sequence[str] | None, ordered: bool = False) -> DataFrame:
+                    directions: Sequence[str] | None, ordered: bool = False, weight: str | None = None) -> DataFrame:
     """Counts per direction plus ``ceil(mean)`` of those counts over the
     direction rows present that day (a NULL direction is one of them)."""
-    counts = direction_counts(event, comm_type)
+    counts = direction_counts(event, comm_type, weight)
     pivots = _direction_columns(counts, directions)
     out = counts.groupBy(*USER_DAY).agg(F.ceil(F.avg("n")).alias(mean_name), *pivots)
     return _ordered(out, ordered, *USER_DAY)
 
 
 def stats_phone(event: DataFrame, directions: Sequence[str] | None = PHONE_DIRECTIONS,
-                ordered: bool = False) -> DataFrame:
+                ordered: bool = False, weight: str | None = None) -> DataFrame:
     """PHONE events: ``average_no_calls`` and a count per direction, ``OTHER``
     and ``<NA>`` included."""
-    return direction_stats(event, "PHONE", "average_no_calls", directions, ordered)
+    return direction_stats(event, "PHONE", "average_no_calls", directions, ordered, weight)
 
 
 def stats_sms(event: DataFrame, directions: Sequence[str] | None = SMS_DIRECTIONS,
-              ordered: bool = False) -> DataFrame:
+              ordered: bool = False, weight: str | None = None) -> DataFrame:
     """SMS events: ``average_no_messages`` and a count per direction, ``OTHER``
     and ``<NA>`` included."""
-    return direction_stats(event, "SMS", "average_no_messages", directions, ordered)
+    return direction_stats(event, "SMS", "average_no_messages", directions, ordered, weight)
 
 
 def direction_ratio(event: DataFrame, comm_type: str, directions: Sequence[str] | None,
-                    ordered: bool = False) -> DataFrame:
+                    ordered: bool = False, weight: str | None = None) -> DataFrame:
     """Counts per direction and ``ratio`` = OUTGOING / INCOMING (NULL when
     either side is absent that day)."""
-    counts = direction_counts(event, comm_type)
+    counts = direction_counts(event, comm_type, weight)
     pivots = _direction_columns(counts, directions)
     d = F.col("comm_direction")
     num = F.max(F.when(d == F.lit(RATIO_NUMERATOR), F.col("n")))
@@ -139,47 +153,50 @@ def direction_ratio(event: DataFrame, comm_type: str, directions: Sequence[str]
 
 
 def ratio_phone(event: DataFrame, directions: Sequence[str] | None = PHONE_DIRECTIONS,
-                ordered: bool = False) -> DataFrame:
-    return direction_ratio(event, "PHONE", directions, ordered)
+                ordered: bool = False, weight: str | None = None) -> DataFrame:
+    return direction_ratio(event, "PHONE", directions, ordered, weight)
 
 
 def ratio_sms(event: DataFrame, directions: Sequence[str] | None = SMS_DIRECTIONS,
-              ordered: bool = False) -> DataFrame:
-    return direction_ratio(event, "SMS", directions, ordered)
+              ordered: bool = False, weight: str | None = None) -> DataFrame:
+    return direction_ratio(event, "SMS", directions, ordered, weight)
 
 
-def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
-    """Longest call(s) of each participant-day, ties kept, with the
-    time-of-day label; ordered by ``call_timestamp`` (unknown instants last).
+def longest_calls(calls: DataFrame) -> DataFrame:
+    """Rows of the longest call(s) of each participant-day, ties kept, as they are in ``calls``.
 
     A day with any call of unknown duration has no defined maximum and gives
     no row. The day's maximum is attached to its calls by
-    :func:`attach_group_values`, so a day whose calls all tie stays spread.
+    :func:`with_group_values`: calls move once, and a day whose calls all tie stays spread.
     """
-    rows = calls.select("user_id", "event_date", "call_timestamp", "callDuration", "event_hour")
     dur = F.col("callDuration")
-    top = attach_group_values(counted(rows, USER_DAY), USER_DAY, _longest=(F.max(dur), "max"),
-                              _unknown=(F.bool_or(dur.isNull()), "bool_or"))
-    top = written_out(top.filter(~F.col("_unknown") & dur.eqNullSafe(F.col("_longest"))).drop("_longest", "_unknown"))
-    out = top.select("user_id", "call_timestamp", "event_date", "callDuration",
-                     F.lit(MAX_TIME_MARK).alias("max_time"),
-                     time_of_day("event_hour").alias("time_of_day"))
+    top = with_group_values(calls, USER_DAY, _longest=F.max(dur), _unknown=F.bool_or(dur.isNull()))
+    return top.filter(~F.col("_unknown") & (dur == F.col("_longest"))).drop("_longest", "_unknown")
+
+
+def call_duration(calls: DataFrame, ordered: bool = True) -> DataFrame:
+    """Longest call(s) of each participant-day (:func:`longest_calls`) with the time-of-day
+    label; ordered by ``call_timestamp`` (unknown instants last)."""
+    rows = calls.select("user_id", "event_date", "call_timestamp", "callDuration", "event_hour")
+    out = longest_calls(rows).select("user_id", "call_timestamp", "event_date", "callDuration",
+                                     F.lit(MAX_TIME_MARK).alias("max_time"),
+                                     time_of_day("event_hour").alias("time_of_day"))
     return _ordered(out, ordered, "call_timestamp")
 
 
-def unique_contacts(event: DataFrame, comm_type: str) -> DataFrame:
+def unique_contacts(event: DataFrame, comm_type: str, weight: str | None = None) -> DataFrame:
     """Every event row of ``comm_type`` with ``count_unique`` = number of
     distinct contacts that participant-day (an unknown contact counts once)."""
-    rows = event.filter(F.col("communication_type") == F.lit(comm_type)).select(
-        "user_id", "number", "event_date")
-    alike = counted(rows, USER_DAY)  # one row per contact of a day
+    own = ["user_id", "number", "event_date"] + ([weight] if weight else [])
+    rows = event.filter(F.col("communication_type") == F.lit(comm_type)).select(*own)
+    alike = counted(rows, USER_DAY, weight)  # one row per contact of a day
     return written_out(attach_group_values(alike, USER_DAY, count_unique=(F.count(F.lit(1)), "sum"))).select(
         "user_id", "number", "event_date", "count_unique")
 
 
-def unique_texts(event: DataFrame) -> DataFrame:
-    return unique_contacts(event, "SMS")
+def unique_texts(event: DataFrame, weight: str | None = None) -> DataFrame:
+    return unique_contacts(event, "SMS", weight)
 
 
-def unique_calls(event: DataFrame) -> DataFrame:
-    return unique_contacts(event, "PHONE")
+def unique_calls(event: DataFrame, weight: str | None = None) -> DataFrame:
+    return unique_contacts(event, "PHONE", weight)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from phonesense.functions.variant import get_double, get_string, parse_payload
+from phonesense.operators.objects import VARIANT_LIMIT, recovered_rows
 from phonesense.schemas import KEY_GUID, KEY_PROBE, KEY_TIMESTAMP
 
 
@@ -17,12 +18,16 @@ def sensor_raw(raw: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     Row-local (Project + Generate, no shuffle); only ``user_id`` and
     ``payload`` are read from the source, so a columnar scan prunes the rest.
     NULL and empty payloads give no rows; malformed payloads raise in
-    ``FAILFAST`` mode and give no rows in ``PERMISSIVE`` mode.
+    ``FAILFAST`` mode and give no rows in ``PERMISSIVE`` mode. In ``RECOVER``
+    mode a payload that does not parse, or is too large to be parsed as one, is
+    split into its objects and only the bad ones are left out (see
+    :mod:`phonesense.operators.objects`); the source is then read twice.
     """
-    objects = parse_payload("payload", mode)
+    if mode.upper() == "RECOVER":
+        return sensor_raw(raw, "PERMISSIVE").unionByName(recovered_rows(raw))
     exploded = raw.select(
         F.col("user_id").cast("string").alias("user_id"),
-        F.posexplode(F.try_variant_get(objects, "$", "array<variant>")).alias("pos", "json"),
+        F.posexplode(upload_elements("payload", mode)).alias("pos", "json"),
     )
     return exploded.select(
         "user_id",
@@ -34,15 +39,33 @@ def sensor_raw(raw: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     )
 
 
-# A VARIANT value holds at most this many bytes; a larger payload can't be parsed as one.
-VARIANT_LIMIT = 128 * 1024 * 1024
+def _parsed(payload: str, mode: str) -> Column:
+    """The payload's VARIANT array; in ``PERMISSIVE`` mode a larger text than a VARIANT holds is not tried."""
+    if mode.upper() == "PERMISSIVE":
+        return F.when(F.octet_length(payload) <= VARIANT_LIMIT, parse_payload(payload, mode))
+    return parse_payload(payload, mode)
+
+
+def upload_elements(payload: str = "payload", mode: str = "FAILFAST") -> Column:
+    """The objects of a payload as an array of VARIANT; NULL where it does not parse (``FAILFAST`` raises)."""
+    mode = "PERMISSIVE" if mode.upper() == "RECOVER" else mode
+    return F.try_variant_get(_parsed(payload, mode), "$", "array<variant>")
+
+
+def upload_state_of(payload: str, elements: str) -> Column:
+    """``empty``, ``parsed``, ``oversize`` or ``malformed``, from a payload and its :func:`upload_elements`."""
+    text = F.col(payload)
+    return (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
+            .when(F.octet_length(text) > VARIANT_LIMIT, F.lit("oversize"))
+            .when(F.col(elements).isNotNull(), F.lit("parsed"))
+            .otherwise(F.lit("malformed")))
 
 
 def upload_state(payload: str = "payload") -> Column:
     """``empty``, ``parsed``, ``oversize`` or ``malformed`` for each payload."""
     text = F.col(payload)
     return (F.when(text.isNull() | (F.trim(text) == ""), F.lit("empty"))
-            .when(F.octet_length(text) > VARIANT_LIMIT - 16, F.lit("oversize"))
+            .when(F.octet_length(text) > VARIANT_LIMIT, F.lit("oversize"))
             .when(parse_payload(payload, "PERMISSIVE").isNotNull(), F.lit("parsed"))
             .otherwise(F.lit("malformed")))
 

@@ -63,12 +63,27 @@ def sensor_population(register: DataFrame, location: DataFrame, calls: DataFrame
     grouped aggregate (partial, skew-safe), then one join with the
     deduplicated register (one row per key on both sides).
     """
+    return sensor_population_from_presence(register, presence_of(location, calls, sms, event), order_col, drop, keep_order_col)
+
+
+def presence_of(location: DataFrame, calls: DataFrame, sms: DataFrame, event: DataFrame) -> DataFrame:
+    """Per participant, whether each of the tables has rows: ``user_id`` and a ``_has_`` column for each."""
     tagged = None
     for name, table in zip(POPULATION_FLAGS, (location, calls, sms, event)):
         part = table.select(F.col("user_id").cast("string").alias("user_id"), F.lit(name).alias("_t"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    presence = tagged.groupBy("user_id").agg(
+    return tagged.groupBy("user_id").agg(
         *[F.bool_or(F.col("_t") == F.lit(f)).alias(f"_has_{f}") for f in POPULATION_FLAGS])
+
+
+def merged_presence(parts: DataFrame) -> DataFrame:
+    """Presence of several batches put together."""
+    return parts.groupBy("user_id").agg(*[F.bool_or(f"_has_{f}").alias(f"_has_{f}") for f in POPULATION_FLAGS])
+
+
+def sensor_population_from_presence(register: DataFrame, presence: DataFrame, order_col: str = "_source_order",
+                                    drop: Sequence[str] = ("email",), keep_order_col: bool | None = None) -> DataFrame:
+    """The matrix from a presence table (one row a participant)."""
     if keep_order_col is None:
         keep_order_col = not order_col.startswith("_")
     return _matrix(register, presence, order_col, drop, keep_order_col)

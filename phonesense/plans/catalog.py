@@ -16,10 +16,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from phonesense.functions.time import time_of_day, utc_wall_clock
 from phonesense.operators import export, metrics, probes
+from phonesense.operators.objects import object_rejects
 from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report
 from phonesense.operators.population import sensor_population_from_payload
+from phonesense.plans import state
 from phonesense.session import remove_at_exit, scratch_path
-from phonesense.sources.fixtures import damaged_uploads, fixture_register, fixture_uploads
+from phonesense.sources.fixtures import (
+    damaged_uploads, fixture_register, fixture_uploads, read_driver_table, uploads_from_events, uploads_with_bad_objects,
+)
 from phonesense.sources.uploads import read_register, read_uploads
 
 REGISTER_ORDER = "row_no"
@@ -115,6 +119,15 @@ def report_of_damaged_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upload_report(damaged_uploads(spark, sf_dir))
 
 
+def recovered_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All good objects of uploads of which single objects are bad."""
+    return sensor_raw(uploads_with_bad_objects(spark, sf_dir), mode="RECOVER").drop("json")
+
+
+def rejected_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return object_rejects(uploads_with_bad_objects(spark, sf_dir))
+
+
 def events_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``probe_event`` of the uploads written and read again as CSV."""
     path = scratch_path(spark, "uploads-csv")
@@ -133,9 +146,30 @@ def population_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_population_from_payload(register, payload_from_tables(spark, sf_dir), order_col=REGISTER_ORDER)
 
 
+def appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A daily result after its uploads came in three batches, one of them in part first, then whole, and again."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = remove_at_exit(spark, scratch_path(spark, "daily"))
+        uploads = uploads_from_events(read_driver_table(spark, sf_dir, "events"), "event_id")
+        of = lambda n, rest: uploads.where(F.pmod("event_id", F.lit(rest)) == n)
+        for batch, raw in (("a", of(0, 3)), ("b", of(1, 6)), ("c", of(2, 3)), ("b", of(1, 3)), ("b", of(1, 3))):
+            state.add_batch(raw.select("user_id", "payload"), out, batch, names=(name,))
+        return normalise(state.read_result(spark, out, name))
+
+    run.__name__ = f"appended_{name}"
+    return run
+
+
 SOURCES = {
+    "appended_count_commtype": appended("count_commtype"),
+    "appended_stats_phone": appended("stats_phone"),
+    "appended_unique_texts": appended("unique_texts"),
+    "appended_call_duration": appended("call_duration"),
     "upload_rejects": rejects_of_damaged_uploads,
     "upload_report": report_of_damaged_uploads,
+    "recovered_objects": recovered_objects,
+    "object_rejects": rejected_objects,
     "csv_uploads_event": events_by_way_of_csv,
     "csv_register_population": population_by_way_of_csv,
 }

@@ -167,6 +167,41 @@ TABLES = {
                count(*) AS n
         FROM d GROUP BY ALL""",
 }
+# Four events an upload, each with a first object, of which some are bad, and a battery object. A
+# first object cut after a nested one leaves two rejects, the latter a fragment.
+BAD_OBJECTS = f"""
+    e AS (
+      SELECT event_id, event_id // 4 AS upload, first_value(user_id) OVER (PARTITION BY event_id // 4 ORDER BY event_id) AS ub,
+        CASE WHEN event_id % 7 = 0 THEN 'text' WHEN event_id % 11 = 0 THEN 'nested' WHEN event_id % 13 = 0 THEN 'literal'
+             WHEN event_id % 17 = 0 THEN 'brace' ELSE 'good' END AS kind,
+        '{{"PROBE":"{PREFIX}EventProbe","GUID":"g' || event_id AS head,
+        '","LOG":[{{"A":"x}},{{y"}},{{"B":[1,2]}}]' AS log,
+        '{{"PROBE":"{PREFIX}BatteryProbe","GUID":"b' || event_id || '","LEVEL":{{"V":1}}}}' AS battery
+      FROM events
+    ), m AS (
+      SELECT *, 'u' || ub AS user_id, CASE kind WHEN 'text' THEN head WHEN 'nested' THEN head || '","LOG":[{{"A":1}},{{"B":2}}'
+        WHEN 'literal' THEN head || '","TIMESTAMP":tru}}' WHEN 'brace' THEN head || log || '}}}}'
+        ELSE head || log || ',"TIMESTAMP":' || event_id || '}}' END AS main
+      FROM e
+    ), o AS (
+      SELECT *, coalesce(sum(CASE kind WHEN 'nested' THEN 3 ELSE 2 END) OVER before, 0) AS n,
+        coalesce(sum(len(main) + len(battery) + 2) OVER before, 0) AS at
+      FROM m WINDOW before AS (PARTITION BY upload ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    )"""
+TABLES["recovered_objects"] = f"""
+    SELECT * FROM (WITH {BAD_OBJECTS}
+      SELECT user_id, CAST(n + 1 AS INTEGER) AS array_index, '{PREFIX}EventProbe' AS probe, CAST(event_id AS DOUBLE) AS timestamp,
+        'g' || event_id AS guid FROM o WHERE kind = 'good'
+      UNION ALL
+      SELECT user_id, CAST(n + CASE kind WHEN 'nested' THEN 3 ELSE 2 END AS INTEGER), '{PREFIX}BatteryProbe', NULL, 'b' || event_id FROM o)"""
+TABLES["object_rejects"] = f"""
+    SELECT * FROM (WITH {BAD_OBJECTS}
+      SELECT user_id, CAST(n + 1 AS INTEGER) AS array_index, CAST(at AS BIGINT) AS position, 'malformed' AS reason,
+        CASE kind WHEN 'nested' THEN left(main, len(main) - 8) ELSE main END AS object FROM o WHERE kind <> 'good'
+      UNION ALL
+      SELECT user_id, CAST(n + 2 AS INTEGER), CAST(at + len(main) - 7 AS BIGINT), 'fragment', '{{"B":2}}' FROM o WHERE kind = 'nested')"""
+for _name in ("count_commtype", "stats_phone", "unique_texts", "call_duration"):
+    TABLES[f"appended_{_name}"] = TABLES[_name]
 TABLES["csv_uploads_event"] = TABLES["probe_event"]
 TABLES["csv_register_population"] = TABLES["sensor_population"]
 EAST = """

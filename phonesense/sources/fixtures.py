@@ -143,3 +143,25 @@ def damaged_uploads(spark, sf_dir: str) -> DataFrame:
     short = F.concat(F.lit('{"PROBE":"'), F.col("event_id").cast("string"))
     return uploads.select("user_id", F.when(F.col("event_id") % 7 == 0, short)
                           .when(F.col("event_id") % 11 == 0, F.lit("")).otherwise(F.col("payload")).alias("payload"))
+
+
+def uploads_with_bad_objects(spark, sf_dir: str) -> DataFrame:
+    """Uploads of four events each (``event_id DIV 4``, the participant that of the first), two objects an
+    event, with single objects spoilt: the first one is cut short inside a text where ``event_id``
+    is a multiple of 7, after a nested object for 11, has a bad literal for 13 and a brace too
+    many for 17. The good ones hold a text that looks like the end of an object."""
+    events = read_driver_table(spark, sf_dir, "events")
+    e = F.col("event_id")
+    head = F.concat(F.lit(f'{{"PROBE":"{PROBE_PREFIX}EventProbe","GUID":"g'), e.cast("string"))
+    log = F.lit('","LOG":[{"A":"x},{y"},{"B":[1,2]}]')
+    main = (F.when(e % 7 == 0, head)
+            .when(e % 11 == 0, F.concat(head, F.lit('","LOG":[{"A":1},{"B":2}')))
+            .when(e % 13 == 0, F.concat(head, F.lit('","TIMESTAMP":tru}')))
+            .when(e % 17 == 0, F.concat(head, log, F.lit("}}")))
+            .otherwise(F.concat(head, log, F.lit(',"TIMESTAMP":'), e.cast("string"), F.lit("}"))))
+    battery = F.concat(F.lit(f'{{"PROBE":"{PROBE_PREFIX}BatteryProbe","GUID":"b'), e.cast("string"), F.lit('","LEVEL":{"V":1}}'))
+    each = events.select(e, "user_id", F.concat(main, F.lit(","), battery).alias("objects"))
+    own = each.groupBy(F.floor(e / 4).alias("upload")).agg(
+        F.min_by("user_id", "event_id").alias("user_id"), F.array_sort(F.collect_list(F.struct("event_id", "objects"))).alias("all"))
+    return own.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
+                      F.array_join(F.transform("all", lambda o: o["objects"]), ",").alias("payload"))

@@ -3,95 +3,97 @@
     spark-submit tools/daily_job.py --uploads s3://.../uploads --format csv \\
         --register s3://.../register.csv --out s3://.../phonesense [--json]
 
-The payload is parsed once into a probe-family-partitioned Parquet table
-under ``--out``; the event tables are then extracted from it and written, and
-every measure is computed from those (JSON Lines too with ``--json``). Each output is a written table,
-so a lost executor only recomputes the tasks of the step it was running.
+Each run takes in one batch of uploads (:mod:`phonesense.plans.state`): it is parsed
+once into ``<out>/payload/batch=<id>``, its event tables and its partial state are
+written beside it, and the daily results of the days that it touches are brought up to date. A
+batch that is run again under its id replaces itself, so a retry changes nothing. Each
+output is a written table, so a lost executor only recomputes the tasks of the step it was running.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from phonesense.operators import export, metrics, probes  # noqa: E402
-from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report  # noqa: E402
-from phonesense.operators.population import sensor_population  # noqa: E402
-from phonesense.plans.bronze import read_bronze, write_bronze  # noqa: E402
+from phonesense.operators import export, metrics  # noqa: E402
+from phonesense.operators.population import sensor_population_from_presence  # noqa: E402
+from phonesense.plans import state  # noqa: E402
 from phonesense.session import get_session  # noqa: E402
 from phonesense.sources.json_sink import write_json_rows  # noqa: E402
 from phonesense.sources.uploads import read_register, read_uploads  # noqa: E402
 
+FOLDERS = ("payload", "tables", "state")
 
-def typed_tables(pl, hour_tz: str, date_tz: str) -> dict:
-    """The extractors: each reads its probe family of the payload table once."""
-    return {"probe_types": probe_types(pl), "probe_location": probes.probe_location(pl, hour_tz, date_tz),
-            "probe_sms": probes.probe_sms(pl, hour_tz, date_tz), "probe_calls": probes.probe_calls(pl, hour_tz, date_tz),
-            "probe_event": probes.probe_event(pl, hour_tz, date_tz)}
 
-
-def measures(read, register) -> dict:
-    """All measures from the written event tables (``read(name)``)."""
-    location, sms, calls, event = map(read, ("probe_location", "probe_sms", "probe_calls", "probe_event"))
-    out = {
-        "count_commtype": metrics.count_commtype(event), "commtype_long": metrics.commtype_long(event),
-        "directions_long": metrics.directions_long(event), "stats_phone": metrics.stats_phone(event),
-        "stats_sms": metrics.stats_sms(event), "ratio_phone": metrics.ratio_phone(event),
-        "ratio_sms": metrics.ratio_sms(event), "call_duration": metrics.call_duration(calls),
-        "unique_texts": metrics.unique_texts(event), "unique_calls": metrics.unique_calls(event),
-    }
-    if register is not None:
-        out["sensor_population"] = sensor_population(register, location, calls, sms, event)
-    return out
-
-
-def main(argv=None) -> None:
+def parsed_args(argv):
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--uploads", required=True, help="upload files (user_id, payload) or a table name")
     ap.add_argument("--format", default="csv", help="csv (default), parquet, json, table, ...")
     ap.add_argument("--register", help="participant register CSV; enables sensor_population")
     ap.add_argument("--out", required=True, help="output folder on shared storage")
-    ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE"],
+    ap.add_argument("--mode", default="FAILFAST", choices=["FAILFAST", "PERMISSIVE", "RECOVER"],
                     help="malformed payloads: stop the job (FAILFAST, default), or leave them out of the results and "
-                         "write them to <out>/rejects (PERMISSIVE)")
+                         "write them to <out>/rejects (PERMISSIVE), or leave out their bad objects only, which "
+                         "are written to <out>/object_rejects (RECOVER)")
     ap.add_argument("--multi-line", action="store_true", help="CSV payloads may hold raw line breaks")
     ap.add_argument("--append", action="store_true",
-                    help="--uploads holds new uploads only: add them to the payload table instead of replacing it")
+                    help="--uploads holds new uploads only: add them to what <out> holds instead of starting anew")
+    ap.add_argument("--batch-id", help="names the batch; running an id again replaces that batch. Default: from --uploads")
     ap.add_argument("--hour-tz", default="UTC", help="time zone of event_hour (default UTC)")
     ap.add_argument("--date-tz", default="UTC", help="time zone of event_date (default UTC)")
+    ap.add_argument("--ordered", action="store_true", help="write the daily tables as JSON in the order of their keys")
     ap.add_argument("--json", action="store_true", help="also write every result as JSON Lines")
     ap.add_argument("--master", help="only for local runs; spark-submit sets it on a cluster")
-    args = ap.parse_args(argv)
+    return ap.parse_args(argv)
 
+
+def remove(spark, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def main(argv=None) -> None:
+    args = parsed_args(argv)
     spark = get_session(args.master, app_name="phonesense-daily")
     out = args.out.rstrip("/")
+    batch = args.batch_id or hashlib.sha1(args.uploads.encode()).hexdigest()[:16]
     uploads = read_uploads(spark, args.uploads, fmt=args.format, multi_line=args.multi_line)
-    write = "append" if args.append else "overwrite"
-    write_bronze(sensor_raw(uploads, mode=args.mode), f"{out}/payload", write)
-    if args.mode == "PERMISSIVE":
-        upload_rejects(uploads).write.mode(write).parquet(f"{out}/rejects")
-        upload_report(uploads).write.mode(write).parquet(f"{out}/upload_report")
-        for r in spark.read.parquet(f"{out}/upload_report").groupBy("state").sum("n").collect():  # four states
+    if not args.append:
+        for folder in FOLDERS:
+            remove(spark, f"{out}/{folder}")
+    state.add_batch(uploads, out, batch, args.mode, args.hour_tz, args.date_tz)
+
+    def save(name, df):
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{out}/{name}")
+
+    if args.mode != "FAILFAST":
+        save("rejects", state.rejected_uploads(spark, out))
+        for r in save("upload_report", state.upload_counts(spark, out)).collect():  # four states
             print(f"uploads {r[0]}: {r[1]}")
-    pl = read_bronze(spark, f"{out}/payload")
-    register = read_register(spark, args.register) if args.register else None
-
-    def read(name):
-        return spark.read.parquet(f"{out}/tables/{name}")
-
-    def save(tables):
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{out}/tables/{name}")
-            if args.json:
-                write_json_rows(read(name), f"{out}/json/{name}", mode="overwrite", tz=args.hour_tz)
-
-    save(typed_tables(pl, args.hour_tz, args.date_tz))
-    save(measures(read, register))
-    if args.json and register is not None:
-        export.json_sensorpop(pl, register).write.mode("overwrite").text(f"{out}/json/sensorpop_from_payload")
+    if args.mode == "RECOVER":
+        save("object_rejects", state.rejected_objects(spark, out))
+    results = {"probe_types": save("tables/probe_types", state.probe_counts(spark, out))}
+    if args.register:
+        register = read_register(spark, args.register)
+        results["sensor_population"] = save("tables/sensor_population",
+                                            sensor_population_from_presence(register, state.presence(spark, out)))
+    if not args.json:
+        return
+    results |= {name: state.read_events(spark, out, name) for name in state.EVENT_TABLES}
+    results |= {name: state.read_result(spark, out, name) for name in state.DAILY}
+    for name, df in results.items():
+        if args.ordered and name in state.DAILY:
+            df = metrics.in_order(df, *[c for c in ("call_timestamp", "user_id", "event_date") if c in df.columns])
+        elif name == "call_duration":
+            df = metrics.in_order(df, "call_timestamp")
+        write_json_rows(df, f"{out}/json/{name}", mode="overwrite", tz=args.hour_tz)
+    if args.register:
+        export.json_sensorpop(state.read_payload(spark, out), register).write.mode("overwrite").text(f"{out}/json/sensorpop_from_payload")
 
 
 if __name__ == "__main__":
