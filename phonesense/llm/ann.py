@@ -7,19 +7,23 @@ broadcast; its size is bounded by the sample's. Every row of the table is then
 indexed: put in its leaf of every tree.
 
 A query walks all trees through one priority queue, nearest side first, until
-the leaves it has opened hold ``OPENED`` rows by the sample's count. Its
-candidates are the rows of those leaves. Queries and rows meet by leaf, several leaves
+the leaves it has opened hold a budget of rows by the sample's count. The budget is
+measured on the table: for at most ``TRIED`` queries, drawn by a hash, the exact neighbours are found
+by one scan, and the budget is what opens the leaf of ``TARGET`` of them. A query's
+candidates are the rows of the leaves it opens. Queries and rows meet by leaf, several leaves
 to a task, and a task returns the k best of each query there, so no pair of a
 query and a candidate is ever shuffled; distances are exact, in double
 precision, on the original vectors.
 
+Vectors meet only those of their dimension. The ``FORESTS`` commonest dimensions have a forest each; rows of
+all others are searched exactly, in blocks of rows of one dimension.
+
 Of equal vectors only the k + 1 of smallest id can be among a query's k nearest,
 so only those are indexed (a limit per vector before the shuffle): copies make
 no hot leaf and nothing is lost.
 
 Defined results: a vector that is null, empty, zero or holds null or non-finite
-components takes no part, nor does one without a vec_id or of another dimension
-than the table's commonest; rows alike in vec_id and vector count once; a query
+components takes no part, nor does one without a vec_id; rows alike in vec_id and vector count once; a query
 never meets its own vec_id; an empty table gives no rows.
 """
 
@@ -39,7 +43,8 @@ from .common import table, written
 
 TREES = 16
 LEAF = 64
-OPENED = 28_000
+TARGET, TRIED = 0.96, 64
+FORESTS = 4
 SAMPLE = 65_536
 SAMPLE_BYTES = 64 << 20
 #: Rows of the index that a task reranks at once.
@@ -148,16 +153,78 @@ def forest_of(rows: DataFrame, dim: int, trees: int, leaf: int, sample: int, see
     return [Tree(*pickle.loads(r.tree)) for r in made]
 
 
-def search(queries: DataFrame, rows: DataFrame, k: int, trees: int = TREES, leaf: int = LEAF, want: int = OPENED,
-           sample: int = SAMPLE, seed: int = 7) -> DataFrame:
-    """``query_id, rank, vec_id, score`` for ``queries`` against ``rows`` (both as ``usable`` gives them)."""
-    common = rows.groupBy(F.size("x").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    dim = common.dim if common else 1
-    rows, queries = rows.where(F.size("x") == dim), queries.where(F.size("x") == dim)
-    same = Window.partitionBy("x").orderBy("vec_id")
-    rows = written(rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy"), "ann-rows")
-    forest = [t.arrays() for t in forest_of(rows, dim, trees, leaf, sample, seed)]
-    sent = rows.sparkSession.sparkContext.broadcast(forest)
+def nearest_rows(x: np.ndarray, ids: np.ndarray, at: np.ndarray, asker: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in ``x`` and distances of the k nearest to ``at``, ties to the smaller id, without the asker itself."""
+    score = np.sqrt(((x - at) ** 2).sum(1))
+    own = np.flatnonzero(ids != asker)
+    best = own[np.lexsort((ids[own], score[own]))[:k]]
+    return best, score[best]
+
+
+def budget(rows: DataFrame, queries: DataFrame, forest: list[Tree], dim: int, k: int, target: float, tried: int, seed: int) -> int:
+    """How many rows the leaves opened must hold for ``target`` of the neighbours of at most ``tried`` queries to be in them."""
+    some = queries.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(tried).select("vec_id", "x").collect()
+    asked = [(r.vec_id, np.array(r.x)) for r in some]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, ids = matrix(batch["x"], dim), batch["vec_id"].to_numpy()
+            out = []
+            for q, (i, at) in enumerate(asked):
+                best, score = nearest_rows(x, ids, at, i, k)
+                out += [(q, int(ids[b]), float(s), x[b].tolist()) for b, s in zip(best, score, strict=True)]
+            yield pd.DataFrame(out, columns=["q", "vec_id", "score", "x"])
+
+    by = Window.partitionBy("q").orderBy("score", "vec_id")
+    found = rows.select("vec_id", "x").mapInPandas(run, "q int, vec_id long, score double, x array<double>")
+    found = found.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("q", "x").collect()
+    needs = []
+    for q, (_, at) in enumerate(asked):
+        near = np.array([r.x for r in found if r.q == q], float).reshape(-1, dim)
+        if not len(near):
+            continue
+        at_leaf = [tree.leaves(near) for tree in forest]
+        first, held = np.full(len(near), np.inf), 0
+        for t, leaf in opened(forest, at, 1 << 62):
+            first[(at_leaf[t] == leaf) & np.isinf(first)] = held + 1
+            held += int(forest[t].held[leaf])
+            if np.isfinite(first).all():
+                break
+        needs += first.tolist()
+    return max(k, int(np.ceil(np.quantile(needs, target, method="higher")))) if needs else k
+
+
+FOUND = "query_id long, q long, vec_id long, score double"
+
+
+def exactly(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """``FOUND`` of queries against all rows of their dimension: rows in parts of about ``BIN``, queries sent to
+    each part of their dimension."""
+    sizes = rows.groupBy(F.size("x").alias("dim")).agg(F.ceil(F.count("*") / F.lit(BIN)).cast("int").alias("parts"))
+    held = rows.withColumn("dim", F.size("x")).join(sizes, "dim")
+    held = held.select("dim", F.pmod(F.xxhash64("vec_id", "x"), F.col("parts")).cast("int").alias("part"), "vec_id", "x")
+    asked = queries.select(F.size("x").alias("dim"), F.col("vec_id").alias("query_id"), F.xxhash64("x").alias("q"), "x").join(
+        sizes.toDF("dim", "parts"), "dim")
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(left) and len(right):
+            x, ids = matrix(right["x"], key[0]), right["vec_id"].to_numpy()
+            for i, q, at in zip(left["query_id"], left["q"], matrix(left["x"], key[0]), strict=True):
+                best, score = nearest_rows(x, ids, at, i, k)
+                out += [(i, q, ids[b], s) for b, s in zip(best, score, strict=True)]
+        return pd.DataFrame(out, columns=["query_id", "q", "vec_id", "score"])
+
+    return asked.groupBy("dim", "part").cogroup(held.groupBy("dim", "part")).applyInPandas(run, FOUND)
+
+
+def through_forest(queries: DataFrame, rows: DataFrame, dim: int, k: int, trees: int, leaf: int, want: int | None, target: float,
+                   sample: int, seed: int) -> DataFrame:
+    """``FOUND`` of queries and rows of one dimension."""
+    made = forest_of(rows, dim, trees, leaf, sample, seed)
+    want = budget(rows, queries, made, dim, k, target, TRIED, seed) if want is None else want
+    sent = rows.sparkSession.sparkContext.broadcast([t.arrays() for t in made])
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         forest = [Tree(*t) for t in sent.value]
@@ -182,10 +249,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int, trees: int = TREES, leaf
             for key, asking in visits.groupby(["tree", "leaf"]).indices.items():
                 own = leaves.get(key, ())
                 for i in asking if len(own) else ():
-                    near = own[ids[own] != asker[i]]
-                    score = np.sqrt(((x[near] - at[i]) ** 2).sum(1))
-                    best = np.lexsort((ids[near], score))[:k]
-                    found.append((np.full(len(best), i), near[best], score[best]))
+                    best, score = nearest_rows(x[own], ids[own], at[i], asker[i], k)
+                    found.append((np.full(len(best), i), own[best], score))
         if not found:
             return pd.DataFrame(columns=["query_id", "q", "vec_id", "score"])
         i, row, score = (np.concatenate(v) for v in zip(*found, strict=True))
@@ -195,15 +260,31 @@ def search(queries: DataFrame, rows: DataFrame, k: int, trees: int = TREES, leaf
 
     bins = max(1, -(-rows.count() * trees // BIN))
     bin_of = F.pmod(F.xxhash64("tree", "leaf"), F.lit(bins)).alias("bin")
-    indexed = rows.mapInPandas(index, "tree int, leaf long, vec_id long, x array<double>").select(bin_of, "*")
+    indexed = rows.select("vec_id", "x").mapInPandas(index, "tree int, leaf long, vec_id long, x array<double>").select(bin_of, "*")
     asked = queries.select(F.col("vec_id").alias("query_id"), F.xxhash64("x").alias("q"), "x")
     visits = asked.mapInPandas(ask, "tree int, leaf long, query_id long, q long, x array<double>").select(bin_of, "*")
-    near = visits.groupBy("bin").cogroup(indexed.groupBy("bin")).applyInPandas(
-        rerank, "query_id long, q long, vec_id long, score double")
+    return visits.groupBy("bin").cogroup(indexed.groupBy("bin")).applyInPandas(rerank, FOUND)
+
+
+def search(queries: DataFrame, rows: DataFrame, k: int, trees: int = TREES, leaf: int = LEAF, want: int | None = None,
+           sample: int = SAMPLE, seed: int = 7, target: float = TARGET, forests: int = FORESTS) -> DataFrame:
+    """``query_id, rank, vec_id, score`` for ``queries`` against ``rows`` (both as ``usable`` gives them); ``want`` sets
+    the budget of rows opened instead of having it measured."""
+    dim = F.size("x")
+    same = Window.partitionBy("x").orderBy("vec_id")
+    rows = rows.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= k + 1).drop("copy")
+    rows = written(rows, "ann-rows")
+    asked = queries.select(dim.alias("dim")).distinct()
+    common = [r.dim for r in rows.groupBy(dim.alias("dim")).count().join(asked, "dim").orderBy(F.desc("count"), "dim").limit(forests).collect()]
+    near = [through_forest(queries.where(dim == d), rows.where(dim == d), d, k, trees, leaf, want, target, sample, seed) for d in common]
+    near.append(exactly(queries.where(~dim.isin(*common)), rows.where(~dim.isin(*common)), k))
+    every = near[0]
+    for more in near[1:]:
+        every = every.union(more)
     # A row in a leaf of several trees comes from each of them.
-    near = near.groupBy("query_id", "q", "vec_id").agg(F.min("score").alias("score"))
+    every = every.groupBy("query_id", "q", "vec_id").agg(F.min("score").alias("score"))
     by = Window.partitionBy("query_id", "q").orderBy("score", "vec_id")
-    ranked = near.withColumn("rank", F.row_number().over(by).cast("int")).where(F.col("rank") <= k)
+    ranked = every.withColumn("rank", F.row_number().over(by).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

@@ -98,29 +98,44 @@ def gram_table(made: DataFrame, k: int) -> DataFrame:
                                                        .alias(f"at{k}"))
 
 
+def template_hashes(made: DataFrame, k: int) -> list[int]:
+    """The distinct gram hashes of the templates, whose number the templates bound."""
+    return [r[0] for r in gram_table(made, k).select(f"h{k}").collect()]
+
+
 def votes(docs: DataFrame, made: DataFrame) -> DataFrame:
     """``doc_id, content, n_words, template, diagonal, places, first, last`` by diagonal, and one
-    row for each document with ``template`` null, whose ``rows`` counts its repeats."""
+    row for each document with ``template`` null, whose ``rows`` counts its repeats.
+
+    Only places whose hash is one of the templates' leave a document, each with the four words
+    there, so a row's size does not depend on the text's."""
     split = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("content"), words(F.col("text")).alias("words"))
     split = split.withColumn("h2", hash2(F.col("words")))
     split = split.withColumn("grams", F.arrays_zip("h2", hash4(F.col("h2")).alias("h4")))
-    rolled = split.select("doc_id", "content", "words", F.posexplode_outer("grams").alias("p", "g")).select(
-        "doc_id", "content", "words", "p", F.col("g.h2").alias("h2"), F.col("g.h4").alias("h4"))
+    in2, in4 = template_hashes(made, 2), template_hashes(made, 4)
+    placed = F.transform("grams", lambda g, i: F.struct(i.alias("p"), g["h2"].alias("h2"), g["h4"].alias("h4")))
+    met = F.filter(placed, lambda g: g["h2"].isin(*in2) | g["h4"].isin(*in4))
+    split = split.select("doc_id", "content", "words", F.size("words").alias("n_words"), met.alias("met"))
+    own = F.transform("met", lambda g: F.struct(g["p"].alias("p"), g["h2"].alias("h2"), g["h4"].alias("h4"),
+                                                F.slice("words", g["p"] + 1, F.lit(4)).alias("here")))
+    none = F.struct(F.lit(None).cast("int").alias("p"), F.lit(None).cast("long").alias("h2"), F.lit(None).cast("long").alias("h4"),
+                    F.lit(None).cast("array<string>").alias("here"))
+    rolled = split.select("doc_id", "content", "n_words", F.concat(F.array(none), own).alias("places"))
+    # Outer, though never empty: else a filter on the size would be inferred and pushed below the words, into the lambdas.
+    rolled = rolled.select("doc_id", "content", "n_words", F.explode_outer("places").alias("g")).select("doc_id", "content", "n_words", "g.*")
     hit = rolled.join(F.broadcast(gram_table(made, 2)), "h2", "left").join(F.broadcast(gram_table(made, 4)), "h4", "left")
-    start = F.coalesce(F.col("p"), F.lit(0)) == 0
-    hit = hit.where(start | F.col("at2").isNotNull() | F.col("at4").isNotNull())
+    vote = "array<struct<template:int,t:int,k:int>>"
 
     def agreeing(at: str, k: int) -> Column:
-        own = F.array_join(F.slice("words", F.col("p") + 1, F.lit(k)), " ")
+        own = F.array_join(F.slice("here", F.lit(1), F.lit(k)), " ")
         found = F.filter(F.col(at), lambda x: x["gram"] == own)
         return F.coalesce(F.transform(found, lambda x: F.struct(
-            x["template"].alias("template"), x["t"].alias("t"), F.lit(k).alias("k"))),
-            F.array().cast("array<struct<template:int,t:int,k:int>>"))
+            x["template"].alias("template"), x["t"].alias("t"), F.lit(k).alias("k"))), F.array().cast(vote))
 
     none = F.struct(F.lit(None).cast("int").alias("template"), F.lit(None).cast("int").alias("t"),
                     F.lit(None).cast("int").alias("k"))
-    own = F.when(start, F.array(none)).otherwise(F.array().cast("array<struct<template:int,t:int,k:int>>"))
-    hit = hit.select("doc_id", "content", F.size("words").alias("n_words"), F.coalesce(F.col("p"), F.lit(0)).alias("at"),
+    own = F.when(F.col("p").isNull(), F.array(none)).otherwise(F.array().cast(vote))
+    hit = hit.select("doc_id", "content", "n_words", F.coalesce(F.col("p"), F.lit(0)).alias("at"),
                      F.explode(F.concat(own, agreeing("at2", 2), agreeing("at4", 4))).alias("v"))
     return hit.groupBy("doc_id", "content", "v.template", (F.col("at") - F.col("v.t")).alias("diagonal")).agg(
         F.max("n_words").alias("n_words"), F.collect_set("v.t").alias("places"), F.min("at").alias("first"),

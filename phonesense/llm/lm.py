@@ -151,41 +151,56 @@ def initial(share: np.ndarray, seed: int) -> LogBilinear:
 
 
 def added(at: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
-    """Sums of the rows for each index under ``n``."""
-    out = np.empty((n, rows.shape[1]))
-    for i in range(rows.shape[1]):
-        out[:, i] = np.bincount(at, rows[:, i], n)
+    """Sums of the rows for each index under ``n``: rows in the order of their index, summed run by run."""
+    out = np.zeros((n, rows.shape[1]), rows.dtype)
+    if len(at):
+        order = np.argsort(at.astype(np.uint16 if n < 1 << 16 else np.int64), kind="stable")
+        own = at[order]
+        starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        out[own[starts]] = np.add.reduceat(rows[order], starts, axis=0)
     return out
 
 
 class Adam:
-    """Noise-contrastive steps: each triple's token against ``NOISE`` shared draws of the classes' own shares."""
+    """Noise-contrastive steps: each triple's token against ``NOISE`` shared draws of the classes' own shares. In single
+    precision, which the steps' own noise far exceeds."""
 
     def __init__(self, model: LogBilinear, share: np.ndarray, seed: int):
-        self.p = {k: np.array(v, float) for k, v in zip(("context", "place", "target", "bias"), model.arrays(), strict=True)}
+        self.p = {k: np.array(v, np.float32) for k, v in zip(("context", "place", "target", "bias"), model.arrays(), strict=True)}
         self.share, self.rng, self.step = share, np.random.default_rng(seed), 0
+        self.log_noise = np.log(NOISE * share).astype(np.float32)
+        self.upto = share.cumsum() / share.sum()
         self.first, self.second = ({k: np.zeros_like(v) for k, v in self.p.items()} for _ in range(2))
 
     def take(self, code: np.ndarray, rate: float) -> None:
-        p, n, share = self.p, len(self.share), self.share
+        p, n = self.p, len(self.share)
         self.step += 1
         w, last, before = code % n, code // n % (n + 1), code // n // (n + 1)
-        noise = self.rng.choice(n, NOISE, p=share)
-        log_noise = np.log(NOISE * share)
-        q = LogBilinear(**p).predicted(before, last)
-        true = np.einsum("ij,ij->i", q, p["target"][w]) + p["bias"][w] - log_noise[w]
-        false = q @ p["target"][noise].T + p["bias"][noise] - log_noise[noise]
-        d_true = (1 / (1 + np.exp(-true)) - 1) / len(code)
-        d_false = 1 / (1 + np.exp(-false)) / len(code)
-        d_q = d_true[:, None] * p["target"][w] + d_false @ p["target"][noise]
-        g = {"target": added(w, d_true[:, None] * q, n) + added(noise, d_false.T @ q, n),
-             "bias": np.bincount(w, d_true, n) + np.bincount(noise, d_false.sum(0), n),
-             "place": np.stack([p["context"][c].T @ d_q for c in (last, before)]),
-             "context": sum(added(c, d_q @ p["place"][i].T, n + 1) for i, c in enumerate((last, before)))}
+        noise = np.minimum(np.searchsorted(self.upto, self.rng.random(NOISE), "right"), n - 1)
+        in_last, in_before = p["context"][last], p["context"][before]
+        q = in_last @ p["place"][0] + in_before @ p["place"][1]
+        target = p["target"][w]
+        d_true = np.einsum("ij,ij->i", q, target) + p["bias"][w] - self.log_noise[w]
+        d_false = q @ p["target"][noise].T
+        d_false += p["bias"][noise] - self.log_noise[noise]
+        part = np.float32(1 / len(code))
+        d_true = (1 / (1 + np.exp(-d_true)) - 1) * part
+        np.negative(d_false, out=d_false)
+        np.exp(np.minimum(d_false, 80, out=d_false), out=d_false)
+        d_false += 1
+        np.divide(part, d_false, out=d_false)
+        d_q = d_false @ p["target"][noise]
+        d_q += d_true[:, None] * target
+        g = {"target": added(w, d_true[:, None] * q, n), "bias": np.bincount(w, d_true, n), "context": np.zeros((n + 1, DIM)),
+             "place": np.stack([in_last.T @ d_q, in_before.T @ d_q])}
+        np.add.at(g["target"], noise, d_false.T @ q)
+        np.add.at(g["bias"], noise, d_false.sum(0))
+        for i, c in enumerate((last, before)):
+            g["context"] += added(c, d_q @ p["place"][i].T, n + 1)
         for k in p:
-            self.first[k] = 0.9 * self.first[k] + 0.1 * g[k]
-            self.second[k] = 0.999 * self.second[k] + 0.001 * g[k] ** 2
-            p[k] = p[k] - rate * (self.first[k] / (1 - 0.9 ** self.step)) / (np.sqrt(self.second[k] / (1 - 0.999 ** self.step)) + 1e-8)
+            self.first[k] += 0.1 * (g[k].astype(np.float32) - self.first[k])
+            self.second[k] += 0.001 * (g[k].astype(np.float32) ** 2 - self.second[k])
+            p[k] -= np.float32(rate / (1 - 0.9 ** self.step)) * self.first[k] / (np.sqrt(self.second[k] / np.float32(1 - 0.999 ** self.step)) + np.float32(1e-8))
 
 
 def fit(codes: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 3) -> LogBilinear:
@@ -196,7 +211,7 @@ def fit(codes: np.ndarray, counts: np.ndarray, steps: int = STEPS, seed: int = 3
     for step in range(1, steps + 1) if len(codes) else ():
         drawn = codes[np.searchsorted(upto, adam.rng.integers(0, upto[-1], BATCH), "right")]
         adam.take(drawn, 0.02 * min(1, 2 * (1 - step / (steps + 1))))
-    return LogBilinear(**adam.p)
+    return LogBilinear(**{k: v.astype(float) for k, v in adam.p.items()})
 
 
 def train(docs: DataFrame, frequent: list[bytes], sizes: tuple[int, int], share: np.ndarray, n_tokens: int, seed: int = 3) -> LogBilinear:
@@ -232,7 +247,7 @@ def train(docs: DataFrame, frequent: list[bytes], sizes: tuple[int, int], share:
                         held, all_n, n = [], all_n + n, 0
             if n:
                 steps()
-            total = np.concatenate([x.ravel() for x in adam.p.values()]) * (all_n + n)
+            total = np.concatenate([x.ravel() for x in adam.p.values()]).astype(float) * (all_n + n)
             yield pd.DataFrame({"g": [part % GROUPS], "n": [all_n + n], "p": [total.tobytes()]})
 
         def add(rows: pd.DataFrame) -> pd.DataFrame:
@@ -256,6 +271,76 @@ SCORED = ("row long, doc_id long, n_tokens long, head_known long, head_log doubl
           "class_log double, tail array<binary>")
 
 
+class Scorer:
+    """Scores texts many at a time: a word is looked up once, for its class and the log of its count, and a token's
+    share of the product of vectors is read from tables of class pairs."""
+
+    def __init__(self, model: LogBilinear, classes: Classes, known: dict[bytes, int], size: np.ndarray, ends: int):
+        self.classes, self.model, self.size, self.ends = classes, model, size, ends
+        self.places = Places(classes, known)
+        self.cls = np.array([classes[w] for w in known], np.int64)
+        self.log = np.log10(np.array(list(known.values()), float) + 1)
+        self.by_last, self.by_before = ((model.context @ place) @ model.target.T for place in model.place)
+        self.norms = np.full((classes.n + 1) ** 2, np.nan)
+
+    def parts(self, ids: pd.Series, texts: pd.Series, most: int = 500_000) -> Iterator[pd.DataFrame]:
+        start, found, tails, held = 0, [], [], 0
+        for i, text in enumerate(texts):
+            own = tokens(text)
+            at = np.fromiter(map(self.places.__getitem__, own), np.int64, len(own))
+            tails.append([own[j] for j in np.flatnonzero(at < 0)])
+            found.append(at)
+            held += len(own)
+            if held > most or i + 1 == len(texts):
+                out = self.scored(found)
+                out.insert(0, "doc_id", ids.iloc[start:i + 1].to_numpy())
+                out["doc_id"] = out["doc_id"].astype("Int64")
+                yield out.assign(tail=tails)
+                start, found, tails, held = i + 1, [], [], 0
+
+    def scored(self, found: list[np.ndarray]) -> pd.DataFrame:
+        n, end = self.classes.n, self.classes.end
+        lengths = np.array([len(x) for x in found])
+        at = np.concatenate(found)
+        log = np.zeros(len(at))
+        in_head = at >= 0
+        cls = np.where(in_head, 0, -1 - at)
+        cls[in_head], log[in_head] = self.cls[at[in_head]], self.log[at[in_head]]
+        # Each text after two starts, its end behind it.
+        stops = (lengths + 3).cumsum()
+        starts = stops - lengths - 3
+        c = np.full(stops[-1], n, np.int64)
+        inside = np.ones(len(c), bool)
+        inside[np.r_[starts, starts + 1, stops - 1]] = False
+        c[inside] = cls
+        c[stops - 1] = end
+        token = np.ones(len(c), bool)
+        token[np.r_[starts, starts + 1]] = False
+        spot = np.flatnonzero(token)
+        before, last, w = c[spot - 2], c[spot - 1], c[spot]
+        context = before * (n + 1) + last
+        met = np.unique(context)
+        new = met[np.isnan(self.norms[met])]
+        self.norms[new] = self.model.normaliser(*np.divmod(new, n + 1))
+        log_p = (self.by_last[last, w] + self.by_before[before, w] + self.model.bias[w] - self.norms[context]) / np.log(10) - self.size[w]
+        doc = np.repeat(np.arange(len(found)), lengths)
+        add = lambda x: np.bincount(doc, x, len(found))
+        return pd.DataFrame({"n_tokens": lengths + 1, "head_known": add(in_head).astype(np.int64) + int(self.ends > 0),
+                             "head_log": add(log) + np.log10(self.ends + 1), "rare_log": add(np.where(cls > end, log, 0.0)),
+                             "class_log": np.bincount(np.repeat(np.arange(len(found)), lengths + 1), log_p, len(found))})
+
+
+class Places(dict):
+    """Number of a word of the head; of any other, -1 less its class."""
+
+    def __init__(self, classes: Classes, known: dict[bytes, int]):
+        super().__init__((w, i) for i, w in enumerate(known))
+        self.classes = classes
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - self.classes[word]
+
+
 def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``, by a
     model of the texts of ``training``."""
@@ -293,34 +378,13 @@ def score(docs: DataFrame, training: DataFrame, head: int = HEAD) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, frequent, size, ends = made.value
-        model, known, classes = LogBilinear(*model), sent.value, Classes(frequent, n_frequent, n_rare)
-        norms = np.full((classes.n + 1) ** 2, np.nan)
-
-        def log_p(c: np.ndarray) -> float:
-            at = c[:-2] * (classes.n + 1) + c[1:-1]
-            new = np.unique(at[np.isnan(norms[at])])
-            if len(new):
-                norms[new] = model.normaliser(*np.divmod(new, classes.n + 1))
-            s = np.einsum("ij,ij->i", model.predicted(c[:-2], c[1:-1]), model.target[c[2:]]) + model.bias[c[2:]]
-            return float((s - norms[at]).sum() / np.log(10))
-
-        logs = {w: float(np.log10(c + 1)) for w, c in known.items()}
-        end_log = float(np.log10(ends + 1))
+        scorer = Scorer(LogBilinear(*model), Classes(frequent, n_frequent, n_rare), sent.value, size, ends)
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                own = tokens(text)
-                c = classes.of(own)
-                found = list(map(logs.get, own))
-                tail = [w for w, x in zip(own, found, strict=True) if x is None]
-                in_head = np.array([x if x is not None else 0.0 for x in found])
-                out.append((row, doc, len(own) + 1, len(own) - len(tail) + (ends > 0), in_head.sum() + end_log,
-                            in_head[c[2:-1] > end].sum(), log_p(c) - size[c[2:]].sum(), tail))
-                row += 1
-            made_rows = pd.DataFrame(out, columns=[x.split()[0] for x in SCORED.split(", ")])
-            made_rows["doc_id"] = made_rows["doc_id"].astype("Int64")
-            yield made_rows
+            for some in scorer.parts(batch["doc_id"].astype("Int64"), batch["text"]):
+                some.insert(0, "row", np.arange(row, row + len(some)))
+                row += len(some)
+                yield some
 
     at = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCORED), "lm-rows")
     # A word of the tail appears with its count, or is unknown.

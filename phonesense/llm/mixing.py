@@ -128,7 +128,8 @@ def with_copies(rows: DataFrame, sources: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, max_repeat: int = MAX_REPEAT, seed: int = 11) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the mix takes it, all columns kept,
-    laid out shard by shard and shuffled inside each. Adds ``mix_shard``."""
+    laid out shard by shard and shuffled inside each. Adds ``mix_shard``, unless ``docs`` has a
+    column of that name, which stays as it is."""
     sources = written(plan(written(sized(docs, blocks, seed), "mix-sizes"), blocks, shards, max_repeat, seed), "mix-plan")
     block, spot = place(blocks=blocks, seed=seed)
     names = docs.columns
@@ -138,7 +139,8 @@ def mix(docs: DataFrame, blocks: int = BLOCKS, shards: int = SHARDS, max_repeat:
     shard = F.col("shard_of")[F.col("block") * (max_repeat + 1) + F.col("copy")]
     out = taken.select("row", shard.alias("mix_shard"), F.xxhash64(F.lit(seed + 99), "spot", "copy").alias("at"))
     out = out.repartition("mix_shard", F.pmod("at", F.lit(64))).sortWithinPartitions("mix_shard", "at")
-    return out.select(*[F.col("row")[c].alias(c) for c in names], "mix_shard")
+    shard = [] if "mix_shard" in map(str.lower, names) else ["mix_shard"]
+    return out.select(*[F.col("row")[c].alias(c) for c in names], *shard)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

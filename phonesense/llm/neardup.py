@@ -409,10 +409,11 @@ def one_of_each(docs: DataFrame, k: int = 5) -> DataFrame:
     stay = components(docs, k).where("kept").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"),
                                                     F.col("node").alias("_node")).distinct()
     names = docs.columns
-    at = docs.withColumn("_md5", F.md5(F.col("text").cast("binary")))
-    at = at.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("_md5").eqNullSafe(F.col("_content")))
+    at = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("_doc"),
+                     F.md5(F.col("text").cast("binary")).alias("_md5"))
+    at = at.join(stay, F.col("_doc").eqNullSafe(F.col("_id")) & F.col("_md5").eqNullSafe(F.col("_content")))
     worded = at.where("_node is not null").dropDuplicates(["_id", "_node"])
-    return at.where("_node is null").unionByName(worded).select(*names)
+    return at.where("_node is null").unionByName(worded).select(*[F.col("row")[c].alias(c) for c in names])
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -53,6 +54,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}")
+RUN = re.compile(r"\S+")
 ASCII_LOWER = str.maketrans(UPPER, LOWER)
 
 
@@ -97,11 +99,13 @@ def near(text: str, spans: list[tuple[int, int, int]], reach: int = NEAR) -> set
     """Entity hash and term, for the terms within ``reach`` words of an entity."""
     number = lambda x: int.from_bytes(hashlib.blake2b(x.encode(errors="replace"), digest_size=8).digest(), "big", signed=True)
     out = set()
+    words = [m.span() for m in RUN.finditer(text)]
+    starts, ends = [a for a, _ in words], [b for _, b in words]
     for start, kind, end in spans:
         entity = number(KINDS[kind] + ":" + text[start:end].translate(ASCII_LOWER))
-        before = text[max(0, start - 40 * reach):start].translate(ASCII_LOWER).split()[-reach:]
-        after = text[end:end + 40 * reach].translate(ASCII_LOWER).split()[:reach]
-        out |= {(entity, term) for word in before + after for term in TERM.findall(word)}
+        upto, past = bisect_left(starts, start), bisect_right(ends, end)
+        around = [text[a:min(b, start)] for a, b in words[max(0, upto - reach):upto]] + [text[max(a, end):b] for a, b in words[past:past + reach]]
+        out |= {(entity, term) for word in around for term in TERM.findall(word.translate(ASCII_LOWER))}
     return out
 
 
@@ -266,13 +270,17 @@ def sanitise(docs: DataFrame) -> DataFrame:
             out.append(x)
         return pd.Series(out, dtype=object)
 
+    # The row stays in one struct, so that its columns meet none of those added here.
     names = docs.columns
-    rows = docs.withColumn("_content", F.md5(F.col("text").cast("binary"))).join(marks, "_content", "left")
-    rows = rows.withColumn("text", replaced("text", "_spans", "_terms"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.md5(F.col("text").cast("binary")).alias("_content"))
+    rows = rows.join(marks, "_content", "left")
+    rows = rows.select("row", F.col("_spans").isNotNull().alias("marked"), replaced("row.text", "_spans", "_terms").alias("new"))
+    out = {c: F.col("row")[c] for c in names}
+    out["text"] = F.col("new")
     if "n_chars" in names:
-        length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), length).otherwise(F.col("n_chars")))
-    return rows.select(*names)
+        length = F.length("new").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.col("marked"), length).otherwise(out["n_chars"])
+    return rows.select(*[x.alias(c) for c, x in out.items()])
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,3 +65,10 @@ def test_wordings(spark, text, labels):
     assert {r.label for r in found} == labels
     assert all(0.7 <= r.cover <= 1 and r.first >= 2 for r in found)
     assert len(found) == len(labels)
+
+
+def test_long_text_with_many_hits(spark, tmp_path_factory):
+    """200,000 words with a phrase at every third: a hit carries its own words only."""
+    text = "cc by x " * 66_667
+    (row,) = run(spark, [(1, text)], tmp_path_factory)
+    assert row == (1, 200_001, 66_667, 0, 199_998, "cc-by")

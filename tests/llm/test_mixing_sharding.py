@@ -151,3 +151,9 @@ def test_shards_rerun_alike(spark, sharded):
 
 def test_shard_empty_table(spark, tmp_path):
     assert sharding.op4_sharding(spark, saved(spark, [], "doc_id long, text string", tmp_path)).collect() == []
+
+
+def test_a_column_named_like_the_shard_stays(spark):
+    df = spark.createDataFrame([(i, "some words here", "s", f"own{i}") for i in range(20)], "doc_id long, text string, source string, Mix_Shard string")
+    got = mixing.mix(df)
+    assert got.columns == df.columns and {(r[0], r[3]) for r in got.collect()} == {(i, f"own{i}") for i in range(20)}

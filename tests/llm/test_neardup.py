@@ -141,3 +141,10 @@ def test_long_texts_are_hashed_alike_in_pieces(monkeypatch):
     whole = neardup.shingles(text, 5)
     monkeypatch.setattr(neardup, "PIECE", 100)
     assert (neardup.shingles(text, 5) == whole).all() and len(whole) == 4996
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(1, "one two three four five six", "m", "i", "n", "c", "r"), (2, "one two three four five six", "m2", "i", "n", "c", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _md5 string, _ID string, _node string, _content string, `row` string")
+    (got,) = neardup.one_of_each(df).collect()
+    assert tuple(got) == rows[0] and neardup.one_of_each(df).columns == df.columns

@@ -139,3 +139,24 @@ def test_names_and_signatures(spark, tmp_path):
     assert counts == {"gringoire": 9, "esmeralda": 2, "lonely": 1}
     marked = {r.doc_id for r in pii.find(docs).where("size(terms) > 0").collect()}
     assert marked == {r[0] for r in rows if 1000 <= r[0] < 4000}
+
+
+def test_neighbourhood_is_words_however_long():
+    """Eight whole words a side, also where they are longer than any fixed number of characters."""
+    link = lambda n: "https://x.example/" + "/".join(f"part{n}{'y' * 60}{i}" for i in range(9))
+    before, after = [link(i) for i in range(10)], [link(i) for i in range(20, 30)]
+    text = " ".join(before) + " mail:bob@site.org, " + "\n".join(after)
+    start = text.index("bob@")
+    got = {term for _, term in pii.near(text, [(start, 0, start + len("bob@site.org"))])}
+    words = [*before[-7:], "mail:", ",", *after[:7]]
+    assert got == {t for w in words for t in pii.TERM.findall(w.lower())}
+    run = "q" * 100_000
+    text = f"{run} a@b.cd {run}"
+    assert {t for _, t in pii.near(text, [(100_001, 0, 100_007)])} == {run}
+
+
+def test_clashing_columns_stay(spark):
+    rows = [(1, "write to bob@site.org now", "c", "s", "t", "m", "r")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _content string, _spans string, _TERMS string, marked string, `row` string")
+    (got,) = pii.sanitise(df).collect()
+    assert tuple(got) == (1, "write to [EMAIL] now", "c", "s", "t", "m", "r") and pii.sanitise(df).columns == df.columns

@@ -151,3 +151,37 @@ def test_model_grows_with_the_corpus(spark, tmp_path, monkeypatch):
     assert np.allclose((10.0 ** model.table().astype(float)).sum(1), 1, atol=1e-4)
     held = [r for r in out if r.held_out and r.n_tokens > 10]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
+
+
+def test_score_against_one_token_at_a_time(spark, tmp_path, monkeypatch):
+    """The model's probability of each token, read from the whole normalised table, times its word's share of a rare class."""
+    monkeypatch.setattr(lm.score, "__defaults__", (60,))
+    rows = corpus()
+    made = []
+    monkeypatch.setattr(lm, "train", lambda *a, f=lm.train: made.append((a, f(*a))) or made[-1][1])
+    out = lm.op7_lm_score(spark, saved(spark, rows, tmp_path)).collect()
+    ((_, frequent, sizes, _, _), model), = made
+    table, classes = model.table().astype(float), lm.Classes(frequent, *sizes)
+    counts = {}
+    for i, text in rows:
+        if crc_mod(i, 7) != 2:
+            for w in lm.tokens(text):
+                counts[w] = counts.get(w, 0) + 1
+    rare = {}
+    for w, c in counts.items():
+        if classes[w] > classes.end:
+            rare.setdefault(classes[w], []).append(c)
+    want = []
+    for i, text in rows:
+        own, total = lm.tokens(text), 0.0
+        c = [classes.n, classes.n, *[classes[w] for w in own], classes.end]
+        for j, w in enumerate([*own, None], 2):
+            total += table[c[j - 2] * (classes.n + 1) + c[j - 1], c[j]]
+            if c[j] > classes.end:
+                held = rare.get(c[j], [])
+                total += np.log10(counts.get(w, 0) + 1) - (np.log10(sum(held) + len(held) + 1) if held else 0)
+        want.append((i is None, i or 0, len(own) + 1, total))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.score) for r in out)
+    want.sort()
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], rel=1e-4, abs=1e-3)

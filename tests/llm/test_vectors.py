@@ -79,7 +79,13 @@ def test_few_candidates_and_empty_tables(spark, tmp_path):
 
 def brute_near(rows, k=10, every=100):
     out = {}
-    at = sorted((i, v) for i, v in usable(rows) if any(v))
+    for dim in {len(v) for _, v in usable(rows)}:
+        out |= brute_near_of(sorted((i, v) for i, v in usable(rows) if any(v) and len(v) == dim), k, every)
+    return out
+
+
+def brute_near_of(at, k, every):
+    out = {}
     x = np.array([[np.float32(c) for c in v] for _, v in at], float)
     ids = np.array([i for i, _ in at])
     for i, q in zip(ids, x, strict=True):
@@ -99,11 +105,12 @@ def found_near(df):
     return out
 
 
-def test_ann_of_small_tables_is_exact(spark, tmp_path):
+def test_ann_is_exact_where_all_leaves_are_opened(spark, tmp_path):
     rows = vectors()
-    got, want = found_near(ann.op10_ann(spark, saved(spark, rows, tmp_path))), brute_near(rows)
+    at = ann.usable(spark.read.parquet(saved(spark, rows, tmp_path) + "/embeddings.parquet"))
+    got, want = found_near(ann.search(at.where("vec_id % 100 = 0"), at, 10, want=10 ** 9)), brute_near(rows)
     assert set(got) == set(want)
-    for i in want:  # all leaves are opened
+    for i in want:
         assert [v for v, _ in got[i]] == [v for v, _ in want[i]]
         assert [s for _, s in got[i]] == pytest.approx([s for _, s in want[i]], rel=1e-12)
 
@@ -120,6 +127,34 @@ def test_ann_recall_where_leaves_are_left_out(spark, tmp_path):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def mixed_dimensions():
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(c) for c in rng.normal(size=4).astype(np.float32)]) for i in range(600)]
+    rows += [(i, [float(c) for c in rng.normal(size=8).astype(np.float32)]) for i in range(600, 1000)]
+    return rows + [(1100, [1.0, 2.0]), (1101, [1.0, 2.5]), (1200, [3.0]), (1300, [0.5] * 9)]
+
+
+@pytest.mark.parametrize("forests", [4, 1])
+def test_ann_of_several_dimensions(spark, tmp_path, monkeypatch, forests):
+    rows = mixed_dimensions()
+    at = ann.usable(spark.read.parquet(saved(spark, rows, tmp_path) + "/embeddings.parquet"))
+    got = found_near(ann.search(at.where("vec_id % 100 = 0"), at, 10, target=1.0, forests=forests))
+    want = brute_near(rows)
+    assert set(got) == {i for i in want if want[i]} and {600, 700, 800, 900, 1100} <= set(got)
+    hits = sum(len({v for v, _ in got[i]} & {v for v, _ in want[i]}) for i in want if want[i])
+    assert hits >= 0.97 * sum(map(len, want.values()))
+    assert [v for v, _ in got[1100]] == [1101]
+
+
+def test_ann_recall_at_registered_settings(spark, tmp_path):
+    """Vectors without structure, more of them than a query opens by the measured budget."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(6000, 24)).astype(np.float32))]
+    got, want = found_near(ann.op10_ann(spark, saved(spark, rows, tmp_path))), brute_near(rows)
+    hits = sum(len({v for v, _ in got[i]} & {v for v, _ in want[i]}) for i in want)
+    assert set(got) == set(want) and hits >= 0.9 * sum(map(len, want.values()))
+
+
 def test_trees_put_rows_where_queries_look():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(500, 6))
