@@ -9,9 +9,9 @@ uploads that parse go that way too; only the others are split, by built-in funct
    objects, and each is parsed by itself;
 3. objects in a row that do not parse (one cut short takes in those after it, as its
    braces or quotes never close) are split again, at the depths that are never fallen
-   below afterwards. Whether a piece starts outside a string is now told by its own first
+   below afterwards, and where an object begins with its probe's name. Whether a piece starts outside a string is now told by its own first
    characters, as quotes before it may be missing. What parses there and names
-   its probe is taken up again; the rest is rejected.
+   its probe is taken up again; the rest is rejected, what is left of one object together.
 
 The running sums are windows over the pieces of one upload, narrow and spilling; texts of
 one object only are put together again, so an upload of any size can be read, and
@@ -30,6 +30,8 @@ VARIANT_LIMIT = 128 * 1024 * 1024 - 16
 # Commas after a closing or before an opening brace or bracket; the comma itself is left out.
 BREAK = r"(?<=[}\]]\s{0,16}),|,(?=\s*[{\[])"
 OPEN, CLOSE = "{[", "}]"
+# No nested object has this key.
+PROBE_FIRST = rf'^\s*+\{{\s*+"{KEY_PROBE}"\s*+:'
 # How a piece (its escapes removed) begins that does not begin inside a string: with an object's first key or its end, an
 # array's first element, a whole text, number or word, or a closing mark. A text's own content can't look like that, as its
 # quotes are escaped.
@@ -82,7 +84,7 @@ def _loose(pieces: DataFrame) -> DataFrame:
     at = pieces.withColumn("after", F.sum("step").over(order)).withColumn("before", F.col("after") - F.col("step"))
     # Down from the last piece: the frame grows, so each piece is seen once.
     least = F.min("after").over(own.orderBy(F.desc("idx")))
-    at = at.withColumn("starts", (F.col("idx") == F.min("idx").over(own)) | (F.col("opens") & (F.col("before") <= least)))
+    at = at.withColumn("starts", (F.col("idx") == F.min("idx").over(own)) | (F.col("opens") & ((F.col("before") <= least) | F.col("piece").rlike(PROBE_FIRST))))
     return at.withColumn("part", F.sum(F.col("starts").cast("int")).over(order))
 
 
@@ -99,8 +101,7 @@ def _together(pieces: DataFrame, *keys: str) -> DataFrame:
 
 def split_objects(raw: DataFrame) -> DataFrame:
     """The objects of the uploads that do not parse as a whole: ``user_id, upload, at`` (first character, from
-    0)``, text, reason`` (null where the object is good, else ``malformed``, ``fragment``: it
-    parses but is part of a broken object, or ``oversize``)``, elements`` (VARIANTs of a good one)."""
+    0)``, text, reason`` (null where the object is good, else ``malformed`` or ``oversize``)``, elements`` (VARIANTs of a good one)."""
     text = F.col("payload")
     uploads = raw.select(F.col("user_id").cast("string").alias("user_id"), "payload").where(
         text.isNotNull() & (F.trim(text) != "") & ~_usable(text))
@@ -119,11 +120,20 @@ def split_objects(raw: DataFrame) -> DataFrame:
     again = again.select(*columns).unionByName(large.select(*columns))
     second = _together(_loose(again), "run", "part").withColumn("elements", _elements("text"))
     named = F.exists("elements", lambda e: get_string(e, KEY_PROBE).isNotNull())
-    reason = (F.when(F.col("text").isNull(), "oversize").when(F.col("elements").isNull(), "malformed")
-              .when(~named, "fragment"))
-    found = second.select("user_id", "upload", "at", "text", reason.alias("reason"),
-                          F.when(reason.isNull(), F.col("elements")).alias("elements"))
-    return good.unionByName(found)
+    second = second.withColumn("good", F.coalesce(named, F.lit(False)))
+    # What is left of a broken object goes with it: parts in a row that are no objects, up to the next beginning.
+    order = Window.partitionBy("upload", "run").orderBy("idx")
+    goes_on = ~F.col("good") & ~F.coalesce(F.lag("good").over(order), F.lit(True)) & ~F.coalesce(F.col("text").rlike(PROBE_FIRST), F.lit(False))
+    at = second.withColumn("goes_on", goes_on)
+    at = at.withColumn("number", F.sum((~F.col("goes_on")).cast("int")).over(order))
+    bad = at.where("not good").groupBy("user_id", "upload", "run", "number").agg(
+        F.min("at").alias("at"), F.bool_or(F.col("text").isNull()).alias("oversize"), F.array_sort(F.collect_list(F.struct("idx", "text"))).alias("parts"))
+    text = F.when(~F.col("oversize"), F.array_join(F.transform("parts", lambda p: p["text"]), ","))
+    none = F.lit(None).cast(second.schema["elements"].dataType)
+    bad = bad.select("user_id", "upload", "at", text.alias("text"), F.when(F.col("oversize"), "oversize").otherwise("malformed").alias("reason"),
+                     none.alias("elements"))
+    found = at.where("good").select("user_id", "upload", "at", "text", F.lit(None).cast("string").alias("reason"), "elements")
+    return good.unionByName(found).unionByName(bad)
 
 
 def _elements(text: str) -> Column:

@@ -17,12 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from phonesense.functions.time import time_of_day, utc_wall_clock
 from phonesense.operators import export, metrics, probes
 from phonesense.operators.objects import object_rejects
+from phonesense.operators.ordering import with_position
 from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report
-from phonesense.operators.population import sensor_population_from_payload
+from phonesense.operators.population import first_row_per_user, sensor_population_from_payload
 from phonesense.plans import state
 from phonesense.session import remove_at_exit, scratch_path
 from phonesense.sources.fixtures import (
     damaged_uploads, fixture_register, fixture_uploads, read_driver_table, uploads_from_events, uploads_with_bad_objects,
+    write_register_files,
 )
 from phonesense.sources.uploads import read_register, read_uploads
 
@@ -161,7 +163,23 @@ def appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+def ranked(plan: Callable[[DataFrame], DataFrame], by: tuple[str, ...]) -> Callable[[SparkSession, str], DataFrame]:
+    """A result with each row's position in its order."""
+    return lambda spark, sf_dir: normalise(with_position(plan(payload_from_tables(spark, sf_dir)), by))
+
+
+def register_in_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first row of each participant in twelve multi-line register files, by file order alone."""
+    path = remove_at_exit(spark, scratch_path(spark, "register-files"))
+    write_register_files(spark, sf_dir, path)
+    register = read_register(spark, path, multiLine=True)
+    return first_row_per_user(register.select("user_id", "email", "key", "name", "_source_order"), "_source_order").drop("_source_order")
+
+
 SOURCES = {
+    "longest_calls_ranked": ranked(lambda pl: metrics.call_duration(probes.probe_calls(pl), ordered=False), ("call_timestamp",)),
+    "stats_phone_ranked": ranked(lambda pl: metrics.stats_phone(probes.probe_event(pl)), ("user_id", "event_date")),
+    "register_file_order": register_in_file_order,
     "appended_count_commtype": appended("count_commtype"),
     "appended_stats_phone": appended("stats_phone"),
     "appended_unique_texts": appended("unique_texts"),

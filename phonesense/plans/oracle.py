@@ -167,8 +167,7 @@ TABLES = {
                count(*) AS n
         FROM d GROUP BY ALL""",
 }
-# Four events an upload, each with a first object, of which some are bad, and a battery object. A
-# first object cut after a nested one leaves two rejects, the latter a fragment.
+# Four events an upload, each with a first object, of which some are bad, and a battery object.
 BAD_OBJECTS = f"""
     e AS (
       SELECT event_id, event_id // 4 AS upload, first_value(user_id) OVER (PARTITION BY event_id // 4 ORDER BY event_id) AS ub,
@@ -184,8 +183,8 @@ BAD_OBJECTS = f"""
         ELSE head || log || ',"TIMESTAMP":' || event_id || '}}' END AS main
       FROM e
     ), o AS (
-      SELECT *, coalesce(sum(CASE kind WHEN 'nested' THEN 3 ELSE 2 END) OVER before, 0) AS n,
-        coalesce(sum(len(main) + len(battery) + 2) OVER before, 0) AS at
+      SELECT *, coalesce(sum(2) OVER before, 0) AS n,
+        coalesce(sum(len(main) + len(battery) + 2) OVER before, 0) AS spot
       FROM m WINDOW before AS (PARTITION BY upload ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
     )"""
 TABLES["recovered_objects"] = f"""
@@ -193,13 +192,21 @@ TABLES["recovered_objects"] = f"""
       SELECT user_id, CAST(n + 1 AS INTEGER) AS array_index, '{PREFIX}EventProbe' AS probe, CAST(event_id AS DOUBLE) AS timestamp,
         'g' || event_id AS guid FROM o WHERE kind = 'good'
       UNION ALL
-      SELECT user_id, CAST(n + CASE kind WHEN 'nested' THEN 3 ELSE 2 END AS INTEGER), '{PREFIX}BatteryProbe', NULL, 'b' || event_id FROM o)"""
+      SELECT user_id, CAST(n + 2 AS INTEGER), '{PREFIX}BatteryProbe', NULL, 'b' || event_id FROM o)"""
 TABLES["object_rejects"] = f"""
     SELECT * FROM (WITH {BAD_OBJECTS}
-      SELECT user_id, CAST(n + 1 AS INTEGER) AS array_index, CAST(at AS BIGINT) AS position, 'malformed' AS reason,
-        CASE kind WHEN 'nested' THEN left(main, len(main) - 8) ELSE main END AS object FROM o WHERE kind <> 'good'
-      UNION ALL
-      SELECT user_id, CAST(n + 2 AS INTEGER), CAST(at + len(main) - 7 AS BIGINT), 'fragment', '{{"B":2}}' FROM o WHERE kind = 'nested')"""
+      SELECT user_id, CAST(n + 1 AS INTEGER) AS array_index, CAST(spot AS BIGINT) AS position, 'malformed' AS reason,
+        main AS object FROM o WHERE kind <> 'good')"""
+TABLES["longest_calls_ranked"] = f"""
+    SELECT *, row_number() OVER (ORDER BY call_timestamp NULLS LAST, user_id NULLS LAST, event_date NULLS LAST, callDuration,
+      max_time, time_of_day NULLS LAST) AS position FROM ({TABLES['call_duration']})"""
+TABLES["stats_phone_ranked"] = f"""
+    SELECT *, row_number() OVER (ORDER BY user_id NULLS LAST, event_date NULLS LAST) AS position FROM ({TABLES['stats_phone']})"""
+# Customer keys are in the names; a participant's first row is that of the first file, there that of the largest key.
+TABLES["register_file_order"] = """
+    SELECT user_id, email, key, 'line one,' || chr(10) || 'line "two" of ' || key AS name FROM (
+      SELECT *, CAST(regexp_extract(email, '([0-9]+)', 1) AS BIGINT) AS key FROM reg)
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY key * 5 % 12, key DESC) = 1"""
 for _name in ("count_commtype", "stats_phone", "unique_texts", "call_duration"):
     TABLES[f"appended_{_name}"] = TABLES[_name]
 TABLES["csv_uploads_event"] = TABLES["probe_event"]

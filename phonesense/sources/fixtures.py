@@ -128,8 +128,11 @@ def read_driver_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fixture_uploads(spark, sf_dir: str) -> DataFrame:
-    return uploads_from_events(read_driver_table(spark, sf_dir, "events"))
+def fixture_uploads(spark, sf_dir: str, spread: int | None = None) -> DataFrame:
+    """The uploads; ``spread`` deals the narrow event rows to that many tasks before the text is built from them (the
+    driver's table is one row group, so one task would build and parse all of it)."""
+    events = read_driver_table(spark, sf_dir, "events")
+    return uploads_from_events(events.repartition(spread) if spread else events)
 
 
 def fixture_register(spark, sf_dir: str) -> DataFrame:
@@ -165,3 +168,15 @@ def uploads_with_bad_objects(spark, sf_dir: str) -> DataFrame:
         F.min_by("user_id", "event_id").alias("user_id"), F.array_sort(F.collect_list(F.struct("event_id", "objects"))).alias("all"))
     return own.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("user_id"),
                       F.array_join(F.transform("all", lambda o: o["objects"]), ",").alias("payload"))
+
+
+def write_register_files(spark, sf_dir: str, path: str, files: int = 12) -> None:
+    """The register as CSV files ``file=1`` to ``file=12``, a participant's rows in several of them, in falling
+    order of ``c_custkey``; names hold line breaks, and the column ``key`` tells the row."""
+    customer = read_driver_table(spark, sf_dir, "customer")
+    register = register_from_customers(customer).drop("name", "row_no")
+    key = F.regexp_extract("email", r"([0-9]+)", 1).cast("long")
+    rows = register.withColumn("key", key).withColumn("name", F.concat(F.lit("line one,\nline \"two\" of "), key.cast("string")))
+    rows = rows.withColumn("file", F.pmod(key * 5, F.lit(files)) + 1)
+    rows.repartition("file").sortWithinPartitions("file", F.desc("key")).write.partitionBy("file").options(
+        header=True, quote='"', escape='"', nullValue="NA").csv(path)

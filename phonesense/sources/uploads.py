@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 # Reader options for uploads written the CSV way: the payload is one quoted
@@ -44,13 +44,26 @@ def read_uploads(spark: SparkSession, path: str | None, fmt: str = "csv", multi_
                      F.col("payload").cast("string").alias("payload"))
 
 
+def natural_order(path) -> Column:
+    """A sortable key of a path in which numbers count by their value: ``part-2`` comes before ``part-10``."""
+    pieces = F.regexp_extract_all(path, F.lit(r"([0-9]+|[^0-9]+)"), F.lit(1))
+
+    def piece(x: Column) -> Column:
+        digits = F.ltrim(x, F.lit("0"))
+        # The number of digits before the digits: the larger number has more of them, or larger ones.
+        return F.when(x.rlike("^[0-9]"), F.concat(F.lpad(F.length(digits).cast("string"), 5, "0"), digits)).otherwise(x)
+
+    return F.transform(pieces, piece)
+
+
 def with_source_order(df: DataFrame, name: str = "_source_order") -> DataFrame:
-    """Attach a sortable position = (file, split offset, row id) that follows
-    file order; must be applied directly on a file scan. Files are ordered by
-    their paths as text, so ``part-10`` comes before ``part-2``; where numbers
-    are not padded, give the register an order column of its own."""
+    """Attach a sortable position = (file in natural order of the paths, split offset,
+    row id) that follows file order; must be applied directly on a file scan. A file that can't be split (a
+    multi-line CSV) has one offset, and several are read side by side."""
+    path = F.input_file_name()
     return df.withColumn(name, F.struct(
-        F.input_file_name().alias("file"),
+        natural_order(path).alias("order"),
+        path.alias("file"),
         F.input_file_block_start().alias("offset"),
         F.monotonically_increasing_id().alias("row")))
 
