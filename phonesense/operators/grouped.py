@@ -86,10 +86,11 @@ def with_group_values(rows: DataFrame, keys: Sequence[str], **values: Column) ->
     plain = _plain_keys(rows, keys)
     at = rows.withColumns(plain)
     # Always 0, which the optimizer can't tell: groups are partitioned by it too, as the join below needs them.
-    zero = F.pmod(F.xxhash64(*plain), F.lit(1))
+    zero = F.coalesce(F.pmod(F.xxhash64(*plain), F.lit(1)), F.lit(0))
     groups = at.groupBy(*plain, zero.alias(HOME)).agg(F.count(F.lit(1)).alias(TIMES), *[v.alias(c) for c, v in values.items()])
-    total = groups.agg(F.sum(TIMES)).scalar()
-    names = [*plain, HOME, *values]
+    # Every use of the groups asks for all of their columns, so that Spark reuses the exchange beneath.
+    total = groups.agg(F.struct(F.sum(TIMES).alias("n"), *[F.count(c).alias(c) for c in [HOME, *values]])).scalar()["n"]
+    names = [*plain, HOME, TIMES, *values]
     hot = groups.where(F.col(TIMES) * HOT_SHARE > total).select(*[F.col(c).alias(f"_hot{c}") for c in names])
     at = at.join(F.broadcast(hot), [F.col(c) == F.col(f"_hot{c}") for c in plain], "left")
     # Rows of a hot group need no partner: their home is any but 0.
@@ -97,7 +98,7 @@ def with_group_values(rows: DataFrame, keys: Sequence[str], **values: Column) ->
     at = at.withColumn(HOME, F.when(F.col(f"_hot{HOME}").isNull(), 0).otherwise(away))
     cold = groups.select(*[F.col(c).alias(f"_cold{c}") for c in names])
     at = at.join(cold, [F.col(c) == F.col(f"_cold{c}") for c in [*plain, HOME]], "left")
-    own = [F.when(F.col(HOME) == 0, F.col(f"_cold{c}")).otherwise(F.col(f"_hot{c}")).alias(c) for c in values]
+    own = [F.when(F.col(f"_cold{TIMES}") > 0, F.col(f"_cold{c}")).otherwise(F.col(f"_hot{c}")).alias(c) for c in values]
     return at.select(*rows.columns, *own)
 
 

@@ -51,7 +51,7 @@ def test_shuffle_counts(spark, tmp_path):
     assert _exchanges(_plan(metrics.ratio_sms(ev))) == 2
     calls = probes.probe_calls(sensor_raw(spark.read.parquet(str(tmp_path / "uploads"))))
     plan = _plan(metrics.call_duration(calls, ordered=False))
-    assert "ReusedExchange" in plan or _exchanges(plan) <= 5
+    assert plan.count("Exchange hashpartitioning") <= 4
 
 
 def _scans_that_ran(df) -> tuple[int, int]:
@@ -63,7 +63,7 @@ def _scans_that_ran(df) -> tuple[int, int]:
 
 
 @pytest.mark.parametrize("broadcast", ["-1", "10m"])
-def test_skew_safe_measures_read_the_source_once_and_run_nothing_when_built(spark, tmp_path, broadcast):
+def test_skew_safe_measures_run_nothing_when_built_and_reuse_their_exchanges(spark, tmp_path, broadcast):
     ev = probes.probe_event(sensor_raw(_uploads(spark, tmp_path)))
     calls = probes.probe_calls(sensor_raw(spark.read.parquet(str(tmp_path / "uploads"))))
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -74,10 +74,11 @@ def test_skew_safe_measures_read_the_source_once_and_run_nothing_when_built(spar
         built = [metrics.unique_texts(ev), metrics.call_duration(calls, ordered=False)]
         [df.explain() for df in built]
         assert not tracker.getJobIdsForGroup(f"building{broadcast}")
-        for df in built:
+        # The longest calls read their source for the days' maxima and again for the rows, whose shuffle is the only one of rows.
+        for df, most in zip(built, (1, 2), strict=True):
             spark.sparkContext.setJobGroup("", "")
             scans, reused = _scans_that_ran(df)
-            assert scans == 1 and reused >= 1
+            assert scans <= most and reused >= 1
     finally:
         spark.sparkContext.setJobGroup("", "")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
