@@ -149,13 +149,13 @@ def population_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """A daily result after its uploads came in three batches, one of them in part first, then whole, and again."""
+    """A daily result after its uploads came in two batches, one of them in part first and then whole."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = remove_at_exit(spark, scratch_path(spark, "daily"))
         uploads = uploads_from_events(read_driver_table(spark, sf_dir, "events"), "event_id")
         of = lambda n, rest: uploads.where(F.pmod("event_id", F.lit(rest)) == n)
-        for batch, raw in (("a", of(0, 3)), ("b", of(1, 6)), ("c", of(2, 3)), ("b", of(1, 3)), ("b", of(1, 3))):
+        for batch, raw in (("a", of(0, 2)), ("b", of(1, 6)), ("b", of(1, 2))):
             state.add_batch(raw.select("user_id", "payload"), out, batch, names=(name,))
         return normalise(state.read_result(spark, out, name))
 
