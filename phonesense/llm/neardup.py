@@ -54,9 +54,13 @@ THRESHOLD = (80, 100)
 #: standard deviations of the estimate at 0.8.
 LEAST = THRESHOLD[0] / THRESHOLD[1] - 0.2
 CHUNK = 1000
+#: A node is hot if it stands for over 1 in HOT of all rows.
+HOT = 1024
 #: How many of a straggler's likeliest partners in a chunk are confirmed one by one before all are settled.
 TAKE = 4
 BIN_BYTES = 8 << 20
+#: How many bytes of texts each side of a chunk brings to a task.
+PART_BYTES = 8 << 20
 SPACE = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 PIECE = 1 << 20
 
@@ -307,6 +311,25 @@ def stragglers(members: DataFrame, nodes: DataFrame, take: int = TAKE) -> DataFr
     return written(found.distinct(), "dup-stragglers")
 
 
+def by_bytes(hopes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``hopes`` in chunks of about PART_BYTES of texts a side at most (or one text), with ``bytes``.
+    A chunk of more is split by both sides, and each part of one side meets each of the other. Only
+    names and lengths are moved; the texts are fetched afterwards."""
+    lengths = texts.select("node", (F.octet_length("text") + 64).cast("long").alias("bytes"))
+    at = written(hopes.join(lengths, "node"), "dup-hopes")
+    sums = at.groupBy("key", "p", "q").agg(F.sum(F.when(F.col("lone"), F.col("bytes"))).alias("own"),
+                                           F.sum(F.when(~F.col("lone"), F.col("bytes"))).alias("other"))
+    parts = lambda c: F.greatest(F.lit(1), F.ceil(F.col(c) / F.lit(PART_BYTES))).cast("int")
+    at = at.join(sums.select("key", "p", "q", parts("own").alias("few"), parts("other").alias("many")), ["key", "p", "q"])
+    spot = lambda n: F.array(F.pmod(F.xxhash64("node"), F.col(n)).cast("int"))
+    each = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    side = lambda n, own: F.when(own, spot(n)).otherwise(each(n))
+    at = at.withColumn("x", F.explode(side("few", F.col("lone")))).withColumn("y", F.explode(side("many", ~F.col("lone"))))
+    # Parts whose keys happen to collide only meet for nothing: a link is confirmed on the full sets.
+    return at.select(F.xxhash64("key", "p", "q").alias("key"), F.col("x").alias("p"), F.col("y").alias("q"),
+                     "node", "comp", "lone", "bytes")
+
+
 def settled(members: DataFrame, nodes: DataFrame, texts: DataFrame, k: int) -> DataFrame:
     """``a, b``: links between members of different components of a bucket, one at least for every
     two components that have any. Members that have a partner by their registers bring
@@ -324,8 +347,8 @@ def settled(members: DataFrame, nodes: DataFrame, texts: DataFrame, k: int) -> D
 
     lone, rest = dealt(members, nodes)
     hopes = lone.groupBy("bin").cogroup(rest.groupBy("bin")).applyInPandas(hopeful_rows, kept)
-    hopes = written(written(hopes, "dup-hopes").join(texts, "node"), "dup-hopes")
-    size = hopes.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    hopes = written(by_bytes(hopes, texts), "dup-hopes")
+    size = hopes.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     bins = max(1, -(-size // BIN_BYTES))
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
@@ -352,7 +375,7 @@ def settled(members: DataFrame, nodes: DataFrame, texts: DataFrame, k: int) -> D
                         out[node, comps[b[i]]] = tuple(sorted((node, names[b[i]])))
         return pd.DataFrame(list(out.values()), columns=["a", "b"])
 
-    at = hopes.withColumn("bin", F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins)))
+    at = hopes.withColumn("bin", F.pmod(F.xxhash64("key", "p", "q"), F.lit(bins))).join(texts, "node")
     return written(at.groupBy("bin").applyInPandas(links, "a binary, b binary").distinct(), "dup-links")
 
 
@@ -362,13 +385,13 @@ def relabelled(members: DataFrame, labels: DataFrame) -> DataFrame:
     return at.withColumn("comp", F.coalesce("label", "comp")).drop("label")
 
 
-def components(docs: DataFrame, k: int = 5) -> DataFrame:
-    """``doc_id, content, n_shingles, component_id, kept`` for each row of ``docs``."""
+def grouped(docs: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows of ``docs``, and ``node, doc_id, content, copies, component_id`` of each distinct sequence of words."""
     rows = written(sketch(docs, k), "dup-sketches")
     nodes = rows.where("node is not null").groupBy("node").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")).alias("own"),
-        F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("keys").alias("keys"))
-    nodes = written(nodes.select("node", "own.doc_id", "own.content", "n", "regs", "keys"), "dup-nodes")
+        F.count("*").alias("copies"), F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("keys").alias("keys"))
+    nodes = written(nodes.select("node", "own.doc_id", "own.content", "copies", "n", "regs", "keys"), "dup-nodes")
 
     bands = nodes.select("node", F.explode("keys").alias("key"))
     hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -394,10 +417,24 @@ def components(docs: DataFrame, k: int = 5) -> DataFrame:
             labels = written(relabelled(labels, found), "dup-comps")
             members = written(relabelled(members, found), "dup-members")
 
-    ids = labels.join(nodes.select("node", "doc_id"), "node").select("node", "comp", "doc_id")
+    ids = labels.join(nodes.select("node", "doc_id", "content", "copies"), "node")
     names = ids.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    ids = ids.select("node", "comp").join(names, "comp").select("node", "component_id")
-    out = rows.select("doc_id", "content", "node", F.col("n").cast("long").alias("n_shingles")).join(ids, "node", "left")
+    return rows, ids.join(names, "comp").drop("comp")
+
+
+def components(docs: DataFrame, k: int = 5) -> DataFrame:
+    """``doc_id, content, node, n_shingles, component_id, kept`` for each row of ``docs``.
+
+    Nodes with over 1 in HOT of all rows (fewer than HOT of them) find their rows by broadcast, so
+    the rows of a text with very many copies stay where they are; all others are joined by node."""
+    rows, ids = grouped(docs, k)
+    ids = written(ids.select("node", "component_id", "copies"), "dup-ids")
+    least = rows.count() // HOT
+    hot, rest = ids.where(F.col("copies") > least), ids.where(F.col("copies") <= least)
+    own = rows.select("doc_id", "content", "node", F.col("n").cast("long").alias("n_shingles"))
+    found = own.join(F.broadcast(hot.select("node", "component_id", F.lit(True).alias("hot"))), "node", "left")
+    others = own.join(F.broadcast(hot.select("node")), "node", "left_anti").where("node is not null")
+    out = found.where("hot or node is null").drop("hot").unionByName(others.join(rest.drop("copies"), "node"))
     named = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "content", "node", "n_shingles", named.alias("component_id"),
                       named.eqNullSafe(F.col("doc_id")).alias("kept"))
@@ -406,8 +443,11 @@ def components(docs: DataFrame, k: int = 5) -> DataFrame:
 def one_of_each(docs: DataFrame, k: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, all columns kept. Rows without
     words are no copies of anything and stay; of rows alike in doc_id and words one stays."""
-    stay = components(docs, k).where("kept").select(F.col("doc_id").alias("_id"), F.col("content").alias("_content"),
-                                                    F.col("node").alias("_node")).distinct()
+    rows, ids = grouped(docs, k)
+    wordless = rows.where("node is null").select("doc_id", "content", "node").distinct()
+    # A component's row is that of its least id; of several nodes with that id each has a row that stays.
+    worded = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "content", "node")
+    stay = worded.unionByName(wordless).toDF("_id", "_content", "_node")
     names = docs.columns
     at = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id").cast("long").alias("_doc"),
                      F.md5(F.col("text").cast("binary")).alias("_md5"))

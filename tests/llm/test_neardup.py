@@ -148,3 +148,53 @@ def test_clashing_columns_stay(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, _md5 string, _ID string, _node string, _content string, `row` string")
     (got,) = neardup.one_of_each(df).collect()
     assert tuple(got) == rows[0] and neardup.one_of_each(df).columns == df.columns
+
+
+def test_chunks_split_by_bytes_agree(spark, monkeypatch):
+    """Variants of long texts come to a task in parts of bounded bytes; the links stay the same."""
+    rng = random.Random(12)
+    pool = [f"word{i}" for i in range(4000)]
+    base = rng.choices(pool, k=1500)
+    rows = [(i, " ".join(edited(base, 0.025, rng, pool))) for i in range(60)]
+    rows += [(1000 + i, " ".join(edited(base, 0.08, rng, pool))) for i in range(20)]
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    held = []
+    cut = neardup.by_bytes
+
+    def seen(hopes, texts):
+        out = cut(hopes, texts)
+        held.extend(out.groupBy("key", "p", "q", "lone").agg({"bytes": "sum"}).toDF("key", "p", "q", "lone", "bytes").collect())
+        return out
+
+    monkeypatch.setattr(neardup, "by_bytes", seen)
+    monkeypatch.setattr(neardup, "PART_BYTES", 60_000)
+    monkeypatch.setattr(neardup, "BIN_BYTES", 100_000)
+    monkeypatch.setattr(neardup.stragglers, "__defaults__", (1,))
+    assert result(neardup.components(docs, 4)) == brute(rows, 4)
+    assert not held or max(r.bytes for r in held) < 4 * 60_000
+
+
+def test_parts_of_a_chunk_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "PART_BYTES", 1000)
+    names = [bytes([i]) * 16 for i in range(40)]
+    texts = spark.createDataFrame([(bytearray(n), "x" * 300) for n in names], "node binary, text string")
+    hopes = spark.createDataFrame([(7, 0, 0, bytearray(n), bytearray(n), i < 10) for i, n in enumerate(names)]
+                                  + [(8, 0, 1, bytearray(names[0]), bytearray(names[0]), True),
+                                     (8, 0, 1, bytearray(names[1]), bytearray(names[1]), False)],
+                                  "key long, p int, q int, node binary, comp binary, lone boolean")
+    parts = {}
+    for r in neardup.by_bytes(hopes, texts).collect():
+        parts.setdefault((r.key, r.p, r.q), ([], []))[0 if r.lone else 1].append(bytes(r.node))
+    met = [(a, b) for lone, rest in parts.values() for a in lone for b in rest]
+    assert len(met) == len(set(met)) + met.count((names[0], names[1])) - 1
+    assert set(met) == {(a, b) for a in names[:10] for b in names[10:]} | {(names[0], names[1])}
+    assert len(parts) > 10 and max(len(x) + len(y) for x, y in parts.values()) < 25
+
+
+@pytest.mark.parametrize("hot", [4, 1 << 40])
+def test_hot_copies_find_their_group(spark, monkeypatch, hot):
+    monkeypatch.setattr(neardup, "HOT", hot)
+    rows = corpus(5)
+    rows += [(5000 + i, "the very same text in a great many copies") for i in range(400)]
+    docs = spark.createDataFrame([(*r, "x", 1, "y") for r in rows], SCHEMA)
+    assert result(neardup.components(docs, 4)) == brute(rows, 4)
