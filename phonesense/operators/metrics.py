@@ -104,6 +104,32 @@ def directions_long(event: DataFrame, weight: str | None = None) -> DataFrame:
         _number(weight).alias("n"))
 
 
+def category_counts(event: DataFrame, col: str, weight: str | None = None) -> DataFrame:
+    """Events per participant-day in one map: ``user_id, event_date, counts, unknown``.
+
+    ``counts`` maps each category found in ``col`` that day to its number of events, keys in order;
+    ``unknown`` counts the events whose category is NULL (NULL if none). However many categories
+    there are, none comes to the driver and the schema doesn't depend on the data: rows are counted
+    per category first, so a day's map is gathered from one row a category. :func:`category_columns`
+    makes columns of the map for a reader that names them."""
+    one = event.groupBy(*USER_DAY, F.col(col).cast("string").alias("category")).agg(_number(weight).alias("n"))
+    known = F.when(F.col("category").isNotNull(), F.struct("category", "n"))
+    return one.groupBy(*USER_DAY).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(known))).alias("counts"),
+        F.max(F.when(F.col("category").isNull(), F.col("n"))).alias("unknown"))
+
+
+def category_columns(counted: DataFrame, values: Sequence[str]) -> DataFrame:
+    """A column for each of ``values`` from the maps of :func:`category_counts`, then ``OTHER`` and ``<NA>``;
+    what a day has none of is NULL. No shuffle, and no pass over the data to find the columns."""
+    listed = F.array(*[F.lit(v) for v in values]).cast("array<string>")
+    rest = F.aggregate(F.map_values(F.map_filter("counts", lambda k, _: ~F.array_contains(listed, k))),
+                       F.lit(0).cast("long"), lambda total, n: total + n)
+    return counted.select(*USER_DAY, *[F.try_element_at("counts", F.lit(v)).alias(v) for v in values],
+                          F.nullif(rest, F.lit(0)).alias(OTHER_CATEGORY_LABEL),
+                          F.col("unknown").alias(NULL_CATEGORY_LABEL))
+
+
 def direction_counts(event: DataFrame, comm_type: str, weight: str | None = None) -> DataFrame:
     """``(user_id, event_date, comm_direction, n)`` for one communication type."""
     return (event.filter(F.col("communication_type") == F.lit(comm_type))

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from phonesense.functions.variant import get_array
 from phonesense.operators.grouped import null_safe_join
-from phonesense.operators.payload import probe_suffix_match
+from phonesense.operators.membership import BLOCKS, id_filter, maybe_members
+from phonesense.operators.payload import probe_suffix_match, sensor_raw
 from phonesense.schemas import (
     AVAILABLE, CALLS_ARRAY, COMM_EVENT_PROBE, COMM_LOG_PROBE, LOCATION_PROBE, NOT_AVAILABLE,
     POPULATION_FLAGS, SMS_ARRAY,
@@ -114,3 +115,13 @@ def sensor_population_from_payload(register: DataFrame, pl: DataFrame, order_col
     if keep_order_col is None:
         keep_order_col = not order_col.startswith("_")
     return _matrix(register, payload_presence(pl), order_col, drop, keep_order_col)
+
+
+def sensor_population_of_known(register: DataFrame, raw: DataFrame, order_col: str = "_source_order",
+                               drop: Sequence[str] = ("email",), keep_order_col: bool | None = None,
+                               blocks: int = BLOCKS, mode: str = "FAILFAST") -> DataFrame:
+    """Same matrix from the raw uploads, for studies in which many uploads are of participants that the
+    register doesn't hold: those are left out by a Bloom filter over the register's ids before they are
+    parsed or shuffled. The register is read twice (for the filter and for the matrix)."""
+    known = maybe_members(raw, id_filter(register, blocks), blocks)
+    return sensor_population_from_payload(register, sensor_raw(known, mode=mode), order_col, drop, keep_order_col)

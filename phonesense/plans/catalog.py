@@ -19,8 +19,9 @@ from phonesense.operators import export, metrics, probes
 from phonesense.operators.objects import object_rejects
 from phonesense.operators.ordering import with_position
 from phonesense.operators.payload import probe_types, sensor_raw, upload_rejects, upload_report
-from phonesense.operators.population import first_row_per_user, sensor_population_from_payload
+from phonesense.operators.population import first_row_per_user, sensor_population_from_payload, sensor_population_of_known
 from phonesense.plans import state
+from phonesense.schemas import COMM_TYPES
 from phonesense.session import remove_at_exit, scratch_path
 from phonesense.sources.fixtures import (
     damaged_uploads, fixture_register, fixture_uploads, read_driver_table, uploads_from_events, uploads_with_bad_objects,
@@ -44,6 +45,11 @@ def _on_events(fn):
     return lambda pl, _register: fn(probes.probe_event(pl))
 
 
+def _map_as_json(counted: DataFrame) -> DataFrame:
+    """Maps as JSON text, to compare them."""
+    return counted.withColumn("counts", F.to_json("counts"))
+
+
 PLANS: dict[str, Plan] = {
     "sensor_raw": lambda pl, _r: pl.drop("json"),
     "probe_types": lambda pl, _r: probe_types(pl),
@@ -55,6 +61,10 @@ PLANS: dict[str, Plan] = {
     "count_commtype": _on_events(metrics.count_commtype),
     "commtype_long": _on_events(metrics.commtype_long),
     "directions_long": _on_events(metrics.directions_long),
+    "commtype_map": _on_events(lambda event: _map_as_json(metrics.category_counts(event, "communication_type"))),
+    "contacts_map": _on_events(lambda event: _map_as_json(metrics.category_counts(event, "number"))),
+    "commtype_from_map": _on_events(
+        lambda event: metrics.category_columns(metrics.category_counts(event, "communication_type"), COMM_TYPES)),
     "stats_phone": _on_events(metrics.stats_phone),
     "stats_sms": _on_events(metrics.stats_sms),
     "ratio_phone": _on_events(metrics.ratio_phone),
@@ -148,6 +158,11 @@ def population_by_way_of_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sensor_population_from_payload(register, payload_from_tables(spark, sf_dir), order_col=REGISTER_ORDER)
 
 
+def population_of_known(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``sensor_population`` with the uploads of unknown participants left out before they are parsed."""
+    return sensor_population_of_known(fixture_register(spark, sf_dir), fixture_uploads(spark, sf_dir), order_col=REGISTER_ORDER)
+
+
 def appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A daily result after its uploads came in two batches, one of them in part first and then whole."""
 
@@ -184,6 +199,7 @@ SOURCES = {
     "appended_stats_phone": appended("stats_phone"),
     "appended_unique_texts": appended("unique_texts"),
     "appended_call_duration": appended("call_duration"),
+    "sensor_population_known": population_of_known,
     "upload_rejects": rejects_of_damaged_uploads,
     "upload_report": report_of_damaged_uploads,
     "recovered_objects": recovered_objects,

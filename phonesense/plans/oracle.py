@@ -209,6 +209,14 @@ TABLES["register_file_order"] = """
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY key * 5 % 12, key DESC) = 1"""
 for _name in ("count_commtype", "stats_phone", "unique_texts", "call_duration"):
     TABLES[f"appended_{_name}"] = TABLES[_name]
+for _name, _col in (("commtype_map", "communication_type"), ("contacts_map", "number")):
+    TABLES[_name] = f"""
+        SELECT user_id, event_date,
+          '{{' || coalesce(string_agg(CASE WHEN c IS NOT NULL THEN '"' || c || '":' || n END, ',' ORDER BY c), '') || '}}' AS counts,
+          CAST(max(CASE WHEN c IS NULL THEN n END) AS BIGINT) AS unknown
+        FROM (SELECT user_id, event_date, {_col} AS c, count(*) AS n FROM event GROUP BY ALL) GROUP BY user_id, event_date"""
+TABLES["commtype_from_map"] = TABLES["count_commtype"]
+TABLES["sensor_population_known"] = TABLES["sensor_population"]
 TABLES["csv_uploads_event"] = TABLES["probe_event"]
 TABLES["csv_register_population"] = TABLES["sensor_population"]
 EAST = """

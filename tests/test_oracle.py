@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="driver test data
 def test_every_query_has_an_oracle():
     from phonesense.plans import catalog, oracle
     assert set(catalog.queries()) == set(oracle.oracle_sql())
-    assert len(catalog.queries()) == 36
+    assert len(catalog.queries()) == 49
 
 
 def test_entry_smoke(spark):
