@@ -1,7 +1,7 @@
 """Sharding by sampled splitters: size-weighted quantile ranges of a content key.
 
-A narrow table (id, size, checksum, 64-bit hash of the text) is written once and
-all else reads that. A size-weighted sample of the hashes gives quantile
+A narrow table (id, size, checksum, 64-bit hash of the text) is written once, and
+the plan is made from it alone. A size-weighted sample of the hashes gives quantile
 boundaries, which cut the key space into many more ranges than shards; each
 record falls in one range by an equi-join on the leading bits of its key. The
 exact bytes of every range are then summed. Ranges that are overfull are
@@ -11,13 +11,14 @@ id. Heavy units go to the shards in serpentine order of size; the remaining
 ranges, in key order, fill what room each shard has left.
 
 So the law is ``bytes``: shards hold nearly the same number of bytes, and
-equal texts share a shard unless their group is larger than one. Only tables
-bounded by the number of ranges are sorted in one place; slots are numbered
-inside (shard, unit, part) and shifted by the counts before them.
+equal texts share a shard unless their group is larger than one. The plan is
+four tables bounded by the number of ranges; whole records find their shard in
+them by broadcast, move once, range-partitioned by (shard, unit, part), get their slots there
+and are written shard by shard in slot order.
 
 Defined results: a null text has no bytes (size 16, checksum 0); a null id is
 hashed as null; rows alike in id and text may swap slots; an empty table gives
-no rows; other columns are left out.
+no rows. Long texts move whole. All columns are kept as they are, in one struct, so none can clash.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from phonesense.session import remove_at_exit, scratch_path
+
 from .common import table, written
 
 SHARDS = 40
@@ -36,9 +39,11 @@ PREFIX_BITS = 12
 PARTS = 16
 
 
-def narrow(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame) -> DataFrame:
+    """Each row as a struct ``row``, with its id, size, checksum and key."""
     text = F.col("text")
-    return docs.select("doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select(row, "doc_id", (F.coalesce(F.octet_length(text), F.lit(0)) + 16).cast("long").alias("size"),
                        F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
                        F.xxhash64(text).alias("key"))
 
@@ -69,9 +74,10 @@ def ranged(rows: DataFrame, at: DataFrame, bits: int = PREFIX_BITS) -> DataFrame
         F.broadcast(touch), "prefix", "left").where(inside).drop("prefix", "hi")
 
 
-def place(rows: DataFrame, shards: int = SHARDS, per_shard: int = RANGES_PER_SHARD) -> DataFrame:
-    """``rows`` with ``shard`` and ``unit``."""
-    rows = written(ranged(rows, splitters(rows, shards * per_shard)), "shard-ranges")
+def plan(rows: DataFrame, shards: int = SHARDS, per_shard: int = RANGES_PER_SHARD) -> tuple[DataFrame, ...]:
+    """Boundaries, groups dealt by themselves, shards of their pieces, and shards of all other ranges."""
+    at = written(splitters(rows, shards * per_shard), "shard-splitters")
+    rows = written(ranged(rows, at), "shard-ranges")
     held = rows.groupBy("lo").agg(F.sum("size").alias("held"))
     goal = (F.sum("held").over(Window.partitionBy()) / F.lit(float(shards))).alias("goal")
     held = written(held.select("lo", "held", goal), "shard-held")
@@ -104,31 +110,45 @@ def place(rows: DataFrame, shards: int = SHARDS, per_shard: int = RANGES_PER_SHA
     light = line.withColumn("to", F.coalesce(spot, F.lit(shards - 1))).where("lo is not null").select(
         "lo", F.col("to").alias("light_shard"))
 
-    parts = heavy.select("key", "lo", "pieces").distinct()
-    rows = rows.join(F.broadcast(parts), ["lo", "key"], "left")
+    return at, heavy.select("key", "lo", "pieces").distinct(), heavy.select(
+        "lo", "key", "piece", F.col("shard").alias("heavy_shard")), written(light, "shard-light")
+
+
+def placed(rows: DataFrame, at: DataFrame, parts: DataFrame, heavy: DataFrame, light: DataFrame) -> DataFrame:
+    """``rows`` with ``shard`` and ``unit`` by the tables of :func:`plan`; no row moves."""
+    rows = ranged(rows, at).join(F.broadcast(parts), ["lo", "key"], "left")
     rows = rows.withColumn("piece", F.pmod(F.xxhash64(F.lit(5), "doc_id", "key"), F.col("pieces")).cast("int"))
-    rows = rows.join(F.broadcast(heavy.select("lo", "key", "piece", F.col("shard").alias("heavy_shard"))),
-                     ["lo", "key", "piece"], "left").join(F.broadcast(light), "lo", "left")
+    rows = rows.join(F.broadcast(heavy), ["lo", "key", "piece"], "left").join(F.broadcast(light), "lo", "left")
     unit = F.when(F.col("piece").isNull(), F.struct("lo", F.lit(None).cast("long").alias("key"))).otherwise(
         F.struct("lo", "key"))
     return rows.withColumns({"shard": F.coalesce("heavy_shard", "light_shard"), "unit": F.xxhash64(unit)}).drop(
         "heavy_shard", "light_shard", "pieces", "piece", "lo")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, per_shard: int = RANGES_PER_SHARD) -> DataFrame:
-    """``doc_id, size, text_crc32, key, shard, slot``."""
-    rows = place(written(narrow(docs), "shard-narrow"), shards, per_shard)
-    rows = written(rows.withColumn("part", F.pmod(F.xxhash64(F.lit(9), "doc_id", "key"), F.lit(PARTS))), "shard-placed")
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, per_shard: int = RANGES_PER_SHARD,
+                 parts: int = PARTS) -> DataFrame:
+    """Writes ``docs`` to ``path`` as Parquet, a folder for each shard with its rows in slot order, and reads it
+    again: ``row`` (all columns of ``docs``), ``size, text_crc32, slot, shard``.
+
+    The counts that are broadcast have a row for each unit and part: about ``shards * per_shard * parts``. A unit is moved
+    to ``parts`` tasks, so raise ``parts`` where a shard's bytes over ``2 * parts`` don't fit on an executor's disk."""
+    rows = measured(docs)
+    tables = plan(written(rows.drop("row"), "shard-narrow"), shards, per_shard)
     cell = ["shard", "unit", "part"]
-    counts = rows.groupBy(*cell).agg(F.count("*").alias("n"))
+    part = F.pmod(F.xxhash64(F.lit(9), "doc_id", "key"), F.lit(parts))
+    counts = written(placed(rows.drop("row"), *tables).withColumn("part", part).groupBy(*cell).agg(F.count("*").alias("n")),
+                     "shard-counts")
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("unit", "part")) - F.col("n")
-    counts = counts.select(*cell, before.alias("before"))
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy("key", "doc_id"))
-    return rows.withColumn("rank", rank).join(counts, cell).withColumn(
-        "slot", F.col("before") + F.col("rank") - 1).drop("rank", "before", "unit", "part")
+    own = placed(rows, *tables).withColumn("part", part).repartitionByRange(*cell).withColumn("rank", rank)
+    own = own.join(F.broadcast(counts.select(*cell, before.alias("before"))), cell)
+    own = own.select("row", "size", "text_crc32", (F.col("before") + F.col("rank") - 1).alias("slot"), "shard")
+    own.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(own.schema).parquet(path)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard(table(spark, sf_dir, "documents")).select(
-        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"))
+    path = remove_at_exit(spark, scratch_path(spark, "shards"))
+    out = write_shards(table(spark, sf_dir, "documents"), path)
+    return out.select("row.doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+                      F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

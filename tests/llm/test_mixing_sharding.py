@@ -157,3 +157,17 @@ def test_a_column_named_like_the_shard_stays(spark):
     df = spark.createDataFrame([(i, "some words here", "s", f"own{i}") for i in range(20)], "doc_id long, text string, source string, Mix_Shard string")
     got = mixing.mix(df)
     assert got.columns == df.columns and {(r[0], r[3]) for r in got.collect()} == {(i, f"own{i}") for i in range(20)}
+
+
+def test_written_shards_hold_every_row_in_slot_order(spark, tmp_path):
+    """Whole rows, clashing columns and rows alike included, stand in their shard's folder in slot order."""
+    rows = [(i % 700 if i % 50 else None, f"text {i % 400} " * (i % 13), "a", i, 1.5, "p") for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string, slot int, `size` double, `row` string")
+    out = sharding.write_shards(df, f"{tmp_path}/out", shards=5, per_shard=20)
+    assert Counter(tuple(r.row) for r in out.collect()) == Counter(rows)
+    files = {}
+    for path in sorted((tmp_path / "out").glob("shard=*/*.parquet")):
+        slots = [r.slot for r in spark.read.parquet(str(path)).collect()]
+        assert slots == sorted(slots)
+        files.setdefault(path.parent.name, []).extend(slots)
+    assert len(files) == 5 and all(sorted(s) == list(range(len(s))) for s in files.values())
