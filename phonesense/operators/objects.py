@@ -16,6 +16,10 @@ uploads that parse go that way too; only the others are split, by built-in funct
 The running sums are windows over the pieces of one upload, narrow and spilling; texts of
 one object only are put together again, so an upload of any size can be read, and
 one object may have up to 128 MB. Good uploads never reach a window or a shuffle.
+
+The pieces are written once in the checkpoint folder, and dealt out by upload to as many tasks as their size asks
+for (``TASK_BYTES``), so a task's memory stays the same when there are more uploads. Left to itself, Spark joins
+partitions by their compressed size, which is a small part of what the sorts of the pieces hold.
 """
 
 from __future__ import annotations
@@ -24,9 +28,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from phonesense.functions.variant import get_double, get_string, parse_payload
 from phonesense.schemas import KEY_GUID, KEY_PROBE, KEY_TIMESTAMP
+from phonesense.session import remove_at_exit, scratch_path
 
 # A VARIANT value holds at most this many bytes; a larger text can't be parsed as one.
 VARIANT_LIMIT = 128 * 1024 * 1024 - 16
+# What one task takes: bytes of text, and for each piece PIECE_BYTES, the other columns of its row.
+TASK_BYTES, PIECE_BYTES = 32 * 1024 * 1024, 128
 # Commas after a closing or before an opening brace or bracket; the comma itself is left out.
 BREAK = r"(?<=[}\]]\s{0,16}),|,(?=\s*[{\[])"
 OPEN, CLOSE = "{[", "}]"
@@ -51,16 +58,29 @@ def _depth(segments: Column, parity: int) -> Column:
     return count(OPEN) - count(CLOSE)
 
 
-def _pieces(uploads: DataFrame) -> DataFrame:
-    """``user_id, upload, idx, at`` (first character)``, piece`` with ``quoted`` and ``depth`` before it by running sums, and
-    with ``opens`` (starts outside a string) and ``step`` (depth gained) by the piece alone."""
+def _pieces(uploads: DataFrame) -> tuple[DataFrame, int]:
+    """``user_id, upload, idx, piece, chars, quotes, opens`` (starts outside a string), ``outer, inner`` (depth gained if it starts
+    outside a string, or inside), each told by the piece alone and written once, and how many tasks are to take them."""
+    spark = uploads.sparkSession
     cut = uploads.select("user_id", "upload", F.posexplode(F.split("payload", BREAK)).alias("idx", "piece"))
     plain = F.regexp_replace("piece", r"(?s)\\.", "")
     segments = F.split(plain, '"')
+    sized = cut.select("*", F.length("piece").alias("chars"), (F.size(segments) - 1).alias("quotes"),
+                       F.regexp_like(plain, F.lit(OUTSIDE)).alias("opens"), _depth(segments, 0).alias("outer"), _depth(segments, 1).alias("inner"),
+                       (F.octet_length("piece") + PIECE_BYTES).alias("bytes"))
+    path = remove_at_exit(spark, scratch_path(spark, "pieces"))
+    sized.write.parquet(path)
+    kept = spark.read.schema(sized.schema).parquet(path)
+    tasks = (kept.agg(F.sum("bytes")).first()[0] or 0) // TASK_BYTES + 1
+    # A column read is taken to have nulls; those a join would filter first, and the pieces be shuffled once more for it.
+    return kept.drop("bytes").withColumn("upload", F.coalesce("upload", F.lit(0))), tasks
+
+
+def _counted(sized: DataFrame) -> DataFrame:
+    """``user_id, upload, idx, at`` (first character)``, piece, opens`` with ``quoted`` and ``depth`` before it by running sums,
+    and with ``step`` (depth gained) by the piece alone."""
     own = Window.partitionBy("upload").orderBy("idx")
     before = own.rowsBetween(Window.unboundedPreceding, -1)
-    sized = cut.select("*", F.length("piece").alias("chars"), (F.size(segments) - 1).alias("quotes"),
-                       F.regexp_like(plain, F.lit(OUTSIDE)).alias("opens"), _depth(segments, 0).alias("outer"), _depth(segments, 1).alias("inner"))
     counted = sized.select("*", F.coalesce(F.sum(F.col("chars") + 1).over(before), F.lit(0)).alias("at"),
                            (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).alias("quoted"))
     step = F.when(F.col("quoted"), F.col("inner")).otherwise(F.col("outer"))
@@ -88,10 +108,14 @@ def _loose(pieces: DataFrame) -> DataFrame:
     return at.withColumn("part", F.sum(F.col("starts").cast("int")).over(order))
 
 
+def _sized(pieces: DataFrame, *keys: str) -> DataFrame:
+    """Pieces with ``size``, the bytes of their object."""
+    return pieces.withColumn("size", F.sum(F.octet_length("piece") + 1).over(Window.partitionBy("upload", *keys)))
+
+
 def _together(pieces: DataFrame, *keys: str) -> DataFrame:
-    """The text of each object (null where it is over the limit) and its pieces."""
-    size = F.sum(F.octet_length("piece") + 1).over(Window.partitionBy("upload", *keys))
-    kept = F.when(size <= VARIANT_LIMIT, F.struct("idx", "at", "opens", "step", "piece"))
+    """The text of each object (null where it is over the limit) and its pieces (``_sized``)."""
+    kept = F.when(F.col("size") <= VARIANT_LIMIT, F.struct("idx", "at", "opens", "step", "piece"))
     whole = pieces.select("user_id", "upload", *keys, "idx", "at", kept.alias("kept"))
     put = whole.groupBy("user_id", "upload", *keys).agg(
         F.min("idx").alias("idx"), F.min("at").alias("at"), F.array_sort(F.collect_list("kept")).alias("kept"))
@@ -105,8 +129,8 @@ def split_objects(raw: DataFrame) -> DataFrame:
     text = F.col("payload")
     uploads = raw.select(F.col("user_id").cast("string").alias("user_id"), "payload").where(
         text.isNotNull() & (F.trim(text) != "") & ~_usable(text))
-    uploads = uploads.withColumn("upload", F.monotonically_increasing_id())
-    pieces = _strict(_pieces(uploads))
+    cut, tasks = _pieces(uploads.withColumn("upload", F.monotonically_increasing_id()))
+    pieces = _sized(_strict(_counted(cut.repartition(tasks, "upload"))), "object")
     first = _together(pieces, "object").withColumn("elements", _elements("text"))
     good = first.where("elements is not null").select("user_id", "upload", "at", "text", F.lit(None).cast("string").alias("reason"), "elements")
 
@@ -116,9 +140,9 @@ def split_objects(raw: DataFrame) -> DataFrame:
     failing = numbered.where("elements is null")
     columns = ("user_id", "upload", "run", "idx", "at", "opens", "step", "piece")
     again = failing.select("user_id", "upload", "run", F.explode("kept").alias("p")).select("user_id", "upload", "run", "p.*")
-    large = pieces.join(failing.where("text is null").select("upload", "object", "run"), ["upload", "object"])
-    again = again.select(*columns).unionByName(large.select(*columns))
-    second = _together(_loose(again), "run", "part").withColumn("elements", _elements("text"))
+    large = pieces.where(F.col("size") > VARIANT_LIMIT).join(failing.where("text is null").select("upload", "object", "run"), ["upload", "object"])
+    again = again.select(*columns).unionByName(large.select(*columns)).repartition(tasks, "upload")
+    second = _together(_sized(_loose(again), "run", "part"), "run", "part").withColumn("elements", _elements("text"))
     named = F.exists("elements", lambda e: get_string(e, KEY_PROBE).isNotNull())
     second = second.withColumn("good", F.coalesce(named, F.lit(False)))
     # What is left of a broken object goes with it: parts in a row that are no objects, up to the next beginning.

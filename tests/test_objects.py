@@ -1,5 +1,6 @@
 import json
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -93,3 +94,29 @@ def test_good_uploads_are_not_shuffled(uploads):
     plan = sensor_raw(uploads([("u", GOOD[0])]), mode="RECOVER")._jdf.queryExecution().optimizedPlan().toString()
     first = plan.split("\n:- ")[1].split("\n+- ")[0]
     assert "Window" not in first and "Python" not in plan and "Arrow" not in plan
+
+
+def test_more_uploads_make_more_tasks(uploads, monkeypatch):
+    """What a task holds does not grow with the uploads: a small share of them each, whatever their text compresses to."""
+    monkeypatch.setattr(objects, "TASK_BYTES", 20_000, raising=False)
+    parts = [GOOD[0], BAD[0], GOOD[1], BAD[3], GOOD[0]]
+
+    def most(n):
+        found = objects.split_objects(uploads([(f"u{i}", ",".join(parts)) for i in range(n)]).repartition(3))
+        rows = found.select("user_id", "at", "reason", "text", F.spark_partition_id().alias("task")).collect()
+        assert sorted(r.text for r in rows if r.reason is None) == sorted(n * [p for p in parts if p in GOOD])
+        assert sorted(r.text for r in rows if r.reason) == sorted(n * [p for p in parts if p in BAD])
+        return max(Counter(task for _, task in {(r.user_id, r.task) for r in rows}).values())
+
+    assert most(1000) < 100
+
+
+def test_uploads_over_the_limit_in_many_tasks(uploads, monkeypatch):
+    nested = '{"PROBE":"a","L":[' + ",".join('{"v":%d}' % i for i in range(40)) + "]}"
+    raw = uploads([(f"u{i:03}", ",".join([GOOD[0], nested, BAD[0], GOOD[1]][i % 3:])) for i in range(60)])
+    monkeypatch.setattr(objects, "VARIANT_LIMIT", 100)
+    monkeypatch.setattr("phonesense.operators.payload.VARIANT_LIMIT", 100)
+    whole = rows(sensor_raw(raw, mode="RECOVER")), sorted(map(tuple, object_rejects(raw).collect()), key=repr)
+    monkeypatch.setattr(objects, "TASK_BYTES", 20_000, raising=False)
+    assert (rows(sensor_raw(raw, mode="RECOVER")), sorted(map(tuple, object_rejects(raw).collect()), key=repr)) == whole
+    assert any(r[3] == "oversize" for r in whole[1])
