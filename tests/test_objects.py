@@ -120,3 +120,12 @@ def test_uploads_over_the_limit_in_many_tasks(uploads, monkeypatch):
     monkeypatch.setattr(objects, "TASK_BYTES", 20_000, raising=False)
     assert (rows(sensor_raw(raw, mode="RECOVER")), sorted(map(tuple, object_rejects(raw).collect()), key=repr)) == whole
     assert any(r[3] == "oversize" for r in whole[1])
+
+
+def test_recovered_rows_of_more_uploads_come_from_more_tasks(uploads, monkeypatch):
+    monkeypatch.setattr(objects, "TASK_BYTES", 20_000, raising=False)
+    parts = [GOOD[0], BAD[0], GOOD[1], BAD[3], GOOD[0]]
+    raw = uploads([(f"u{i}", ",".join(parts)) for i in range(600)]).repartition(3)
+    got = objects.recovered_rows(raw).select("user_id", "array_index", F.spark_partition_id()).collect()
+    assert sorted((u, i) for u, i, _ in got) == sorted((f"u{n}", i) for n in range(600) for i in (1, 3, 5))
+    assert max(Counter(task for _, task in {(u, task) for u, _, task in got}).values()) < 100
