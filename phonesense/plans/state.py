@@ -14,7 +14,8 @@ repeated append changes nothing. The state is counts and maxima that add up over
 ``refresh`` merges the state of the days that a batch touches, and of no others: state and results are
 partitioned by ``event_date``, so Spark prunes all other days from the read and replaces only the
 touched partitions of the result. Days that a batch touched before it was replaced are kept in a
-log, written before the state; if one of them is no longer in the batch's state, everything is refreshed.
+log, written before the state; if one of them is no longer in the batch's state, everything is refreshed. So
+is a result in which a touched day had rows and has none now, as replacing partitions leaves that day's as it was.
 
 Uploads are parsed once: one write makes the objects, and the uploads that give none, as partitions
 of one table. In ``RECOVER`` mode the good objects of those are added from that table.
@@ -36,6 +37,7 @@ from phonesense.operators.payload import probe_types, upload_elements, upload_st
 from phonesense.operators.population import merged_presence, presence_of
 from phonesense.plans.bronze import BRONZE_SCHEMA, FAMILY_COL, probe_family
 from phonesense.schemas import KEY_GUID, KEY_PROBE, KEY_TIMESTAMP
+from phonesense.session import remove_at_exit, scratch_path
 
 DAY = "event_date"
 N = "n"
@@ -223,10 +225,23 @@ def refresh(spark: SparkSession, out: str, batch: str | None = None, names: Sequ
     for name, df in daily_results(spark, out, days, names).items():
         paths[name] = _folder(out, "tables", name)
         partitions = "static" if days is None else "dynamic"
+        if days is not None:
+            kept = remove_at_exit(spark, scratch_path(spark, name))
+            df.write.parquet(kept)
+            df = spark.read.schema(df.schema).parquet(kept)
+            if _emptied(_read(spark, paths[name], f"{DAY} date"), days, df):
+                df, partitions = daily_results(spark, out, names=(name,))[name], "static"
         df.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", partitions).partitionBy(DAY).parquet(paths[name])
     return paths
 
 
+def _emptied(written: DataFrame, days: DataFrame, rows: DataFrame) -> bool:
+    """Whether one of ``days`` is among the rows written before, but not among the new ``rows``."""
+    had, touched, now = (df.select(F.col(DAY).alias(alias)).distinct() for df, alias in ((written, "_had"), (days, "_touched"), (rows, "_now")))
+    left = had.join(touched, F.col("_had").eqNullSafe(F.col("_touched")), "left_semi")
+    return left.join(now, F.col("_had").eqNullSafe(F.col("_now")), "left_anti").limit(1).count() > 0
+
+
 def read_result(spark: SparkSession, out: str, name: str) -> DataFrame:
     """A written daily result, with the columns and the order of the operator's own."""
     df = daily_results(spark, out, names=(name,))[name]
