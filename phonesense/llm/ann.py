@@ -124,7 +124,8 @@ def opened(forest: list[Tree], x: np.ndarray, want: int) -> list[tuple[int, int]
         far, t, node = heapq.heappop(queue)
         tree = forest[t]
         while node >= 0:
-            beyond = float(x @ tree.normal[node]) - tree.at[node]
+            # Summed as in ``leaves``: by another way a row on the plane may round to the other side.
+            beyond = float(np.einsum("ij,ij->i", x[None], tree.normal[node][None])[0]) - tree.at[node]
             near = int(beyond > 0)
             # The other side is as far as the farthest plane crossed on the way to it.
             heapq.heappush(queue, (max(far, abs(beyond)), t, int(tree.child[node, 1 - near])))
